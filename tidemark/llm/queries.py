@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, packing
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
+    "op2_pack": packing.op2_pack,
 }
 
 ORACLE_SQL = {
