@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,26 +48,23 @@ def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, doc_id: str
     """A row for each piece of each document: doc_id, piece, start, length, ids_crc32, and ids (binary) if asked for."""
     id_type = dict(docs.dtypes)[doc_id]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder.get(path), np.asarray([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-            for key, words in zip(batch["doc_id"], batch["text"], strict=True):
+            of, out = [], {name: [] for name in ("piece", "start", "length", "ids_crc32", "ids")}
+            for row, words in enumerate(batch.column(1).to_pylist()):
                 ids = encoder.encode(words) + end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
-                    out["doc_id"].append(key)
-                    out["piece"].append(n)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(own) // 4)
-                    out["ids_crc32"].append(zlib.crc32(own))
-                    if with_ids:
-                        out["ids"].append(own)
-            # An object column keeps null ids null and whole ones whole.
-            yield pd.DataFrame(out | {"doc_id": pd.Series([None if pd.isna(k) else k for k in out["doc_id"]], dtype=object)})
+                    of.append(row)
+                    for name, value in zip(out, (n, at // 4, len(own) // 4, zlib.crc32(own), own), strict=True):
+                        out[name].append(value)
+            types = {"piece": pa.int32(), "ids": pa.binary()}
+            columns = {name: pa.array(values, types.get(name, pa.int64())) for name, values in out.items() if with_ids or name != "ids"}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).take(pa.array(of, pa.int64()))} | columns)
 
     schema = PIECES.format(id_type=id_type) + (", ids binary" if with_ids else "")
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, schema)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
 class Bins:

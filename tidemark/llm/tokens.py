@@ -6,6 +6,8 @@ ids one after another. Words repeat, so a worker keeps the ids of those it has m
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 
 #: Words whose ids a Python worker keeps; beyond that it starts anew.
@@ -28,6 +30,8 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has one core; the library's own threads would only spin over the few words of a text.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
