@@ -1,19 +1,23 @@
 """Encoding whole texts with a public tokenizer, a word at a time.
 
 The tokenizers used here never join what stands on two sides of a space or a line feed, so a text's ids are its words'
-ids one after another. Words repeat, so a worker keeps the ids of those it has met, up to a fixed number.
+ids one after another. Words repeat, so a worker keeps the ids of those it has met, up to a fixed number. A new word of
+plain letters needs none of the tokenizer's steps but its merges; for any other word all its steps are run.
 """
 
 from __future__ import annotations
 
 import os
-
-import numpy as np
+import re
+from array import array
 
 #: Words whose ids a Python worker keeps; beyond that it starts anew.
 KEPT_WORDS = 1_200_000
 #: Longer words are encoded each time they occur.
 KEPT_CHARS = 48
+#: How the tokenizer splits ASCII text, and letters whose lower case and normal form are beyond doubt.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
+_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -24,8 +28,15 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _as_byte_letters() -> list[str]:
+    """The letter that byte-level tokenizers write for each byte: itself if it is visible, or the next from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in seen else next(rest)) for b in range(256)]
+
+
 class WordEncoder:
-    """ids of a text as little-endian unsigned 32-bit integers, for a tokenizer that drops white space."""
+    """ids of a text as little-endian unsigned 32-bit integers, for word_bpe_49k.json."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -34,7 +45,10 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model
+        self.letters = _as_byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
 
     @classmethod
     def get(cls, path: str) -> WordEncoder:
@@ -43,15 +57,34 @@ class WordEncoder:
         return _encoders[path]
 
     def encode(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            pass
+        text = text or ""
+        # The tokenizer ignores case; for other letters than these, only the tokenizer knows how.
+        words = (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+        new = set(words).difference(self.known)
+        for w in new:
+            self.known[w] = self._word(w)
+        out = b"".join(map(self.known.__getitem__, words))
+        for w in new:
+            if len(w) > KEPT_CHARS:
+                del self.known[w]
         if len(self.known) > KEPT_WORDS:
             self.known = {"": b""}
-        new = list({w for w in words if w not in self.known})
-        ids = [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        now = dict(zip(new, ids, strict=True))
-        self.known.update((w, b) for w, b in now.items() if len(w) <= KEPT_CHARS)
-        return b"".join([now[w] if w in now else self.known[w] for w in words])
+        if len(self.pieces) > KEPT_WORDS:
+            self.pieces = {}
+        return out
+
+    def _word(self, word: str) -> bytes:
+        if len(word) <= KEPT_CHARS:
+            if word.isascii():
+                if word.isprintable():
+                    return b"".join([self._piece(p) for p in _ASCII_PIECES.findall(word.lower())])
+            elif m := _LETTERS.fullmatch(word):
+                return self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"")
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            written = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            ids = self.pieces[piece] = array("I", [t.id for t in self.merges.tokenize(written)]).tobytes()
+        return ids
