@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, packing
+from tidemark.llm import mixing, ngram_join, packing
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op2_pack": packing.op2_pack,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
 }
 
 ORACLE_SQL = {
