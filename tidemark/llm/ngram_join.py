@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import trie
 from tidemark.llm.components import components
-from tidemark.llm.words import groups, rows, shingles, tables, word_hashes, words
+from tidemark.llm.words import groups, shingles, slices, tables, word_hashes, words
 from tidemark.session import Scratch, importable
 
 WIDTH = 5
@@ -77,7 +77,7 @@ _FOUND = "batch string, {ids}, digests binary, sizes binary, nodes binary, token
 def _send(width: int, buckets: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(slices(batches, 1)):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             node_of: dict[bytes, int] = {}
             nodes, sizes, sets = [], [], []

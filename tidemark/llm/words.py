@@ -6,10 +6,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Words whose hash a Python worker keeps.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _FMIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -51,6 +52,18 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(mixed(out))
 
 
+def slices(batches: Iterable[pa.RecordBatch], column: int, size: int = 8 << 20, most: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """Parts of Arrow batches with about `size` bytes of one column's text, a row at least and `most` rows at most."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = min(at + most, max(at + 1, int(np.searchsorted(ends, done + size, "right"))))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples; binary values as bytes."""
     for batch in batches:
