@@ -46,6 +46,8 @@ SWEEPS = 2
 STRENGTH = 1.0
 END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
+#: Buckets for each shuffle partition. A task has one bucket in memory at a time.
+BUCKETS = 4
 #: Customers of a (slot, word) that are seated one at a time; beyond, in steps of a tenth.
 ONE_BY_ONE = 24
 
@@ -130,13 +132,14 @@ def _train(buckets: int, slots: int, schema: pa.Schema):
         if not parts:
             return
         distinct, number = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        number = number.astype(np.int32)
         word = np.repeat(number, np.concatenate([p[3] for p in parts]))
         slot = np.concatenate([p[4] for p in parts])
         training = np.concatenate([~np.unpackbits(np.frombuffer(p[1], np.uint8)).astype(bool)[p[5]] for p in parts])
         pair = word.astype(np.int64) * slots + slot
         pairs, pair_n = np.unique(pair[training], return_counts=True)
         seen = np.bincount(word[training], minlength=len(distinct))
-        pair_word, pair_slot = pairs // slots, (pairs % slots).astype(np.int64)
+        pair_word, pair_slot = (pairs // slots).astype(np.int32), (pairs % slots).astype(np.int32)
         rng = np.random.default_rng([bucket, 20])
         known = int((seen > 0).sum())
         d, events = discount(pair_n), known * buckets + 1
@@ -265,7 +268,7 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     id_type = dict(docs.dtypes)[doc_id]
     ids = f"ids array<{id_type}>"
     sent, kept_, part, out = _SENT.format(ids=ids), _KEPT.format(ids=ids), _PART.format(ids=ids), _OUT.format(id_type=id_type)
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
     entries = read.mapInArrow(_send(buckets, slots, _arrow(sent, spark)), sent)
     seated = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, slots, _arrow(kept_, spark)), kept_)
