@@ -1,15 +1,15 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-Token scores: of labelled documents, each word and its beginnings of five and four bytes are counted once per document
-and label. A word's rate of label 1 is its counts under a Dirichlet prior, whose mean is the rate of its longer
-beginning, whose prior mean is that of the shorter one, whose prior mean is the rate over all words. The score is the
+Token scores: of labelled documents, each word and its beginnings of three to eight letters are counted once per
+document and label. A word's rate of label 1 is its counts under a Dirichlet prior, whose mean is the rate of its longest
+beginning, whose prior mean is that of the next shorter one, and so on to the rate over all words. The score is the
 log-odds of the word's rate against that of all words, less DRIFT, so that ordinary text falls.
 
 Passages: a linear scan finds all maximal scoring segments of a text. Their scores follow an extreme-value law in clean
-text: segments of a score of x or more are about K n exp(-lambda x) in n tokens. lambda solves the law's equation for
-clean documents' token scores, K follows from how many segments they have. A document's evidence is the least
-probability, over its r best segments, of so many that good by chance; a logistic curve, fitted on labelled documents
-whose words were not counted, turns it into a score between 0 and 1.
+text: segments of a score of x or more are about K n exp(-lambda x) in n tokens. lambda and K are fitted to the upper half
+of the segments of clean labelled documents whose words were not counted. A document's evidence is the least
+probability, over its r best segments, of so many that good by chance; a logistic curve, fitted on the same documents and
+toxic ones like them, turns it into a score between 0 and 1.
 
 Labels come from a bounded sample: SAMPLE labelled documents at most, those of the smallest id hash. Everything else
 covers every row and whole texts.
@@ -43,18 +43,18 @@ CALIBRATION = 3
 #: A feature counts if so many labelled documents hold it.
 LEAST_DOCUMENTS = 3
 #: Weight of the prior, in documents.
-PRIOR = 8.0
-DRIFT = 0.3
-LOW, HIGH = -3.0, 6.0
+PRIOR = 2.0
+DRIFT = 3.0
+LOW, HIGH = -2.0, 9.0
 THRESHOLD = 0.7
 KEPT_WORDS = 600_000
 _EDGES = b".,;:!?*&%$#|\"'()[]<>-_/"
-_GRID = np.linspace(0.02, 3.0, 150)
 
 
 def features(word: bytes) -> list[int]:
     """From the broadest to the word itself."""
-    return [xxhash.xxh3_64_intdigest(k) for k in (b"4" + word[:4], b"5" + word[:5], b"w" + word)]
+    letters = word.decode("utf-8", "surrogatepass")
+    return [xxhash.xxh3_64_intdigest(k.encode("utf-8", "surrogatepass")) for k in (*(letters[:n] for n in range(3, 9) if len(letters) > n), "=" + letters)]
 
 
 class Scorer:
@@ -155,7 +155,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _measure(model: dict):
-    schema = pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("scores", pa.list_(pa.float64())), ("moments", pa.list_(pa.float64()))])
+    schema = pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("scores", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
@@ -164,15 +164,23 @@ def _measure(model: dict):
             for batch in batches:
                 for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     s = scorer.tokens(words(text))
-                    values, n = np.unique(s, return_counts=True)
-                    moments = [] if toxic else (np.exp(np.outer(_GRID, values)) @ n).tolist()
-                    yield {"toxic": toxic, "n": len(s), "scores": [x for _, _, x in segments(s)], "moments": moments}
+                    yield {"toxic": toxic, "n": len(s), "scores": [x for _, _, x in segments(s)]}
 
         yield from tables(measured(), schema)
 
     return run
 
 
+def extreme_law(scores: np.ndarray, n: int) -> tuple[float, float]:
+    """(lambda, K) from the segments' scores in n clean tokens; scores over the median exceed it exponentially."""
+    if not len(scores) or not n:
+        return 1.0, 1e-4
+    cut = float(np.median(scores))
+    over = scores[scores >= cut] - cut
+    lam = 1 / max(float(over.mean()), 0.1)
+    return lam, len(over) / n * math.exp(lam * cut)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Intercept and slope, by Newton steps with a small ridge."""
     X = np.c_[np.ones(len(x)), x]
@@ -199,15 +207,11 @@ def fit(docs: DataFrame, labels: DataFrame, training, *, doc_id: str = "doc_id",
     key = table["feature"].to_numpy().view(np.uint64)
     order = np.argsort(key)
     model = {"feature": key[order], "toxic": table["toxic"].to_numpy()[order], "clean": table["clean"].to_numpy()[order], "rate": float(total["toxic"].iloc[0] / (total["toxic"].iloc[0] + total["clean"].iloc[0]))}
-    seen = own.where("calibrates").mapInArrow(_measure(model), "toxic boolean, n long, scores array<double>, moments array<double>").toPandas()
-    clean, n = seen[~seen["toxic"]], int(seen.loc[~seen["toxic"], "n"].sum())
-    if not n or not seen["toxic"].any():
+    seen = own.where("calibrates").mapInArrow(_measure(model), "toxic boolean, n long, scores array<double>").toPandas()
+    clean = seen[~seen["toxic"]]
+    if not len(clean) or len(clean) == len(seen):
         return None
-    mean = np.sum([m for m in clean["moments"] if len(m)], axis=0) / n
-    lam = float(_GRID[np.flatnonzero(mean <= 1)[-1]]) if (mean <= 1).any() else float(_GRID[0])
-    scores = np.concatenate([np.asarray(s, dtype=np.float64) for s in clean["scores"]]) if len(clean) else np.zeros(0)
-    cut = np.quantile(scores, 0.9) if len(scores) else 1.0
-    k = max(1e-12, float((scores >= cut).sum()) / n * math.exp(lam * cut)) if len(scores) else 1e-3
+    lam, k = extreme_law(np.concatenate([np.asarray(s, dtype=np.float64) for s in clean["scores"]]), int(clean["n"].sum()))
     x = np.array([evidence(list(s), m, lam, k) for s, m in zip(seen["scores"], seen["n"], strict=True)])
     model |= {"lambda": lam, "k": k}
     model["intercept"], model["slope"] = _logistic(np.log1p(x), seen["toxic"].to_numpy().astype(float))
