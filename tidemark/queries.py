@@ -165,9 +165,9 @@ def types_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return items.select(
         "l_orderkey", "l_linenumber",
-        codec.checked(F.col("l_partkey"), V.INT8).cast("int").alias("part_int8"),
-        codec.checked(F.col("l_partkey"), V.UINT8).cast("int").alias("part_uint8"),
-        codec.checked(F.col("l_orderkey"), V.UINT16).cast("int").alias("order_uint16"),
+        F.coalesce(codec.checked(F.col("l_partkey"), V.INT8).cast("int"), F.lit(-1)).alias("part_int8"),
+        F.coalesce(codec.checked(F.col("l_partkey"), V.UINT8).cast("int"), F.lit(-1)).alias("part_uint8"),
+        F.coalesce(codec.checked(F.col("l_orderkey"), V.UINT16).cast("int"), F.lit(-1)).alias("order_uint16"),
     )
 
 
@@ -241,9 +241,9 @@ _OTHER: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "epoch_micros": (epoch_micros, "SELECT event_id, epoch_us(ts) AS micros, ts FROM events"),
     "types_cast": (
         types_cast,
-        """SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_partkey BETWEEN -128 AND 127 THEN l_partkey END AS INTEGER) AS part_int8,
-           CAST(CASE WHEN l_partkey BETWEEN 0 AND 255 THEN l_partkey END AS INTEGER) AS part_uint8,
-           CAST(CASE WHEN l_orderkey BETWEEN 0 AND 65535 THEN l_orderkey END AS INTEGER) AS order_uint16 FROM lineitem""",
+        """SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_partkey BETWEEN -128 AND 127 THEN l_partkey ELSE -1 END AS INTEGER) AS part_int8,
+           CAST(CASE WHEN l_partkey BETWEEN 0 AND 255 THEN l_partkey ELSE -1 END AS INTEGER) AS part_uint8,
+           CAST(CASE WHEN l_orderkey BETWEEN 0 AND 65535 THEN l_orderkey ELSE -1 END AS INTEGER) AS order_uint16 FROM lineitem""",
     ),
     "shard_hash": (
         shard_hash,
