@@ -42,7 +42,7 @@ ALIKE = 64
 ADD = 0.05
 #: Weight of the level above, in pages.
 PRIOR = 5.0
-LEAST_CONFIDENCE = 0.5
+LEAST_CONFIDENCE = 0.3
 KEPT_WORDS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 _HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer|noscript)\b.*?</\1\s*>|<[^>]*>")
