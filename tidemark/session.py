@@ -45,10 +45,10 @@ class Scratch:
         self._n = 0
         Scratch._kept.append(self)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         self._n += 1
         path = f"{self.base}/{self._n}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
