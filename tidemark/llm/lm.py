@@ -10,6 +10,8 @@ with customers c and tables t. A table of a context restaurant is a customer of
 
 1. Texts are tokenized where they are read. Each Arrow batch sends its occurrences (word, slot, document), packed as
    bytes, to buckets of the words' hash space: all occurrences of a word meet, so its customers in every restaurant do.
+   Words that are a HOT part of some batch are found by a pass of their own; their occurrences are dealt by word and
+   slot, so that no bucket holds all of a frequent word, and their totals (of MOST_HOT words at most) go by the driver.
 2. Each bucket seats its customers: a sweep reseats the customers of each (slot, word) one after another, given the
    parent's probabilities, and then those of the parent, given the tables. SWEEPS sweeps are thrown away, then SAMPLES are
    kept. While seating, a bucket takes the totals of a restaurant from its own share of the words; discounts are
@@ -35,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import groups, rows, slices, tables, word_hashes, words
+from tidemark.llm.words import groups, mixed, rows, slices, tables, word_hashes, words
 from tidemark.session import Scratch, importable
 
 #: Context restaurants. Frequent words have one each, nearly; rare ones share.
@@ -48,14 +50,18 @@ END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
 #: Buckets for each shuffle partition. A task has one bucket in memory at a time.
 BUCKETS = 4
+#: A word is frequent if it is such a part of the tokens of some batch; and how many of them are dealt by slot as well.
+HOT = 1 / 1000
+MOST_HOT = 4096
 #: Customers of a (slot, word) that are seated one at a time; beyond, in steps of a tenth.
 ONE_BY_ONE = 24
 
 _SENT = "bucket int, batch string, {ids}, held binary, lengths binary, words binary, counts binary, slots binary, docs binary"
+_FREQUENT = "word long, n long"
 _KEPT = (
     "kind string, batch string, {ids}, held binary, lengths binary, docs binary, slots binary, counts binary, pairs binary, "
     "pair_tables array<binary>, seen binary, customers array<binary>, tables array<binary>, slot array<int>, slot_customers array<long>, "
-    "slot_tables array<array<long>>, totals array<double>"
+    "slot_tables array<array<long>>, totals array<double>, hot binary, hot_word array<long>, hot_seen array<long>, hot_customers array<array<long>>"
 )
 _PART = "batch string, {ids}, held binary, lengths binary, base binary, score binary, known binary"
 _OUT = "doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -83,25 +89,52 @@ def discount(customers: np.ndarray) -> float:
     return min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
 
 
-def _send(buckets: int, slots: int, schema: pa.Schema):
+def _tokens(texts: list[str | None]) -> list[np.ndarray]:
+    ends = np.array([END], dtype=np.uint64)
+    return [np.concatenate([word_hashes(words(t)), ends]) for t in texts]
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 0):
+        word, n = np.unique(np.concatenate(_tokens(batch.column(0).to_pylist())), return_counts=True)
+        hot = n >= HOT * n.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(word[hot].view(np.int64)), pa.array(n[hot].astype(np.int64))], ["word", "n"])
+
+
+def _hot_words(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of frequent words, MOST_HOT at most. They only decide where occurrences are dealt to."""
+    found = docs.select("text").mapInArrow(_frequent, _FREQUENT).groupBy("word").agg(F.sum("n").alias("n"))
+    top = found.orderBy(F.desc("n"), "word").limit(MOST_HOT).collect()
+    return np.sort(np.array([r.word for r in top], dtype=np.int64).view(np.uint64))
+
+
+def _is_hot(word: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The place in hot, from 1; 0 for other words."""
+    if not len(hot):
+        return np.zeros(len(word), dtype=np.int64)
+    at = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
+    return np.where(hot[at] == word, at + 1, 0)
+
+
+def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        ends = np.array([END], dtype=np.uint64)
         for number, batch in enumerate(slices(batches, 2)):
             ids, held, texts = (c.to_pylist() for c in batch.columns)
-            own = [np.concatenate([word_hashes(words(t)), ends]) for t in texts]
+            own = _tokens(texts)
             lengths = np.array([len(x) for x in own], dtype=np.int64)
             word = np.concatenate(own)
             before = np.r_[np.uint64(START), word[:-1]]
             before[np.cumsum(lengths)[:-1]] = np.uint64(START)
             slot = (before % np.uint64(slots)).astype(np.uint16)
             doc = np.repeat(np.arange(len(own), dtype=np.uint16), lengths)
-            order = np.argsort(word, kind="stable")
-            word, slot, doc = word[order], slot[order], doc[order]
-            at = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            place = np.where(_is_hot(word, hot) > 0, mixed(word + slot), word)
+            bucket = (((place >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+            order = np.lexsort((word, bucket))
+            word, slot, doc, bucket = word[order], slot[order], doc[order], bucket[order]
+            at = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1])])
             distinct, counts = word[at], np.diff(np.r_[at, len(word)])
-            bucket = (((distinct >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            cuts = np.searchsorted(bucket[at], np.arange(buckets + 1))
             tokens = np.r_[at, len(word)][cuts]
             name = f"{task}-{number}"
             flags = np.packbits(np.array(held, dtype=bool)).tobytes()
@@ -115,7 +148,7 @@ def _send(buckets: int, slots: int, schema: pa.Schema):
     return run
 
 
-def _train(buckets: int, slots: int, schema: pa.Schema):
+def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), own in groups(batches, 1):
             yield from tables(_of_bucket(bucket, own), schema, 256)
@@ -141,16 +174,20 @@ def _train(buckets: int, slots: int, schema: pa.Schema):
         seen = np.bincount(word[training], minlength=len(distinct))
         pair_word, pair_slot = (pairs // slots).astype(np.int32), (pairs % slots).astype(np.int32)
         rng = np.random.default_rng([bucket, 20])
-        known = int((seen > 0).sum())
-        d, events = discount(pair_n), known * buckets + 1
+        # A frequent word has its slots in all buckets alike: here it counts as what it is everywhere.
+        frequent = _is_hot(distinct, hot)
+        often = np.where(frequent > 0, buckets, 1)
+        known = int(((seen > 0) & (frequent == 0)).sum())
+        d, events = discount(pair_n), known * buckets + len(hot) + 1
         in_slot = np.bincount(pair_slot, weights=pair_n, minlength=slots)
         table = np.ones(len(pairs), dtype=np.int64)
         word_table = (seen > 0).astype(np.int64)
         pair_samples, word_samples = [], []
         for sweep in range(SWEEPS + SAMPLES):
             customers = np.bincount(pair_word, weights=table, minlength=len(distinct)).astype(np.int64)
-            d0 = discount(customers)
-            all_customers, all_tables = customers.sum() * buckets, word_table.sum() * buckets
+            d0 = discount(customers[frequent == 0])
+            all_customers, all_tables = customers.sum() * buckets, (word_table * (buckets // often)).sum()
+            customers = customers * often
             new = (STRENGTH + d0 * all_tables) / events
             word_table = seat(customers, np.full(len(distinct), new), np.full(len(distinct), d0 / events), d0, rng)
             p = (customers - d0 * word_table + new) / (STRENGTH + all_customers)
@@ -159,14 +196,17 @@ def _train(buckets: int, slots: int, schema: pa.Schema):
             if sweep >= SWEEPS:
                 customers = np.bincount(pair_word, weights=table, minlength=len(distinct)).astype(np.int64)
                 pair_samples.append(table)
-                word_samples.append((customers, np.minimum(word_table, customers)))
+                word_samples.append((np.where(frequent > 0, 0, customers), np.where(frequent > 0, 0, np.minimum(word_table, customers)), np.where(frequent > 0, customers, 0)))
         used = np.flatnonzero(in_slot)
         yield none | {
             "kind": "totals",
             "slot": used.tolist(),
             "slot_customers": in_slot[used].astype(np.int64).tolist(),
             "slot_tables": [np.bincount(pair_slot, weights=t, minlength=slots)[used].astype(np.int64).tolist() for t in pair_samples],
-            "totals": [float(x) for x in (seen.sum(), known, (pair_n == 1).sum(), (pair_n == 2).sum(), (customers == 1).sum(), (customers == 2).sum(), *(y for c, t in word_samples for y in (c.sum(), t.sum())))],
+            "totals": [float(x) for x in (seen.sum(), known, (pair_n == 1).sum(), (pair_n == 2).sum(), (word_samples[-1][0] == 1).sum(), (word_samples[-1][0] == 2).sum(), *(y for c, t, _ in word_samples for y in (c.sum(), t.sum())))],
+            "hot_word": (frequent[frequent > 0] - 1).tolist(),
+            "hot_seen": seen[frequent > 0].tolist(),
+            "hot_customers": [h[frequent > 0].tolist() for _, _, h in word_samples],
         }
         found = np.minimum(np.searchsorted(pairs, pair), max(0, len(pairs) - 1))
         hit = pairs[found] == pair if len(pairs) else np.zeros(len(pair), dtype=bool)
@@ -179,7 +219,8 @@ def _train(buckets: int, slots: int, schema: pa.Schema):
                 "kind": "occurrences", "batch": name, "docs": doc.tobytes(), "slots": own_slot.tobytes(), "counts": counts.tobytes(),
                 "pairs": as_u4(np.where(ok, pair_n[k], 0) if len(pairs) else np.zeros(len(k))),
                 "pair_tables": [as_u4(np.where(ok, t[k], 0) if len(pairs) else np.zeros(len(k))) for t in pair_samples],
-                "seen": as_u4(seen[at]), "customers": [as_u4(c[at]) for c, _ in word_samples], "tables": [as_u4(t[at]) for _, t in word_samples],
+                "seen": as_u4(seen[at]), "customers": [as_u4(c[at]) for c, _, _ in word_samples], "tables": [as_u4(t[at]) for _, t, _ in word_samples],
+                "hot": frequent[at].astype("<u2").tobytes(),
             }
             i, j = i + len(doc), j + len(w)
 
@@ -191,22 +232,25 @@ def _score(model: dict, schema: pa.Schema):
         yield from tables(map(_of_part, rows(batches)), schema, 256)
 
     def _of_part(r: tuple) -> dict:
-        name, doc, slot, counts, pairs, pair_tables, seen, customers, word_tables = r
+        name, doc, slot, counts, pairs, pair_tables, seen, customers, word_tables, hot = r
         u4 = lambda x: np.frombuffer(x, "<u4")
         doc, slot, counts, c, seen = np.frombuffer(doc, np.uint16), np.frombuffer(slot, np.uint16), u4(counts), u4(pairs), u4(seen)
+        hot = np.frombuffer(hot, "<u2").astype(np.int64)
+        total = lambda own, everywhere: np.where(hot > 0, everywhere[hot], own)
+        seen = total(seen, model["hot_seen"])
         p = np.zeros(len(doc))
         d, d0 = model["d"], model["d0"]
         in_slot = model["slot_customers"][slot]
         for s in range(SAMPLES):
             new = (STRENGTH + d0 * model["tables"][s]) / (model["known"] + 1)
-            word = (u4(customers[s]) - d0 * u4(word_tables[s]) + new) / (STRENGTH + model["customers"][s])
+            word = (total(u4(customers[s]), model["hot_customers"][s]) - d0 * total(u4(word_tables[s]), model["hot_tables"][s]) + new) / (STRENGTH + model["customers"][s])
             if not model["known"]:
                 word = np.ones(len(seen))
             p += (c - d * u4(pair_tables[s]) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
         n = int(doc.max()) + 1
         base = np.log10((seen + 0.5) / (model["n"] + 0.5 * (model["known"] + 1)))
-        total = lambda x: np.bincount(doc, weights=x, minlength=n).tobytes()
-        return {"batch": name, "ids": None, "held": None, "lengths": None, "base": total(np.repeat(base, counts)), "score": total(np.log10(p / SAMPLES)), "known": total(np.repeat(seen > 0, counts))}
+        by_doc = lambda x: np.bincount(doc, weights=x, minlength=n).tobytes()
+        return {"batch": name, "ids": None, "held": None, "lengths": None, "base": by_doc(np.repeat(base, counts)), "score": by_doc(np.log10(p / SAMPLES)), "known": by_doc(np.repeat(seen > 0, counts))}
 
     return run
 
@@ -236,25 +280,37 @@ def _arrow(schema: str, spark: SparkSession) -> pa.Schema:
     return to_arrow_schema(spark.createDataFrame([], schema).schema)
 
 
-def _model(kept: DataFrame, slots: int) -> dict:
-    """Restaurants' totals over all buckets: at most `slots` rows reach the driver, whatever the input's size."""
+def _model(kept: DataFrame, slots: int, hot: np.ndarray) -> dict:
+    """Restaurants' totals over all buckets: at most `slots` rows and MOST_HOT reach the driver, whatever the input's size."""
     totals = kept.where("kind = 'totals'")
     width = 6 + 2 * SAMPLES
-    sums = totals.agg(*[F.coalesce(F.sum(F.element_at("totals", k + 1)), F.lit(0.0)) for k in range(width)]).first()
-    one = totals.select(F.explode(F.arrays_zip("slot", "slot_customers", *[F.element_at("slot_tables", s + 1).alias(f"t{s}") for s in range(SAMPLES)])).alias("x")).select("x.*")
-    by_slot = one.groupBy("slot").agg(F.sum("slot_customers"), *[F.sum(f"t{s}") for s in range(SAMPLES)]).collect()
-    at = np.array([r[0] for r in by_slot], dtype=np.int64)
-
-    def spread(k: int) -> np.ndarray:
-        out = np.zeros(slots)
-        out[at] = [r[k] for r in by_slot]
+    sums = list(totals.agg(*[F.coalesce(F.sum(F.element_at("totals", k + 1)), F.lit(0.0)) for k in range(width)]).first())
+
+    def summed(key: str, *of: tuple[str, int | None], size: int) -> list[np.ndarray]:
+        arrays = [F.col(name) if k is None else F.element_at(name, k + 1) for name, k in of]
+        one = totals.select(F.explode(F.arrays_zip(F.col(key).alias("key"), *[a.alias(f"v{n}") for n, a in enumerate(arrays)])).alias("x")).select("x.*")
+        found = one.groupBy("key").agg(*[F.sum(f"v{n}").alias(f"v{n}") for n in range(len(arrays))]).collect()
+        at = np.array([r[0] for r in found], dtype=np.int64)
+        out = [np.zeros(size) for _ in arrays]
+        for k, column in enumerate(out):
+            column[at] = [r[k + 1] for r in found]
         return out
 
+    per_sample = range(SAMPLES)
+    slot_customers, *slot_tables = summed("slot", ("slot_customers", None), *[("slot_tables", s) for s in per_sample], size=slots)
+    hot_seen, *hot_customers = summed("hot_word", ("hot_seen", None), *[("hot_customers", s) for s in per_sample], size=len(hot))
     rate = lambda one, two: min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
+    d0, known = rate(sums[4], sums[5]), int(sums[1] + (hot_seen > 0).sum())
+    hot_tables = []
+    for s in per_sample:
+        new = (STRENGTH + d0 * (sums[7 + 2 * s] + len(hot))) / (known + 1)
+        hot_tables.append(seat(hot_customers[s].astype(np.int64), np.full(len(hot), new), np.full(len(hot), d0 / (known + 1)), d0, np.random.default_rng([s, 21])))
+    first = lambda x: np.r_[0, x]  # noqa: E731  place 0: not frequent
     return {
-        "n": int(sums[0]), "known": int(sums[1]), "d": rate(sums[2], sums[3]), "d0": rate(sums[4], sums[5]),
-        "customers": [sums[6 + 2 * s] for s in range(SAMPLES)], "tables": [sums[7 + 2 * s] for s in range(SAMPLES)],
-        "slot_customers": spread(1), "slot_tables": [spread(2 + s) for s in range(SAMPLES)],
+        "n": int(sums[0]), "known": known, "d": rate(sums[2], sums[3]), "d0": d0,
+        "customers": [sums[6 + 2 * s] + hot_customers[s].sum() for s in per_sample], "tables": [sums[7 + 2 * s] + hot_tables[s].sum() for s in per_sample],
+        "slot_customers": slot_customers, "slot_tables": slot_tables,
+        "hot_seen": first(hot_seen), "hot_customers": list(map(first, hot_customers)), "hot_tables": list(map(first, hot_tables)),
     }
 
 
@@ -270,11 +326,12 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     sent, kept_, part, out = _SENT.format(ids=ids), _KEPT.format(ids=ids), _PART.format(ids=ids), _OUT.format(id_type=id_type)
     buckets = BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
-    entries = read.mapInArrow(_send(buckets, slots, _arrow(sent, spark)), sent)
-    seated = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, slots, _arrow(kept_, spark)), kept_)
-    kept = Scratch(spark, "lm").save(seated)
-    model = _model(kept, slots)
-    columns = ["batch", "docs", "slots", "counts", "pairs", "pair_tables", "seen", "customers", "tables"]
+    hot = _hot_words(read)
+    entries = read.mapInArrow(_send(buckets, slots, hot, _arrow(sent, spark)), sent)
+    seated = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, slots, hot, _arrow(kept_, spark)), kept_)
+    kept = Scratch(spark, "lm").save(seated, compression="zstd")
+    model = _model(kept, slots, hot)
+    columns = ["batch", "docs", "slots", "counts", "pairs", "pair_tables", "seen", "customers", "tables", "hot"]
     parts = kept.where("kind = 'occurrences'").select(columns).mapInArrow(_score(model, _arrow(part, spark)), part)
     heads = kept.where("kind = 'documents'").select("batch", "ids", "held", "lengths", *[F.lit(None).cast("binary").alias(c) for c in ("base", "score", "known")])
     gathered = heads.unionByName(parts).repartition("batch").sortWithinPartitions("batch").mapInArrow(_gather(_arrow(out, spark)), out)
