@@ -29,7 +29,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +50,21 @@ KEPT_WORDS = 600_000
 _EDGES = b".,;:!?*&%$#|\"'()[]<>-_/"
 
 
-def features(word: bytes) -> list[int]:
-    """From the broadest to the word itself."""
-    letters = word.decode("utf-8", "surrogatepass")
-    return [xxhash.xxh3_64_intdigest(k.encode("utf-8", "surrogatepass")) for k in (*(letters[:n] for n in range(3, 9) if len(letters) > n), "=" + letters)]
+def features(word: bytes) -> list[str]:
+    """Beginnings from the shortest on, and the word itself, which = tells from a beginning."""
+    letters = word.decode("utf-8", "replace")
+    return [*(letters[:n] for n in range(3, 9) if len(letters) > n), "=" + letters]
+
+
+def rates(counts: dict[str, tuple[int, int]], base: float) -> dict[str, float]:
+    """Of each counted feature, given as (toxic, clean), the rate of label 1; the next broader counted one is its prior."""
+    out: dict[str, float] = {}
+    for key in sorted(counts, key=lambda k: (k[:1] == "=", len(k))):
+        broader = features(key[1:].encode())[:-1] if key[:1] == "=" else [key[:n] for n in range(3, len(key))]
+        prior = next((out[k] for k in reversed(broader) if k in out), base)
+        toxic, clean = counts[key]
+        out[key] = (toxic + PRIOR * prior) / (toxic + clean + PRIOR)
+    return out
 
 
 class Scorer:
@@ -65,26 +75,23 @@ class Scorer:
         self.known: dict[bytes, float] = {}
 
     def word(self, word: bytes) -> float:
-        bare = word.strip(_EDGES) or word
-        m, rate = self.model, self.model["rate"]
-        for k in features(bare):
-            i = int(np.searchsorted(m["feature"], np.uint64(k)))
-            if i < len(m["feature"]) and m["feature"][i] == k:
-                rate = (m["toxic"][i] + PRIOR * rate) / (m["toxic"][i] + m["clean"][i] + PRIOR)
-        s = math.log(rate / (1 - rate)) - math.log(m["rate"] / (1 - m["rate"]))
-        return min(HIGH, max(LOW, s)) - DRIFT
+        """By the narrowest feature that was counted."""
+        letters = (word.strip(_EDGES) or word).decode("utf-8", "replace")
+        score = self.model["score"]
+        s = score.get("=" + letters)
+        n = min(8, len(letters) - 1)
+        while s is None and n >= 3:
+            s = score.get(letters[:n])
+            n -= 1
+        return -DRIFT if s is None else s
 
     def tokens(self, own: list[bytes]) -> np.ndarray:
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, own), dtype=np.float64, count=len(own))
-        except KeyError:
-            for w in set(own):
-                if w not in known:
-                    known[w] = self.word(w)
-            return np.fromiter(map(known.__getitem__, own), dtype=np.float64, count=len(own))
+        for w in set(own).difference(known):
+            known[w] = self.word(w)
+        return np.fromiter(map(known.__getitem__, own), dtype=np.float64, count=len(own))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -144,14 +151,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = [0, 0]
     for batch in batches:
         for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            own = {w.strip(_EDGES) or w for w in words(text)}
+            own = {w.strip(_EDGES) or w for w in set(words(text))}
             total[toxic] += len(own)
             seen[toxic].update({k for w in own for k in features(w)})
     keys = list(seen[0].keys() | seen[1].keys())
-    yield pa.RecordBatch.from_pydict(
-        {"feature": np.array([0, *keys], dtype=np.uint64).view(np.int64), "clean": [total[0], *(seen[0][k] for k in keys)], "toxic": [total[1], *(seen[1][k] for k in keys)], "total": [True, *[False] * len(keys)]},
-        schema=pa.schema([("feature", pa.int64()), ("clean", pa.int64()), ("toxic", pa.int64()), ("total", pa.bool_())]),
-    )
+    columns = {"feature": ["", *keys], "clean": [total[0], *(seen[0][k] for k in keys)], "toxic": [total[1], *(seen[1][k] for k in keys)]}
+    yield pa.RecordBatch.from_pydict(columns, schema=pa.schema([("feature", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]))
 
 
 def _measure(model: dict):
@@ -196,17 +201,17 @@ def fit(docs: DataFrame, labels: DataFrame, training, *, doc_id: str = "doc_id",
     """training: a boolean column of labels. None if the sample lacks a label."""
     importable(docs.sparkSession)
     own = _sample(docs, labels, training, doc_id, text, label, sample)
-    parts = own.where("not calibrates").mapInArrow(_count, "feature long, clean long, toxic long, total boolean")
-    counted = parts.groupBy("total", "feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # Bounded by the sample: its documents' features, without those that few of them hold.
-    table: pd.DataFrame = counted.where(F.col("total") | (F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS)).toPandas()
-    total = table[table["total"]]
-    if not len(total) or not total["toxic"].iloc[0] or not total["clean"].iloc[0]:
+    parts = own.where("not calibrates").mapInArrow(_count, "feature string, clean long, toxic long")
+    counted = parts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # Bounded by the sample: its documents' features, without those that few of them hold. The empty one has the totals.
+    table: pd.DataFrame = counted.where((F.col("feature") == "") | (F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS)).toPandas()
+    counts = {f: (t, c) for f, c, t in zip(table["feature"], table["clean"].tolist(), table["toxic"].tolist(), strict=True)}
+    toxic, clean = counts.pop("", (0, 0))
+    if not toxic or not clean:
         return None
-    table = table[~table["total"]]
-    key = table["feature"].to_numpy().view(np.uint64)
-    order = np.argsort(key)
-    model = {"feature": key[order], "toxic": table["toxic"].to_numpy()[order], "clean": table["clean"].to_numpy()[order], "rate": float(total["toxic"].iloc[0] / (total["toxic"].iloc[0] + total["clean"].iloc[0]))}
+    odds = math.log(toxic / clean)
+    score = {f: min(HIGH, max(LOW, math.log(r / (1 - r)) - odds)) - DRIFT for f, r in rates(counts, toxic / (toxic + clean)).items()}
+    model = {"score": score}
     seen = own.where("calibrates").mapInArrow(_measure(model), "toxic boolean, n long, scores array<double>").toPandas()
     clean = seen[~seen["toxic"]]
     if not len(clean) or len(clean) == len(seen):
