@@ -60,7 +60,7 @@ _SENT = "bucket int, batch string, {ids}, held binary, lengths binary, words bin
 _FREQUENT = "word long, n long"
 _KEPT = (
     "kind string, batch string, {ids}, held binary, lengths binary, docs binary, slots binary, counts binary, pairs binary, "
-    "pair_tables array<binary>, seen binary, customers array<binary>, tables array<binary>, slot array<int>, slot_customers array<long>, "
+    "fewer_tables array<binary>, seen binary, customers array<binary>, tables array<binary>, slot array<int>, slot_customers array<long>, "
     "slot_tables array<array<long>>, totals array<double>, hot binary, hot_word array<long>, hot_seen array<long>, hot_customers array<array<long>>"
 )
 _PART = "batch string, {ids}, held binary, lengths binary, base binary, score binary, known binary"
@@ -151,7 +151,7 @@ def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
 def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), own in groups(batches, 1):
-            yield from tables(_of_bucket(bucket, own), schema, 256)
+            yield from tables(_of_bucket(bucket, own), schema, 64)
 
     def _of_bucket(bucket: int, own: list[tuple]) -> Iterator[dict]:
         none = dict.fromkeys(x.name for x in schema)
@@ -181,6 +181,7 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
         d, events = discount(pair_n), known * buckets + len(hot) + 1
         in_slot = np.bincount(pair_slot, weights=pair_n, minlength=slots)
         table = np.ones(len(pairs), dtype=np.int64)
+        spread = np.where(frequent[pair_word] > 0, 1, buckets)
         word_table = (seen > 0).astype(np.int64)
         pair_samples, word_samples = [], []
         for sweep in range(SWEEPS + SAMPLES):
@@ -191,8 +192,10 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
             new = (STRENGTH + d0 * all_tables) / events
             word_table = seat(customers, np.full(len(distinct), new), np.full(len(distinct), d0 / events), d0, rng)
             p = (customers - d0 * word_table + new) / (STRENGTH + all_customers)
-            slot_table = np.bincount(pair_slot, weights=table, minlength=slots) * buckets
-            table = seat(pair_n, (STRENGTH + d * slot_table[pair_slot]) * p[pair_word], d * p[pair_word], d, rng)
+            # Of a slot's tables an entry knows its own, and the others here stand for those elsewhere.
+            slot_table = np.bincount(pair_slot, weights=table * spread, minlength=slots)
+            others = slot_table[pair_slot] - table * spread
+            table = seat(pair_n, (STRENGTH + d * (others + 1)) * p[pair_word], d * p[pair_word], d, rng)
             if sweep >= SWEEPS:
                 customers = np.bincount(pair_word, weights=table, minlength=len(distinct)).astype(np.int64)
                 pair_samples.append(table)
@@ -218,7 +221,7 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
             yield none | {
                 "kind": "occurrences", "batch": name, "docs": doc.tobytes(), "slots": own_slot.tobytes(), "counts": counts.tobytes(),
                 "pairs": as_u4(np.where(ok, pair_n[k], 0) if len(pairs) else np.zeros(len(k))),
-                "pair_tables": [as_u4(np.where(ok, t[k], 0) if len(pairs) else np.zeros(len(k))) for t in pair_samples],
+                "fewer_tables": [as_u4(np.where(ok, (pair_n - t)[k], 0) if len(pairs) else np.zeros(len(k))) for t in pair_samples],
                 "seen": as_u4(seen[at]), "customers": [as_u4(c[at]) for c, _, _ in word_samples], "tables": [as_u4(t[at]) for _, t, _ in word_samples],
                 "hot": frequent[at].astype("<u2").tobytes(),
             }
@@ -232,7 +235,7 @@ def _score(model: dict, schema: pa.Schema):
         yield from tables(map(_of_part, rows(batches)), schema, 256)
 
     def _of_part(r: tuple) -> dict:
-        name, doc, slot, counts, pairs, pair_tables, seen, customers, word_tables, hot = r
+        name, doc, slot, counts, pairs, fewer_tables, seen, customers, word_tables, hot = r
         u4 = lambda x: np.frombuffer(x, "<u4")
         doc, slot, counts, c, seen = np.frombuffer(doc, np.uint16), np.frombuffer(slot, np.uint16), u4(counts), u4(pairs), u4(seen)
         hot = np.frombuffer(hot, "<u2").astype(np.int64)
@@ -246,7 +249,7 @@ def _score(model: dict, schema: pa.Schema):
             word = (total(u4(customers[s]), model["hot_customers"][s]) - d0 * total(u4(word_tables[s]), model["hot_tables"][s]) + new) / (STRENGTH + model["customers"][s])
             if not model["known"]:
                 word = np.ones(len(seen))
-            p += (c - d * u4(pair_tables[s]) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
+            p += (c - d * (c - u4(fewer_tables[s]).astype(np.int64)) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
         n = int(doc.max()) + 1
         base = np.log10((seen + 0.5) / (model["n"] + 0.5 * (model["known"] + 1)))
         by_doc = lambda x: np.bincount(doc, weights=x, minlength=n).tobytes()
@@ -331,7 +334,7 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     seated = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, slots, hot, _arrow(kept_, spark)), kept_)
     kept = Scratch(spark, "lm").save(seated, compression="zstd")
     model = _model(kept, slots, hot)
-    columns = ["batch", "docs", "slots", "counts", "pairs", "pair_tables", "seen", "customers", "tables", "hot"]
+    columns = ["batch", "docs", "slots", "counts", "pairs", "fewer_tables", "seen", "customers", "tables", "hot"]
     parts = kept.where("kind = 'occurrences'").select(columns).mapInArrow(_score(model, _arrow(part, spark)), part)
     heads = kept.where("kind = 'documents'").select("batch", "ids", "held", "lengths", *[F.lit(None).cast("binary").alias(c) for c in ("base", "score", "known")])
     gathered = heads.unionByName(parts).repartition("batch").sortWithinPartitions("batch").mapInArrow(_gather(_arrow(out, spark)), out)

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Words whose hash a Python worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 150_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _FMIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -52,7 +52,7 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(mixed(out))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: int, size: int = 8 << 20, most: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: int, size: int = 4 << 20, most: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Parts of Arrow batches with about `size` bytes of one column's text, a row at least and `most` rows at most."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
