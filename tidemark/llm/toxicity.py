@@ -39,8 +39,8 @@ from tidemark.session import importable
 SAMPLE = 24_000
 #: Of these, one in so many calibrates; the words of the others are counted.
 CALIBRATION = 3
-#: A feature counts if so many labelled documents hold it.
-LEAST_DOCUMENTS = 3
+#: A feature counts if so many labelled documents of one or the other kind hold it, and LEAST_DOCUMENTS in all.
+LEAST_TOXIC, LEAST_CLEAN, LEAST_DOCUMENTS = 2, 10, 3
 #: Weight of the prior, in documents.
 PRIOR = 2.0
 DRIFT = 3.0
@@ -63,7 +63,7 @@ def rates(counts: dict[str, tuple[int, int]], base: float) -> dict[str, float]:
         broader = features(key[1:].encode())[:-1] if key[:1] == "=" else [key[:n] for n in range(3, len(key))]
         prior = next((out[k] for k in reversed(broader) if k in out), base)
         toxic, clean = counts[key]
-        out[key] = (toxic + PRIOR * prior) / (toxic + clean + PRIOR)
+        out[key] = min(1 - 1e-9, max(1e-9, (toxic + PRIOR * prior) / (toxic + clean + PRIOR)))
     return out
 
 
@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, training, *, doc_id: str = "doc_id",
     parts = own.where("not calibrates").mapInArrow(_count, "feature string, clean long, toxic long")
     counted = parts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # Bounded by the sample: its documents' features, without those that few of them hold. The empty one has the totals.
-    table: pd.DataFrame = counted.where((F.col("feature") == "") | (F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS)).toPandas()
+    table: pd.DataFrame = counted.where((F.col("feature") == "") | ((F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS) & ((F.col("toxic") >= LEAST_TOXIC) | (F.col("clean") >= LEAST_CLEAN)))).toPandas()
     counts = {f: (t, c) for f, c, t in zip(table["feature"], table["clean"].tolist(), table["toxic"].tolist(), strict=True)}
     toxic, clean = counts.pop("", (0, 0))
     if not toxic or not clean:
