@@ -11,6 +11,8 @@ import os
 import re
 from array import array
 
+from tidemark.llm.workers import kept
+
 #: Words whose ids a Python worker keeps; beyond that it starts anew.
 KEPT_WORDS = 1_200_000
 #: Longer words are encoded each time they occur.
@@ -19,8 +21,6 @@ KEPT_CHARS = 48
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
 _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")
 
-_encoders: dict[str, WordEncoder] = {}
-
 
 def default_path(name: str) -> str:
     import public_tokenizers
@@ -52,9 +52,7 @@ class WordEncoder:
 
     @classmethod
     def get(cls, path: str) -> WordEncoder:
-        if path not in _encoders:
-            _encoders[path] = cls(path)
-        return _encoders[path]
+        return kept(f"tokens {path}", lambda: cls(path))
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""

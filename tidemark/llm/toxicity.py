@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import tables, words
+from tidemark.llm.workers import kept
 from tidemark.session import importable
 
 #: Labelled documents that are learned from, at most.
@@ -229,14 +230,15 @@ def toxic(docs: DataFrame, model: dict | None, *, keep: list[str] | None = None,
     passages: start and end word, score and expected number by chance, of each segment that less than one is expected of.
     """
     spark: SparkSession = importable(docs.sparkSession)
-    kept = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
-    read = docs.select(kept, F.col(f"`{text}`").alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
+    read = docs.select(row, F.col(f"`{text}`").alias("text"))
     out_type = "struct<score: double, passages: array<struct<start: int, end: int, score: double, expected: double>>>"
     if model is None:
         return read.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.from_json(F.lit("{}"), out_type)["passages"].alias("passages"))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        kept("nothing", dict)
         scorer = Scorer(shared.value)
         m = shared.value
         for batch in batches:

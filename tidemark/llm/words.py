@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from tidemark.llm.workers import kept
+
 #: Words whose hash a Python worker keeps.
 KEPT_WORDS = 150_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -23,16 +25,13 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
 def words(text: str | None) -> list[bytes]:
     r"""A-Z in lower case, then runs of bytes outside [\x20\x09-\x0D]; bytes.lower and bytes.split mean just these."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
 def word_hashes(own: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, own), dtype=np.uint64, count=len(own))
+    return np.fromiter(map(kept("hashes", _Hashes).__getitem__, own), dtype=np.uint64, count=len(own))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
