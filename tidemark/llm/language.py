@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.workers import kept
 from tidemark.session import Scratch, importable
 
 NONE = "und"
@@ -43,7 +44,7 @@ ADD = 0.05
 #: Weight of the level above, in pages.
 PRIOR = 5.0
 LEAST_CONFIDENCE = 0.3
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
 _HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer|noscript)\b.*?</\1\s*>|<[^>]*>")
 _DECLARED = re.compile(r"(?is)<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?\s*([a-z]{2,3})\b|<meta\b[^>]*content-language[^>]*content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
@@ -80,26 +81,31 @@ class Likelihoods:
     """Logarithms of a text's likelihoods, in the order of the model's languages."""
 
     def __init__(self, model: dict):
-        self.grams = model["grams"]
-        self.width = len(model["langs"])
-        # Of a trigram's first two letters, how often they were followed by any.
-        self.before = []
-        for grams in self.grams:
+        kept("nothing", dict)
+        grams, width = model["grams"], len(model["langs"])
+        every = sorted({g for own in grams for g in own})
+        before = sorted({g[:-1] for g in every})
+        # A row for each trigram, for each two letters before one that did not follow them, and for any other.
+        self.row = {g: n for n, g in enumerate(every)}
+        self.after = {b: n + len(every) for n, b in enumerate(before)}
+        self.other = len(every) + len(before)
+        self.table = np.full((self.other + 1, width), -math.log(ALIKE))
+        for k, own in enumerate(grams):
             total: Counter = Counter()
-            for g, n in grams.items():
+            for g, n in own.items():
                 total[g[:-1]] += n
-            self.before.append(total)
+            for g in every:
+                self.table[self.row[g], k] = math.log((own.get(g, 0) + ADD) / (total[g[:-1]] + ADD * ALIKE))
+            for b in before:
+                self.table[self.after[b], k] = math.log(ADD / (total[b] + ADD * ALIKE))
         self.known: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
 
     def _word(self, word: str) -> np.ndarray:
-        out = np.zeros(self.width)
-        padded = f" {word} "
-        steps = [padded[max(0, i - 1) : i + 2] for i in range(len(padded) - 1)]
-        for k, (grams, before) in enumerate(zip(self.grams, self.before, strict=True)):
-            out[k] = sum(math.log((grams.get(g, 0) + ADD) / (before.get(g[:-1], 0) + ADD * ALIKE)) for g in steps)
-        out[-1] = -len(steps) * math.log(ALIKE)
-        return out
+        padded, row = f" {word} ", self.row
+        grams = [padded[max(0, i - 1) : i + 2] for i in range(len(padded) - 1)]
+        at = [row[g] if g in row else self.after.get(g[:-1], self.other) for g in grams]
+        return self.table[at].sum(axis=0)
 
     def text(self, text: str) -> np.ndarray | None:
         """None if there is no letter."""
@@ -137,8 +143,8 @@ def identify(docs: DataFrame, model: dict, *, keep: list[str] | None = None, tex
             yield pd.DataFrame({"lang": [langs[k] for k in best], "confidence": [p[k] for p, k in zip(found, best, strict=True)]})
 
     udf = F.pandas_udf(run, "struct<lang: string, confidence: double>")
-    kept = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
-    out = docs.select(kept, F.col(f"`{text}`").alias("text")).withColumn("found", udf("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
+    out = docs.select(row, F.col(f"`{text}`").alias("text")).withColumn("found", udf("text"))
     return out.select("row", "found.lang", "found.confidence")
 
 
