@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +60,8 @@ ONE_BY_ONE = 24
 _SENT = "bucket int, batch string, {ids}, held binary, lengths binary, words binary, counts binary, slots binary, docs binary"
 _FREQUENT = "word long, n long"
 _KEPT = (
-    "kind string, batch string, {ids}, held binary, lengths binary, docs binary, slots binary, counts binary, pairs binary, "
-    "fewer_tables array<binary>, seen binary, customers array<binary>, tables array<binary>, slot array<int>, slot_customers array<long>, "
-    "slot_tables array<array<long>>, totals array<double>, hot binary, hot_word array<long>, hot_seen array<long>, hot_customers array<array<long>>"
+    "kind string, batch string, {ids}, held binary, lengths binary, packed binary, slot array<int>, slot_customers array<long>, "
+    "slot_tables array<array<long>>, totals array<double>, hot_word array<long>, hot_seen array<long>, hot_customers array<array<long>>"
 )
 _PART = "batch string, {ids}, held binary, lengths binary, base binary, score binary, known binary"
 _OUT = "doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -89,6 +89,22 @@ def discount(customers: np.ndarray) -> float:
     return min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
 
 
+def pack(by_occurrence: list, by_word: list) -> bytes:
+    """Columns of numbers below 2**32 as compressed bytes: most are small and alike."""
+    head = np.array([len(by_occurrence[0]), len(by_word[0]), len(by_occurrence), len(by_word)], dtype="<u4").tobytes()
+    return zstandard.compress(head + b"".join(np.ascontiguousarray(x, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in (*by_occurrence, *by_word)), 1)
+
+
+def unpack(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    data = zstandard.decompress(data)
+    n, m, a, b = np.frombuffer(data, "<u4", 4).tolist()
+    at, out = 16, []
+    for size in [n] * a + [m] * b:
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * size, at).reshape(4, size).T).view("<u4").reshape(-1))
+        at += 4 * size
+    return out[:a], out[a:]
+
+
 def _tokens(texts: list[str | None]) -> list[np.ndarray]:
     ends = np.array([END], dtype=np.uint64)
     return [np.concatenate([word_hashes(words(t)), ends]) for t in texts]
@@ -119,7 +135,7 @@ def _is_hot(word: np.ndarray, hot: np.ndarray) -> np.ndarray:
 def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(slices(batches, 2)):
+        for number, batch in enumerate(slices(batches, 2, size=8 << 20)):
             ids, held, texts = (c.to_pylist() for c in batch.columns)
             own = _tokens(texts)
             lengths = np.array([len(x) for x in own], dtype=np.int64)
@@ -213,18 +229,14 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
         }
         found = np.minimum(np.searchsorted(pairs, pair), max(0, len(pairs) - 1))
         hit = pairs[found] == pair if len(pairs) else np.zeros(len(pair), dtype=bool)
-        as_u4 = lambda x: np.ascontiguousarray(x, dtype="<u4").tobytes()
         i = j = 0
         for name, _, w, counts, own_slot, doc in parts:
             at, k = number[j : j + len(w)], found[i : i + len(doc)]
             ok = hit[i : i + len(doc)]
-            yield none | {
-                "kind": "occurrences", "batch": name, "docs": doc.tobytes(), "slots": own_slot.tobytes(), "counts": counts.tobytes(),
-                "pairs": as_u4(np.where(ok, pair_n[k], 0) if len(pairs) else np.zeros(len(k))),
-                "fewer_tables": [as_u4(np.where(ok, (pair_n - t)[k], 0) if len(pairs) else np.zeros(len(k))) for t in pair_samples],
-                "seen": as_u4(seen[at]), "customers": [as_u4(c[at]) for c, _, _ in word_samples], "tables": [as_u4(t[at]) for _, t, _ in word_samples],
-                "hot": frequent[at].astype("<u2").tobytes(),
-            }
+            of_pair = lambda x: np.where(ok, x[k], 0) if len(pairs) else np.zeros(len(k))
+            by_occurrence = [doc, own_slot, of_pair(pair_n), *[of_pair(pair_n - t) for t in pair_samples]]
+            by_word = [counts, frequent[at], seen[at], *[x[at] for c, t, _ in word_samples for x in (c, t)]]
+            yield none | {"kind": "occurrences", "batch": name, "packed": pack(by_occurrence, by_word)}
             i, j = i + len(doc), j + len(w)
 
     return run
@@ -235,10 +247,10 @@ def _score(model: dict, schema: pa.Schema):
         yield from tables(map(_of_part, rows(batches)), schema, 256)
 
     def _of_part(r: tuple) -> dict:
-        name, doc, slot, counts, pairs, fewer_tables, seen, customers, word_tables, hot = r
-        u4 = lambda x: np.frombuffer(x, "<u4")
-        doc, slot, counts, c, seen = np.frombuffer(doc, np.uint16), np.frombuffer(slot, np.uint16), u4(counts), u4(pairs), u4(seen)
-        hot = np.frombuffer(hot, "<u2").astype(np.int64)
+        name, packed = r
+        (doc, slot, c, *fewer_tables), (counts, hot, seen, *of_word) = unpack(packed)
+        customers, word_tables = of_word[::2], of_word[1::2]
+        c = c.astype(np.int64)
         total = lambda own, everywhere: np.where(hot > 0, everywhere[hot], own)
         seen = total(seen, model["hot_seen"])
         p = np.zeros(len(doc))
@@ -246,10 +258,10 @@ def _score(model: dict, schema: pa.Schema):
         in_slot = model["slot_customers"][slot]
         for s in range(SAMPLES):
             new = (STRENGTH + d0 * model["tables"][s]) / (model["known"] + 1)
-            word = (total(u4(customers[s]), model["hot_customers"][s]) - d0 * total(u4(word_tables[s]), model["hot_tables"][s]) + new) / (STRENGTH + model["customers"][s])
+            word = (total(customers[s], model["hot_customers"][s]) - d0 * total(word_tables[s], model["hot_tables"][s]) + new) / (STRENGTH + model["customers"][s])
             if not model["known"]:
                 word = np.ones(len(seen))
-            p += (c - d * (c - u4(fewer_tables[s]).astype(np.int64)) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
+            p += (c - d * (c - fewer_tables[s]) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
         n = int(doc.max()) + 1
         base = np.log10((seen + 0.5) / (model["n"] + 0.5 * (model["known"] + 1)))
         by_doc = lambda x: np.bincount(doc, weights=x, minlength=n).tobytes()
@@ -332,9 +344,9 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     hot = _hot_words(read)
     entries = read.mapInArrow(_send(buckets, slots, hot, _arrow(sent, spark)), sent)
     seated = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, slots, hot, _arrow(kept_, spark)), kept_)
-    kept = Scratch(spark, "lm").save(seated, compression="zstd")
+    kept = Scratch(spark, "lm").save(seated)
     model = _model(kept, slots, hot)
-    columns = ["batch", "docs", "slots", "counts", "pairs", "fewer_tables", "seen", "customers", "tables", "hot"]
+    columns = ["batch", "packed"]
     parts = kept.where("kind = 'occurrences'").select(columns).mapInArrow(_score(model, _arrow(part, spark)), part)
     heads = kept.where("kind = 'documents'").select("batch", "ids", "held", "lengths", *[F.lit(None).cast("binary").alias(c) for c in ("base", "score", "known")])
     gathered = heads.unionByName(parts).repartition("batch").sortWithinPartitions("batch").mapInArrow(_gather(_arrow(out, spark)), out)
