@@ -13,8 +13,8 @@ from array import array
 
 from tidemark.llm.workers import kept
 
-#: Words whose ids a Python worker keeps; beyond that it starts anew.
-KEPT_WORDS = 1_200_000
+#: Words, and pieces of words, whose ids a Python worker keeps; beyond that it starts anew.
+KEPT_WORDS, KEPT_PIECES = 500_000, 300_000
 #: Longer words are encoded each time they occur.
 KEPT_CHARS = 48
 #: How the tokenizer splits ASCII text, and letters whose lower case and normal form are beyond doubt.
@@ -67,7 +67,7 @@ class WordEncoder:
                 del self.known[w]
         if len(self.known) > KEPT_WORDS:
             self.known = {"": b""}
-        if len(self.pieces) > KEPT_WORDS:
+        if len(self.pieces) > KEPT_PIECES:
             self.pieces = {}
         return out
 
