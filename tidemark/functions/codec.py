@@ -85,6 +85,11 @@ def _text(text: Column, t: V.ValueType) -> Column:
     return _scalar(text, t)
 
 
+def from_text(text: Column, t: V.ValueType) -> Column:
+    """Bare text, such as a CSV field, as the type; arrays, maps and structs are JSON in it."""
+    return _text(text, t)
+
+
 def decode_json(text: Column, t: V.ValueType) -> Column:
     """JSON text as the type."""
     if isinstance(t, V.Struct | V.Map) or t == V.ANY:
