@@ -79,7 +79,8 @@ def _text(text: Column, t: V.ValueType) -> Column:
         return F.transform_values(F.transform_keys(pairs, lambda k, _: _text(k, t.key)), lambda _, v: _text(v, t.value))
     if isinstance(t, V.Struct):
         own = F.from_json(text, "struct<" + ",".join(f"`{n.replace('`', '``')}`:string" for n, _ in t.fields) + ">")
-        return F.when(own.isNotNull(), F.struct(*[_text(own.getField(n), f).alias(n) for n, f in t.fields]))
+        # As a lambda's variable the parsed object is made once, where each use of the expression would parse anew.
+        return F.element_at(F.transform(F.array(own), lambda r: F.when(r.isNotNull(), F.struct(*[_text(r.getField(n), f).alias(n) for n, f in t.fields]))), 1)
     if t == V.ANY:
         return F.try_parse_json(text)
     return _scalar(text, t)
