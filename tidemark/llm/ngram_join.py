@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import trie
 from tidemark.llm.components import components
 from tidemark.llm.words import groups, shingles, slices, tables, word_hashes, words
+from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
 WIDTH = 5
@@ -47,6 +48,8 @@ NUM, DEN = 80, 100
 BLOCK = 1024
 #: Sets of each class of a block that meet those of other blocks in the second step.
 LEADERS = 4
+#: Buckets for each shuffle partition. A task has one bucket in memory at a time.
+BUCKETS = 2
 _SHIFT = np.uint64(16)
 
 
@@ -75,6 +78,7 @@ _FOUND = "batch string, {ids}, digests binary, sizes binary, nodes binary, token
 
 
 def _send(width: int, buckets: int, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(slices(batches, 1)):
@@ -106,6 +110,7 @@ def _send(width: int, buckets: int, schema: pa.Schema):
 def _count(schema: pa.Schema):
     """Of each element that two nodes hold: its place in the global order, back to the batches that hold it."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in groups(batches, 1):
             yield from tables(_of_bucket(own), schema, 256)
@@ -143,6 +148,7 @@ def _count(schema: pa.Schema):
 def _nodes(num: int, den: int, schema: pa.Schema):
     """Each document's node, and of each node that may link its shared elements in order."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables((row for _, own in groups(batches, 1) for row in _of_batch(own)), schema, 1024)
 
@@ -169,6 +175,7 @@ def _nodes(num: int, den: int, schema: pa.Schema):
 def _blocks(num: int, den: int, schema: pa.Schema):
     """Rows part..., node, size, keys: a self join of each part. Gives each node's class and links between classes."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables((row for part, own in groups(batches, 2) for row in _of_part(part, own)), schema)
 
@@ -188,6 +195,7 @@ def _blocks(num: int, den: int, schema: pa.Schema):
 def _probes(num: int, den: int, schema: pa.Schema):
     """Rows cluster, block, chunk, probing, node, size, keys, root: links of probes with sets of other classes."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables((row for _, own in groups(batches, 3) for row in _of_part(own)), schema)
 
@@ -264,7 +272,7 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     spark = importable(docs.sparkSession)
     scratch = Scratch(spark, "ngram")
     id_type = dict(docs.dtypes)[doc_id]
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ids = f"ids array<{id_type}>"
     sent, found = _SENT.format(ids=ids), _FOUND.format(ids=ids)
     kept = f"doc_id {id_type}, node binary, size long, keys binary, prefix long"
