@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tokens import default_path
 from tidemark.llm.words import groups, rows, tables
+from tidemark.llm.workers import tidy
 from tidemark.session import importable
 
 ASSISTANT = "assistant"
@@ -105,6 +106,7 @@ class Codec:
 
 
 def _format(path: str, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def turns() -> Iterator[dict]:
             codec, current, number, start = Codec.get(path), None, 0, 0
@@ -133,6 +135,7 @@ def format_chats(chats: DataFrame, *, path: str | None = None, conv_id: str = "c
 
 
 def _read(path: str, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def conversations() -> Iterator[dict]:
             codec = Codec.get(path)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.workers import kept
+from tidemark.llm.workers import kept, tidy
 from tidemark.session import Scratch, importable
 
 NONE = "und"
@@ -135,6 +135,7 @@ def identify(docs: DataFrame, model: dict, *, keep: list[str] | None = None, tex
     spark: SparkSession = importable(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer, langs = Likelihoods(shared.value), shared.value["langs"]
         for batch in batches:
@@ -179,6 +180,7 @@ def identify_pages(pages: DataFrame, model: dict, *, page_id: str = "page_id", u
     shared = spark.sparkContext.broadcast(model)
     id_type = dict(pages.dtypes)[page_id]
 
+    @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Likelihoods(shared.value)
         for batch in batches:

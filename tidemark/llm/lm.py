@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import groups, mixed, rows, slices, tables, word_hashes, words
+from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
 #: Context restaurants. Frequent words have one each, nearly; rare ones share.
@@ -133,6 +134,7 @@ def _is_hot(word: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(slices(batches, 2, size=8 << 20)):
@@ -165,6 +167,7 @@ def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
 
 
 def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), own in groups(batches, 1):
             yield from tables(_of_bucket(bucket, own), schema, 64)
@@ -243,6 +246,7 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
 
 
 def _score(model: dict, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables(map(_of_part, rows(batches)), schema, 256)
 
@@ -271,6 +275,7 @@ def _score(model: dict, schema: pa.Schema):
 
 
 def _gather(schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables((row for _, own in groups(batches, 1) for row in _of_batch(own)), schema)
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.vectors import grid, vectors
 from tidemark.llm.words import groups, tables
+from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
 LEAST_COSINE = 0.9
@@ -119,6 +120,7 @@ def near_pairs(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, le
 
 
 def _classes(schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_() -> Iterator[dict]:
             for batch in batches:
@@ -135,6 +137,7 @@ def _classes(schema: pa.Schema):
 
 
 def _cell(least_cosine: float, projections: int, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables((row for (i, j), own in groups(batches, 2) for row in _of_cell(i == j, own)), schema)
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tokens import WordEncoder, default_path
+from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
 CAPACITY = 2048
@@ -48,6 +49,7 @@ def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, doc_id: str
     """A row for each piece of each document: doc_id, piece, start, length, ids_crc32, and ids (binary) if asked for."""
     id_type = dict(docs.dtypes)[doc_id]
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder.get(path), np.asarray([END_ID], dtype="<u4").tobytes()
         for batch in batches:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.vectors import vectors
 from tidemark.llm.words import groups, tables
+from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
 SCALE = 1024.0
@@ -130,6 +131,7 @@ def _long_way(q: np.ndarray, q_row: np.ndarray, p: np.ndarray, p_row: np.ndarray
 
 
 def _scaled(scale: float, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_() -> Iterator[dict]:
             for batch in batches:
@@ -143,6 +145,7 @@ def _scaled(scale: float, schema: pa.Schema):
 
 
 def _cell(k: int, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables((row for _, own in groups(batches, 2) for row in _of_cell(own)), schema)
 

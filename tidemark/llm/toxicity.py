@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import tables, words
-from tidemark.llm.workers import kept
+from tidemark.llm.workers import kept, tidy
 from tidemark.session import importable
 
 #: Labelled documents that are learned from, at most.
@@ -163,6 +163,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _measure(model: dict):
     schema = pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("scores", pa.list_(pa.float64()))])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
 
@@ -237,6 +238,7 @@ def toxic(docs: DataFrame, model: dict | None, *, keep: list[str] | None = None,
         return read.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.from_json(F.lit("{}"), out_type)["passages"].alias("passages"))
     shared = spark.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kept("nothing", dict)
         scorer = Scorer(shared.value)
