@@ -51,7 +51,9 @@ STRENGTH = 1.0
 END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
 #: Buckets for each shuffle partition. A task has one bucket in memory at a time.
-BUCKETS = 4
+BUCKETS = 2
+#: Bytes of documents' sums that a scoring task gathers before it sends them on.
+GATHERED = 48 << 20
 #: A word is frequent if it is such a part of the tokens of some batch; and how many of them are dealt by slot as well.
 HOT = 1 / 1000
 MOST_HOT = 4096
@@ -248,10 +250,33 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
 def _score(model: dict, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from tables(map(_of_part, rows(batches)), schema, 256)
-
-    def _of_part(r: tuple) -> dict:
-        name, packed = r
+        yield from tables(_summed(batches), schema, 64)
+
+    def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        """Sums of each batch's documents over the buckets that this task reads."""
+        sums: dict[str, np.ndarray] = {}
+        held = 0
+        for name, packed in rows(batches):
+            own = _of_part(packed)
+            before = sums.get(name)
+            if before is not None and before.shape[1] >= own.shape[1]:
+                before[:, : own.shape[1]] += own
+                continue
+            if before is not None:
+                own[:, : before.shape[1]] += before
+                held -= before.nbytes
+            sums[name] = own
+            held += own.nbytes
+            if held > GATHERED:
+                yield from map(_row, sums.items())
+                sums, held = {}, 0
+        yield from map(_row, sums.items())
+
+    def _row(item: tuple[str, np.ndarray]) -> dict:
+        base, score_, known = (x.tobytes() for x in item[1])
+        return {"batch": item[0], "ids": None, "held": None, "lengths": None, "base": base, "score": score_, "known": known}
+
+    def _of_part(packed: bytes) -> np.ndarray:
         (doc, slot, c, *fewer_tables), (counts, hot, seen, *of_word) = unpack(packed)
         customers, word_tables = of_word[::2], of_word[1::2]
         c = c.astype(np.int64)
@@ -268,8 +293,8 @@ def _score(model: dict, schema: pa.Schema):
             p += (c - d * (c - fewer_tables[s]) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
         n = int(doc.max()) + 1
         base = np.log10((seen + 0.5) / (model["n"] + 0.5 * (model["known"] + 1)))
-        by_doc = lambda x: np.bincount(doc, weights=x, minlength=n).tobytes()
-        return {"batch": name, "ids": None, "held": None, "lengths": None, "base": by_doc(np.repeat(base, counts)), "score": by_doc(np.log10(p / SAMPLES)), "known": by_doc(np.repeat(seen > 0, counts))}
+        by_doc = lambda x: np.bincount(doc, weights=x, minlength=n)
+        return np.stack([by_doc(np.repeat(base, counts)), by_doc(np.log10(p / SAMPLES)), by_doc(np.repeat(seen > 0, counts))])
 
     return run
 
