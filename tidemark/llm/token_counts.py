@@ -78,12 +78,12 @@ def answer(sums: DataFrame, limits: list[int], quantiles: list[float]) -> DataFr
     """
     one = []
     for limit in limits:
-        # Documents over the limit: those after the longest length that fits, or all.
-        longer = lambda c: F.coalesce(F.max_by(c, "length"), F.lit(None))
-        below = sums.where(F.col("length") <= limit).agg(longer("longer_documents").alias("d"), longer("longer_tokens").alias("t"))
-        total = sums.agg(F.max("total_tokens").alias("total"), F.coalesce(F.sum("documents"), F.lit(0)).alias("n"))
-        d, t, total_ = F.coalesce("d", "n"), F.coalesce("t", "total", F.lit(0)), F.coalesce("total", F.lit(0))
-        one.append(below.crossJoin(total).select(F.lit("kept_tokens").alias("kind"), F.lit(float(limit)).alias("at"), (total_ - t + d * limit).cast("double").alias("value")))
+        # Documents over the limit are those after the longest length that fits; all, if none fits.
+        fits = F.when(F.col("length") <= limit, F.col("length"))
+        n, total = F.coalesce(F.sum("documents"), F.lit(0)), F.coalesce(F.max("total_tokens"), F.lit(0))
+        longer = F.coalesce(F.max_by("longer_documents", fits), n)
+        kept = total - F.coalesce(F.max_by("longer_tokens", fits), total) + longer * limit
+        one.append(sums.agg(kept.cast("double").alias("value")).select(F.lit("kept_tokens").alias("kind"), F.lit(float(limit)).alias("at"), "value"))
     one += [sums.where(F.col("fitting") >= q).agg(F.min("length").cast("double").alias("value")).select(F.lit("quantile").alias("kind"), F.lit(float(q)).alias("at"), "value") for q in quantiles]
     out = one[0]
     for df in one[1:]:
