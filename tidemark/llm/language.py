@@ -65,10 +65,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> dict:
     """Counts of letter trigrams by language. Bounded by the sample."""
     importable(docs.sparkSession)
-    place = F.xxhash64(doc_id)
     ids = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("key")).distinct()
     chosen = ids.orderBy(F.xxhash64("key"), "key").limit(sample)
-    del place
     own = docs.where(F.col(lang).isNotNull()).select(F.col(doc_id).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     # At most `sample` ids, by the limit above.
     own = own.join(F.broadcast(chosen), "key").select("lang", "text")
