@@ -143,7 +143,7 @@ def test_top_k_prunes_and_is_exact(spark):
     rng = np.random.default_rng(5)
     x = np.floor(1024 * np.concatenate([c + rng.normal(0, 0.02, (400, 8)) for c in rng.standard_normal((12, 8))]))
     q = x[::37]
-    places, scores = topk.search(q, np.arange(0, len(x), 37), x, np.arange(len(x)), list(range(len(x))), 10)
+    places, scores = topk.search(q, np.arange(0, len(x), 37), x, np.arange(len(x)), 10)
     for n, row in enumerate(q):
         s = x @ row
         s[n * 37] = -np.inf

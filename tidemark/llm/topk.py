@@ -79,7 +79,7 @@ class CoverTree:
         return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
-def search(q: np.ndarray, q_row: np.ndarray, p: np.ndarray, p_row: np.ndarray, p_id: list, k: int) -> tuple[list[list[int]], list[list[int]]]:
+def search(q: np.ndarray, q_row: np.ndarray, p: np.ndarray, p_row: np.ndarray, k: int) -> tuple[list[list[int]], list[list[int]]]:
     """For each query the places in p of its best k and their scores. p is in order of id, so ties are by place."""
     limit = float(np.abs(q).sum(axis=1).max() * np.abs(p).max()) if q.size and p.size else 0.0
     best = np.full((len(q), k), -np.inf)
@@ -157,7 +157,7 @@ def _cell(k: int, schema: pa.Schema):
                 continue
             matrix = lambda rows: np.frombuffer(b"".join(r[3] for r in rows)).reshape(len(rows), -1)
             row = lambda rows: np.array([r[1] for r in rows], dtype=np.int64)
-            places, scores = search(matrix(asking), row(asking), matrix(held), row(held), [r[2] for r in held], k)
+            places, scores = search(matrix(asking), row(asking), matrix(held), row(held), k)
             for q, at, s in zip(asking, places, scores, strict=True):
                 for place, x in zip(at, s, strict=True):
                     yield {"query_row": q[1], "query_id": q[2], "row": held[place][1], "vec_id": held[place][2], "score": x}
