@@ -298,6 +298,114 @@ def test_seating_grows_with_the_weight():
     assert lm.seat(np.array([0, 1]), np.ones(2), np.zeros(2), 0.5, rng).tolist() == [0, 1]
 
 
+def by_the_book(docs, sweeps: int, burn: int):
+    """The model with one customer removed and reseated at a time (single-word parent as well): scores of held-out documents."""
+    rng = random.Random(5)
+    tokens = {d: [*words(t), b"\n"] for d, t in docs}
+    pairs = Counter((u, w) for d, own in tokens.items() if crc(d) != 1 for u, w in zip([b"\t", *own], own, strict=False))
+    v = len({w for _, w in pairs}) + 1
+    rate = lambda c: lm.rate(sum(x == 1 for x in c), sum(x == 2 for x in c))
+    d = rate(pairs.values())
+    rooms: dict = {}
+    parent: dict = {}
+    own_tables, total, above = Counter(), Counter(), Counter()
+
+    def word(w, d0):
+        c, t = sum(parent.get(w, ())), len(parent.get(w, ()))
+        return (c - d0 * t + (1 + d0 * above["t"]) / v) / (1 + above["c"])
+
+    def put(sizes, new, d_):
+        at = rng.choices(range(len(sizes) + 1), [*(n - d_ for n in sizes), new])[0]
+        sizes[at:at + 1] = [(sizes[at] if at < len(sizes) else 0) + 1]
+        return sizes[at] == 1
+
+    def take(sizes):
+        at = rng.choices(range(len(sizes)), sizes)[0]
+        sizes[at] -= 1
+        if not sizes[at]:
+            del sizes[at]
+            return True
+        return False
+
+    d0, got = 0.5, {d_: [] for d_ in tokens if crc(d_) == 1}
+    for sweep in range(sweeps):
+        for (u, w), n in pairs.items():
+            sizes, up = rooms.setdefault((u, w), []), parent.setdefault(w, [])
+            for _ in range(n):
+                if sweep and take(sizes):
+                    own_tables[u] -= 1
+                    above["c"] -= 1
+                    above["t"] -= take(up)
+                if put(sizes, (1 + d * own_tables[u]) * word(w, d0), d):
+                    own_tables[u] += 1
+                    above["t"] += put(up, (1 + d0 * above["t"]) / v, d0)
+                    above["c"] += 1
+        d0 = rate([sum(x) for x in parent.values()])
+        if sweep == 0:
+            for (u, _), n in pairs.items():
+                total[u] += n
+        if sweep >= burn:
+            for d_, out in got.items():
+                own = tokens[d_]
+                out.append([(pairs[u, w] - d * len(rooms.get((u, w), ())) + (1 + d * own_tables[u]) * word(w, d0)) / (1 + total[u]) for u, w in zip([b"\t", *own], own, strict=False)])
+    return {d_: float(np.log10(np.mean(out, axis=0)).sum()) for d_, out in got.items()}
+
+
+def test_lm_scores_do_not_depend_on_buckets_and_are_the_model(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(300)]
+    docs = [(n, " ".join(vocabulary[min(299, int(rng.paretovariate(0.7)) - 1)] for _ in range(30))) for n in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3, "doc_id")
+    got = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            got.append({r.doc_id: r.score for r in scored(spark, df).where("held_out").collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == pytest.approx(got[1], abs=1e-9)
+    want = by_the_book(docs, 40, 20)
+    per_token = sum(got[0].values()) / (31 * len(want)), sum(want.values()) / (31 * len(want))
+    assert per_token[0] == pytest.approx(per_token[1], abs=0.01)
+
+
+def test_lm_contexts_share_no_restaurant(spark):
+    """Two previous words of equal hash modulo 2**16, each always followed by its own word."""
+    own: dict = {}
+    for n in range(2000):
+        a = own.setdefault(int(word_hashes([b"u%d" % n])[0]) % 65536, n)
+        if a != n:
+            break
+    one, two = f"u{a}", f"u{n}"
+    docs = [(k, f"{one} left" if k % 2 else f"{two} right") for k in range(400) if crc(k) != 1]
+    held = [k for k in range(400, 500) if crc(k) == 1][:2]
+    df = spark.createDataFrame([*docs, (held[0], f"{one} left"), (held[1], f"{one} right")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in scored(spark, df).where("held_out").collect()}
+    assert got[held[0]] > got[held[1]] + 1.5
+
+
+def test_tables_are_drawn_given_all_others():
+    """Against weights by brute force over seating plans: z for a new table, size - discount for an old one."""
+    d, z, c = 0.6, 0.8, 7
+    weights = Counter({(1,): z})
+    for _ in range(c - 1):
+        nxt: Counter = Counter()
+        for sizes, w in weights.items():
+            nxt[tuple(sorted([*sizes, 1]))] += w * z
+            for k, size in enumerate(sizes):
+                nxt[tuple(sorted([*sizes[:k], size + 1, *sizes[k + 1 :]]))] += w * (size - d)
+        weights = nxt
+    want = Counter()
+    for sizes, w in weights.items():
+        want[len(sizes)] += w / sum(weights.values())
+    keys = word_hashes([b"k%d" % k for k in range(40000)])
+    got = Counter(lm.resample(np.full(len(keys), c), np.full(len(keys), z), d, keys, 1).tolist())
+    assert all(got[t] / len(keys) == pytest.approx(p, abs=0.01) for t, p in want.items())
+    many = lm.resample(np.full(500, 2 * lm.EXACT), np.full(500, z), d, keys[:500], 1)
+    assert many.min() >= 1 and many.mean() > got[1] / len(keys)
+
+
 # --- toxicity
 
 

@@ -1,23 +1,29 @@
 r"""Language model scoring with a hierarchical Pitman-Yor model.
 
 Tokens are words of the whole text (A-Z in lower case, outside [\x20\x09-\x0D]) and one end. A context restaurant holds
-the words that follow one previous word; previous words are hashed to SLOTS restaurants. All context restaurants share
-one parent, the restaurant of single words, whose parent is uniform over the V training words and one unknown word:
+the words that follow one previous word; words and previous words are known by their 64-bit hashes. All context
+restaurants share one parent, the restaurant of single words, whose parent is uniform over the V training words and one
+unknown word:
 
     p(w | u) = (c_uw - d t_uw + (s + d t_u) p(w)) / (s + c_u)
 
 with customers c and tables t. A table of a context restaurant is a customer of the parent.
 
-1. Texts are tokenized where they are read. Each Arrow batch sends its occurrences (word, slot, document), packed as
-   bytes, to buckets of the words' hash space: all occurrences of a word meet, so its customers in every restaurant do.
+1. Texts are tokenized where they are read. Each Arrow batch sends its occurrences (word, previous word, document), packed
+   as bytes, to buckets of the words' hash space: all occurrences of a word meet, so its customers in every restaurant do.
    Words that are a HOT part of some batch are found by a pass of their own; their occurrences are dealt by word and
-   slot, so that no bucket holds all of a frequent word, and their totals (of MOST_HOT words at most) go by the driver.
-2. Each bucket seats its customers: a sweep reseats the customers of each (slot, word) one after another, given the
-   parent's probabilities, and then those of the parent, given the tables. SWEEPS sweeps are thrown away, then SAMPLES are
-   kept. While seating, a bucket takes the totals of a restaurant from its own share of the words; discounts are
-   estimated from the counts of counts. Only restaurants' totals leave for the driver, SLOTS rows at most.
-3. Each occurrence's probability is averaged over the samples, with the exact totals, and its logarithm is summed by
-   document.
+   previous word, so that no bucket holds all of a frequent word, and their totals (of MOST_HOT words at most) go by the
+   driver.
+2. Buckets send the customers and tables of each previous word to parts of the hash space, one row of each bucket for each
+   part, which add them up and answer: every sweep has each restaurant's exact totals over all buckets.
+3. A sweep resamples the tables of each (previous word, word) given all others' (blocked Gibbs). With x_u, a gamma variate
+   of shape s / d + t_u, and the parent's masses G, drawn given the parent's customers and tables, entries are
+   independent: P(t_uw = t) is in proportion to S(c_uw, t) (d x_u G(w))^t, S being generalized Stirling numbers; so are the
+   parent's tables. SWEEPS sweeps are thrown away, then SAMPLES are kept. Discounts are estimated from the counts of counts
+   of all buckets. Random numbers belong to words and pairs, so nothing depends on how many buckets there are.
+   Two steps are not exact: entries of more than EXACT customers are seated forward in blocks of a tenth, and the mass
+   that the parent leaves to new tables is spread at its mean.
+4. Each pair's probability is averaged over the samples, and its logarithm is summed by document.
 
 The score is log10 of the text's probability. Training and scoring cover every row; the corpus side grows with it.
 
@@ -28,7 +34,8 @@ the unknown word, so scores are 0; an empty table gives an empty result. Other c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +45,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import groups, mixed, rows, slices, tables, word_hashes, words
+from tidemark.llm.words import groups, mixed, slices, tables, word_hashes, words
 from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
-#: Context restaurants. Frequent words have one each, nearly; rare ones share.
-SLOTS = 1 << 16
 SAMPLES = 2
 SWEEPS = 2
 #: Strength of a restaurant.
@@ -60,19 +65,48 @@ MOST_HOT = 4096
 #: Customers of a (slot, word) that are seated one at a time; beyond, in steps of a tenth.
 ONE_BY_ONE = 24
 
-_SENT = "bucket int, batch string, {ids}, held binary, lengths binary, words binary, counts binary, slots binary, docs binary"
+#: Customers of an entry up to which its tables are drawn from their exact distribution.
+EXACT = 400
+#: The parent's discount before the first sweep has counted.
+FIRST_DISCOUNT = 0.5
+
+_SENT = "bucket int, batch string, {ids}, held binary, lengths binary, words binary, counts binary, contexts binary, places binary, docs binary"
 _FREQUENT = "word long, n long"
-_KEPT = (
-    "kind string, batch string, {ids}, held binary, lengths binary, packed binary, slot array<int>, slot_customers array<long>, "
-    "slot_tables array<array<long>>, totals array<double>, hot_word array<long>, hot_seen array<long>, hot_customers array<array<long>>"
-)
+#: key: the bucket, or the part of the contexts for kind ask. source: where an ask or answer comes from.
+_KEPT = "key int, kind string, source int, batch string, {ids}, held binary, lengths binary, data binary, totals array<double>, hot_word array<long>, hot_seen array<long>, hot_customers array<long>"
 _PART = "batch string, {ids}, held binary, lengths binary, base binary, score binary, known binary"
 _OUT = "doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def seat(customers: np.ndarray, weight: np.ndarray, grow: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+def uniform(keys: np.ndarray, *salt: int) -> np.ndarray:
+    """A number over 0 and under 1 for each key, the same wherever it is drawn."""
+    with np.errstate(over="ignore"):
+        own = np.uint64(xxhash.xxh3_64_intdigest(repr(salt)))
+        h = mixed(mixed(np.asarray(keys, dtype=np.uint64) + own) ^ own)
+    return (h >> np.uint64(12)).astype(np.float64) * 2.0**-52 + 2.0**-53
+
+
+def gamma(shape: np.ndarray, keys: np.ndarray, *salt: int) -> np.ndarray:
+    """Gamma variates (Marsaglia and Tsang), each of its key; 0 for a shape of 0."""
+    out = np.zeros(len(shape))
+    a = np.where(shape < 1, shape + 1, shape) - 1 / 3
+    todo, turn = np.flatnonzero(shape > 0), 0
+    while len(todo):
+        k, d = keys[todo], a[todo]
+        x = np.sqrt(-2 * np.log(uniform(k, *salt, turn, 0))) * np.cos(2 * np.pi * uniform(k, *salt, turn, 1))
+        v = np.maximum(1 + x / np.sqrt(9 * d), 0) ** 3
+        ok = (v > 0) & (np.log(uniform(k, *salt, turn, 2)) < x * x / 2 + d - d * v + d * np.log(np.maximum(v, 1e-300)))
+        out[todo[ok]] = (d * v)[ok]
+        todo, turn = todo[~ok], turn + 1
+    low = (shape > 0) & (shape < 1)
+    out[low] *= uniform(keys[low], *salt, -1) ** (1 / shape[low])
+    return out
+
+
+def seat(customers: np.ndarray, weight: np.ndarray, grow: np.ndarray, discount: float, rng: np.random.Generator | Callable) -> np.ndarray:
     """Tables after seating each entry's customers in turn: a new table with weight + grow * (tables - 1), or an old one."""
     tables_ = np.minimum(customers, 1).astype(np.int64)
+    binomial = (lambda at, k, n, chance: rng.binomial(n, chance)) if isinstance(rng, np.random.Generator) else rng
     at, k = np.flatnonzero(customers > 1), 1
     while len(at):
         step = 1 if k < ONE_BY_ONE else k // 10
@@ -80,32 +114,77 @@ def seat(customers: np.ndarray, weight: np.ndarray, grow: np.ndarray, discount:
         t = tables_[at]
         new = weight[at] + grow[at] * (t - 1)
         chance = new / (new + np.maximum(k + (n - 1) / 2 - discount * t, 1e-9))
-        tables_[at] += rng.binomial(n, np.clip(chance, 0, 1)) if step > 1 else rng.random(len(at)) < chance
+        tables_[at] += binomial(at, k, n, np.clip(chance, 0, 1))
         k += step
         at = at[customers[at] > k]
     return tables_
 
 
-def discount(customers: np.ndarray) -> float:
-    """From how many entries have one customer, and two."""
-    one, two = int((customers == 1).sum()), int((customers == 2).sum())
+def by_key(keys: np.ndarray, *salt: int) -> Callable:
+    """Binomials for seat(), from the entries' own random numbers."""
+
+    def binomial(at: np.ndarray, k: int, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        of = np.repeat(np.arange(len(at)), n)
+        number = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + k
+        u = uniform(mixed(keys[at])[of] + number.astype(np.uint64), *salt)
+        return np.bincount(of, weights=u < chance[of], minlength=len(at)).astype(np.int64)
+
+    return binomial
+
+
+@functools.lru_cache(maxsize=2)
+def stirling(discount: float) -> np.ndarray:
+    """Logarithms of the generalized Stirling numbers of up to EXACT customers (row) and tables (column)."""
+    out = np.full((EXACT + 1, EXACT + 2), -np.inf)
+    out[1, 1] = 0.0
+    for c in range(1, EXACT):
+        t = np.arange(1, c + 2)
+        out[c + 1, t] = np.logaddexp(out[c, t - 1], out[c, t] + np.log(np.maximum(c - discount * t, 1e-300)))
+    return out
+
+
+def resample(customers: np.ndarray, z: np.ndarray, discount: float, keys: np.ndarray, *salt: int, large: Callable | None = None) -> np.ndarray:
+    """Tables of each entry, t with a probability in proportion to S(customers, t) z^t."""
+    out = np.minimum(customers, 1).astype(np.int64)
+    log_s, log_z = stirling(discount), np.log(np.maximum(z, 1e-300))
+    some = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    some = some[np.argsort(customers[some], kind="stable")]
+    u = uniform(keys[some], *salt)
+    cuts = np.flatnonzero(np.r_[True, np.diff(customers[some]) > 0, True]) if len(some) else []
+    for first, end in zip(cuts, cuts[1:], strict=False):
+        c = int(customers[some[first]])
+        t, size = np.arange(1, c + 1), max(1, (1 << 20) // c)
+        for i in range(first, end, size):
+            j = min(end, i + size)
+            w = log_s[c, 1 : c + 1] + log_z[some[i:j], None] * t
+            w = np.cumsum(np.exp(w - w.max(axis=1, keepdims=True)), axis=1)
+            out[some[i:j]] = 1 + (w[:, :-1] <= u[i:j, None] * w[:, -1:]).sum(axis=1)
+    many = np.flatnonzero(customers > EXACT)
+    if len(many):
+        forward = large or (lambda at: seat(customers[at], z[at], np.zeros(len(at)), discount, by_key(keys[at], *salt)))
+        out[many] = forward(many)
+    return out
+
+
+def rate(one: float, two: float) -> float:
+    """A discount, from how many entries have one customer, and two."""
     return min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
 
 
-def pack(by_occurrence: list, by_word: list) -> bytes:
-    """Columns of numbers below 2**32 as compressed bytes: most are small and alike."""
-    head = np.array([len(by_occurrence[0]), len(by_word[0]), len(by_occurrence), len(by_word)], dtype="<u4").tobytes()
-    return zstandard.compress(head + b"".join(np.ascontiguousarray(x, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in (*by_occurrence, *by_word)), 1)
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers as compressed bytes: most are small and alike."""
+    head = np.array([len(columns), *[x for c in columns for x in (len(c), c.dtype.itemsize)]], dtype="<u8").tobytes()
+    return zstandard.compress(head + b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, c.dtype.itemsize).T.tobytes() for c in columns), 1)
 
 
-def unpack(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def unpack(data: bytes) -> list[np.ndarray]:
     data = zstandard.decompress(data)
-    n, m, a, b = np.frombuffer(data, "<u4", 4).tolist()
-    at, out = 16, []
-    for size in [n] * a + [m] * b:
-        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * size, at).reshape(4, size).T).view("<u4").reshape(-1))
-        at += 4 * size
-    return out[:a], out[a:]
+    n = int(np.frombuffer(data, "<u8", 1)[0])
+    at, out = 8 + 16 * n, []
+    for size, width in np.frombuffer(data, "<u8", 2 * n, 8).reshape(-1, 2).tolist():
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, width * size, at).reshape(width, size).T).view(f"<u{width}").reshape(-1))
+        at += width * size
+    return out
 
 
 def _tokens(texts: list[str | None]) -> list[np.ndarray]:
@@ -135,7 +214,7 @@ def _is_hot(word: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.where(hot[at] == word, at + 1, 0)
 
 
-def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
+def _send(buckets: int, hot: np.ndarray, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -146,29 +225,82 @@ def _send(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
             word = np.concatenate(own)
             before = np.r_[np.uint64(START), word[:-1]]
             before[np.cumsum(lengths)[:-1]] = np.uint64(START)
-            slot = (before % np.uint64(slots)).astype(np.uint16)
             doc = np.repeat(np.arange(len(own), dtype=np.uint16), lengths)
-            place = np.where(_is_hot(word, hot) > 0, mixed(word + slot), word)
+            place = np.where(_is_hot(word, hot) > 0, mixed(word + mixed(before)), word)
             bucket = (((place >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
             order = np.lexsort((word, bucket))
-            word, slot, doc, bucket = word[order], slot[order], doc[order], bucket[order]
+            word, before, doc, bucket = word[order], before[order], doc[order], bucket[order]
             at = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1])])
             distinct, counts = word[at], np.diff(np.r_[at, len(word)])
             cuts = np.searchsorted(bucket[at], np.arange(buckets + 1))
             tokens = np.r_[at, len(word)][cuts]
             name = f"{task}-{number}"
             flags = np.packbits(np.array(held, dtype=bool)).tobytes()
-            none = dict.fromkeys(("ids", "held", "lengths", "words", "counts", "slots", "docs"))
+            none = dict.fromkeys(("ids", "held", "lengths", "words", "counts", "contexts", "places", "docs"))
             out = [none | {"bucket": xxhash.xxh32_intdigest(name) % buckets, "batch": name, "ids": ids, "held": flags, "lengths": lengths.tobytes()}]
             for b, (a, z, i, j) in enumerate(zip(cuts, cuts[1:], tokens, tokens[1:], strict=False)):
                 if z > a:
-                    out.append(none | {"bucket": b, "batch": name, "held": flags, "words": distinct[a:z].tobytes(), "counts": counts[a:z].astype("<u4").tobytes(), "slots": slot[i:j].tobytes(), "docs": doc[i:j].tobytes()})
+                    contexts, places = np.unique(before[i:j], return_inverse=True)
+                    places = places.astype(np.uint16 if len(contexts) <= 1 << 16 else np.uint32)
+                    out.append(none | {"bucket": b, "batch": name, "held": flags, "words": distinct[a:z].tobytes(), "counts": counts[a:z].astype("<u4").tobytes(), "contexts": contexts.tobytes(), "places": places.tobytes(), "docs": doc[i:j].tobytes()})
             yield from tables(out, schema, 256)
 
     return run
 
 
-def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
+class Bucket:
+    """A bucket's words, contexts and pairs of them, with customers and tables."""
+
+    #: words, contexts: sorted hashes. seen: of words, in training. customers: of contexts, over all buckets.
+    #: n, table: of pairs. word_table: of words. Then of each sample: table and word_table; and of contexts, all_tables.
+    fixed = ("words", "seen", "contexts", "pair_word", "pair_context", "n")
+    seated = ("table", "word_table", "customers")
+
+    def __init__(self, own: dict[str, np.ndarray], samples: list[np.ndarray]):
+        self.__dict__.update(own)
+        self.samples = samples
+
+    @classmethod
+    def load(cls, state: bytes, tables_: bytes) -> Bucket:
+        columns = unpack(tables_)
+        return cls(dict(zip(cls.fixed, unpack(state), strict=True)) | dict(zip(cls.seated, columns, strict=False)), columns[len(cls.seated) :])
+
+    def word_customers(self, table: np.ndarray) -> np.ndarray:
+        return np.bincount(self.pair_word, weights=table, minlength=len(self.words)).astype(np.int64)
+
+    def rows(self, bucket: int, buckets: int, hot: np.ndarray, sweep: int, d0: float, none: dict) -> Iterator[dict]:
+        """The bucket as it is kept, its totals, and what it asks of the contexts."""
+        frequent = _is_hot(self.words, hot)
+        rest = frequent == 0
+        c = self.word_customers(self.table)
+        mass = gamma(c[rest] - d0 * self.word_table[rest], self.words[rest], sweep, 1)
+        if sweep == 0:
+            yield none | {"key": bucket, "kind": "state", "data": pack(*[getattr(self, x) for x in self.fixed])}
+        yield none | {"key": bucket, "kind": "tables", "data": pack(*[getattr(self, x) for x in self.seated], *self.samples)}
+        yield none | {
+            "key": bucket,
+            "kind": "totals",
+            "totals": [float(x) for x in (self.seen.sum(), ((self.seen > 0) & rest).sum(), (self.n == 1).sum(), (self.n == 2).sum(), (c[rest] == 1).sum(), (c[rest] == 2).sum(), c[rest].sum(), self.word_table[rest].sum(), mass.sum())],
+            "hot_word": (frequent[~rest] - 1).tolist(),
+            "hot_seen": self.seen[~rest].tolist(),
+            "hot_customers": c[~rest].tolist(),
+        }
+        sums = [np.bincount(self.pair_context, weights=x, minlength=len(self.contexts)).astype("<u4") for x in ((self.n, self.table) if sweep == 0 else (self.table,))]
+        part = (((self.contexts >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        cuts = np.searchsorted(part, np.arange(buckets + 1))
+        for k, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if j > i:
+                yield none | {"key": k, "kind": "ask", "source": bucket, "data": pack(self.contexts[i:j], *[x[i:j] for x in sums])}
+
+    def hear(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
+        """Tables of each context over all buckets; the first time the customers come too."""
+        *first, all_tables = [np.concatenate(x) for x in zip(*[unpack(data) for _, data in sorted(answers)], strict=True)]
+        if first:
+            self.customers = first[0]
+        return all_tables
+
+
+def _train(buckets: int, hot: np.ndarray, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), own in groups(batches, 1):
@@ -176,78 +308,95 @@ def _train(buckets: int, slots: int, hot: np.ndarray, schema: pa.Schema):
 
     def _of_bucket(bucket: int, own: list[tuple]) -> Iterator[dict]:
         none = dict.fromkeys(x.name for x in schema)
-        own = sorted(own, key=lambda r: r[0])  # so that seating does not depend on the order of arrival
         parts = []
-        for name, ids, held, lengths, word, counts, slot, doc in own:
+        for name, ids, held, lengths, word, counts, contexts, places, doc in own:
             if ids is not None:
-                yield none | {"kind": "documents", "batch": name, "ids": ids, "held": held, "lengths": lengths}
+                yield none | {"key": bucket, "kind": "documents", "batch": name, "ids": ids, "held": held, "lengths": lengths}
             else:
-                parts.append((name, held, np.frombuffer(word, np.uint64), np.frombuffer(counts, "<u4"), np.frombuffer(slot, np.uint16), np.frombuffer(doc, np.uint16)))
+                doc, contexts = np.frombuffer(doc, np.uint16), np.frombuffer(contexts, np.uint64)
+                parts.append((name, held, np.frombuffer(word, np.uint64), np.frombuffer(counts, "<u4"), contexts, np.frombuffer(places, np.uint16 if len(places) == 2 * len(doc) else np.uint32), doc))
         if not parts:
             return
-        distinct, number = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
-        number = number.astype(np.int32)
-        word = np.repeat(number, np.concatenate([p[3] for p in parts]))
-        slot = np.concatenate([p[4] for p in parts])
-        training = np.concatenate([~np.unpackbits(np.frombuffer(p[1], np.uint8)).astype(bool)[p[5]] for p in parts])
-        pair = word.astype(np.int64) * slots + slot
-        pairs, pair_n = np.unique(pair[training], return_counts=True)
-        seen = np.bincount(word[training], minlength=len(distinct))
-        pair_word, pair_slot = (pairs // slots).astype(np.int32), (pairs % slots).astype(np.int32)
-        rng = np.random.default_rng([bucket, 20])
-        # A frequent word has its slots in all buckets alike: here it counts as what it is everywhere.
-        frequent = _is_hot(distinct, hot)
-        often = np.where(frequent > 0, buckets, 1)
-        known = int(((seen > 0) & (frequent == 0)).sum())
-        d, events = discount(pair_n), known * buckets + len(hot) + 1
-        in_slot = np.bincount(pair_slot, weights=pair_n, minlength=slots)
-        table = np.ones(len(pairs), dtype=np.int64)
-        spread = np.where(frequent[pair_word] > 0, 1, buckets)
-        word_table = (seen > 0).astype(np.int64)
-        pair_samples, word_samples = [], []
-        for sweep in range(SWEEPS + SAMPLES):
-            customers = np.bincount(pair_word, weights=table, minlength=len(distinct)).astype(np.int64)
-            d0 = discount(customers[frequent == 0])
-            all_customers, all_tables = customers.sum() * buckets, (word_table * (buckets // often)).sum()
-            customers = customers * often
-            new = (STRENGTH + d0 * all_tables) / events
-            word_table = seat(customers, np.full(len(distinct), new), np.full(len(distinct), d0 / events), d0, rng)
-            p = (customers - d0 * word_table + new) / (STRENGTH + all_customers)
-            # Of a slot's tables an entry knows its own, and the others here stand for those elsewhere.
-            slot_table = np.bincount(pair_slot, weights=table * spread, minlength=slots)
-            others = slot_table[pair_slot] - table * spread
-            table = seat(pair_n, (STRENGTH + d * (others + 1)) * p[pair_word], d * p[pair_word], d, rng)
-            if sweep >= SWEEPS:
-                customers = np.bincount(pair_word, weights=table, minlength=len(distinct)).astype(np.int64)
-                pair_samples.append(table)
-                word_samples.append((np.where(frequent > 0, 0, customers), np.where(frequent > 0, 0, np.minimum(word_table, customers)), np.where(frequent > 0, customers, 0)))
-        used = np.flatnonzero(in_slot)
-        yield none | {
-            "kind": "totals",
-            "slot": used.tolist(),
-            "slot_customers": in_slot[used].astype(np.int64).tolist(),
-            "slot_tables": [np.bincount(pair_slot, weights=t, minlength=slots)[used].astype(np.int64).tolist() for t in pair_samples],
-            "totals": [float(x) for x in (seen.sum(), known, (pair_n == 1).sum(), (pair_n == 2).sum(), (word_samples[-1][0] == 1).sum(), (word_samples[-1][0] == 2).sum(), *(y for c, t, _ in word_samples for y in (c.sum(), t.sum())))],
-            "hot_word": (frequent[frequent > 0] - 1).tolist(),
-            "hot_seen": seen[frequent > 0].tolist(),
-            "hot_customers": [h[frequent > 0].tolist() for _, _, h in word_samples],
-        }
-        found = np.minimum(np.searchsorted(pairs, pair), max(0, len(pairs) - 1))
-        hit = pairs[found] == pair if len(pairs) else np.zeros(len(pair), dtype=bool)
-        i = j = 0
-        for name, _, w, counts, own_slot, doc in parts:
-            at, k = number[j : j + len(w)], found[i : i + len(doc)]
-            ok = hit[i : i + len(doc)]
-            of_pair = lambda x: np.where(ok, x[k], 0) if len(pairs) else np.zeros(len(k))
-            by_occurrence = [doc, own_slot, of_pair(pair_n), *[of_pair(pair_n - t) for t in pair_samples]]
-            by_word = [counts, frequent[at], seen[at], *[x[at] for c, t, _ in word_samples for x in (c, t)]]
-            yield none | {"kind": "occurrences", "batch": name, "packed": pack(by_occurrence, by_word)}
-            i, j = i + len(doc), j + len(w)
+        words_, number = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        word = np.repeat(number.astype(np.int64), np.concatenate([p[3] for p in parts]))
+        contexts, number = np.unique(np.concatenate([p[4] for p in parts]), return_inverse=True)
+        first = np.cumsum([0, *(len(p[4]) for p in parts)])
+        context = np.concatenate([number[a + p[5].astype(np.int64)] for a, p in zip(first, parts, strict=False)])
+        training = np.concatenate([~np.unpackbits(np.frombuffer(p[1], np.uint8)).astype(bool)[p[6]] for p in parts])
+        pairs, pair = np.unique(word * len(contexts) + context, return_inverse=True)
+        n = np.bincount(pair[training], minlength=len(pairs)).astype("<u4")
+        at = {"words": words_, "contexts": contexts, "pair_word": (pairs // len(contexts)).astype("<u4"), "pair_context": (pairs % len(contexts)).astype("<u4"), "n": n, "table": np.minimum(n, 1).astype("<u4")}
+        seen = np.bincount(word[training], minlength=len(words_)).astype("<u4")
+        state = Bucket(at | {"seen": seen, "word_table": np.minimum(seen, 1).astype("<u4"), "customers": np.zeros(0, "<u8")}, [])
+        yield from state.rows(bucket, buckets, hot, 0, FIRST_DISCOUNT, none)
+        i = 0
+        for name, *_, doc in parts:
+            yield none | {"key": bucket, "kind": "occurrences", "batch": name, "data": pack(doc, pair[i : i + len(doc)].astype("<u4"))}
+            i += len(doc)
 
     return run
 
 
-def _score(model: dict, schema: pa.Schema):
+def _answer(schema: pa.Schema):
+    """Sums over all buckets of what each asks, in the order in which it asks."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = dict.fromkeys(x.name for x in schema)
+        for (part,), own in groups(batches, 1):
+            asked = [unpack(data) for _, data in own]
+            contexts, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+            sums = [np.bincount(at, weights=np.concatenate(x), minlength=len(contexts)).astype("<u8")[at] for x in list(zip(*asked, strict=True))[1:]]
+            cuts = np.cumsum([0, *(len(a[0]) for a in asked)])
+            answers = (none | {"key": source, "kind": "answer", "source": part, "data": pack(*[x[i:j] for x in sums])} for (source, _), i, j in zip(own, cuts, cuts[1:], strict=False))
+            yield from tables(answers, schema, 64)
+
+    return run
+
+
+def _own(rows_: list[tuple]) -> tuple[Bucket, list, list]:
+    """Of a bucket's rows (kind, source, batch, data): what it holds, the answers, and the occurrences."""
+    held, answers, occurrences = {}, [], []
+    for kind, source, batch, data in rows_:
+        if kind == "answer":
+            answers.append((source, data))
+        elif kind == "occurrences":
+            occurrences.append((batch, data))
+        else:
+            held[kind] = data
+    return Bucket.load(held["state"], held["tables"]), answers, occurrences
+
+
+def _sweep(sweep: int, model: dict, buckets: int, hot: np.ndarray, schema: pa.Schema):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = dict.fromkeys(x.name for x in schema)
+        for (bucket,), own in groups(batches, 1):
+            state, answers, _ = _own(own)
+            _resampled(state, state.hear(answers))
+            yield from tables(state.rows(bucket, buckets, hot, sweep, model["next_d0"], none), schema, 64)
+
+    def _resampled(b: Bucket, all_tables: np.ndarray) -> None:
+        if sweep > SWEEPS + 1:
+            b.samples.append(all_tables)
+        d, d0, each = model["d"], model["next_d0"], 1 / (model["known"] + 1)
+        frequent = _is_hot(b.words, hot)
+        mass = gamma(b.word_customers(b.table) - model["d0"] * b.word_table, b.words, sweep - 1, 1)
+        p = (np.where(frequent > 0, model["hot_mass"][frequent], mass) + model["new_mass"] * each) / model["mass"]
+        x = gamma(STRENGTH / d + all_tables, b.contexts, sweep, 2)
+        keys = mixed(b.words)[b.pair_word] + b.contexts[b.pair_context]
+        b.table = resample(b.n.astype(np.int64), d * x[b.pair_context] * p[b.pair_word], d, keys, sweep, 3).astype("<u4")
+        c = np.where(frequent > 0, 0, b.word_customers(b.table))
+        b.word_table = resample(c, np.full(len(c), d0 * model["x"] * each), d0, b.words, sweep, 4).astype("<u4")
+        if sweep > SWEEPS:
+            b.samples += [b.table, b.word_table]
+
+    return run
+
+
+def _score(models: list[dict], hot: np.ndarray, schema: pa.Schema):
+    """models: of the samples."""
+
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from tables(_summed(batches), schema, 64)
@@ -256,45 +405,45 @@ def _score(model: dict, schema: pa.Schema):
         """Sums of each batch's documents over the buckets that this task reads."""
         sums: dict[str, np.ndarray] = {}
         held = 0
-        for name, packed in rows(batches):
-            own = _of_part(packed)
-            before = sums.get(name)
-            if before is not None and before.shape[1] >= own.shape[1]:
-                before[:, : own.shape[1]] += own
-                continue
-            if before is not None:
-                own[:, : before.shape[1]] += before
-                held -= before.nbytes
-            sums[name] = own
-            held += own.nbytes
-            if held > GATHERED:
-                yield from map(_row, sums.items())
-                sums, held = {}, 0
+        for _, rows_ in groups(batches, 1):
+            state, answers, occurrences = _own(rows_)
+            values = _of_pairs(state, state.hear(answers))
+            for name, packed in occurrences:
+                doc, pair = unpack(packed)
+                own = np.stack([np.bincount(doc, weights=x[pair]) for x in values])
+                before = sums.get(name)
+                if before is not None and before.shape[1] >= own.shape[1]:
+                    before[:, : own.shape[1]] += own
+                    continue
+                if before is not None:
+                    own[:, : before.shape[1]] += before
+                    held -= before.nbytes
+                sums[name] = own
+                held += own.nbytes
+                if held > GATHERED:
+                    yield from map(_row, sums.items())
+                    sums, held = {}, 0
         yield from map(_row, sums.items())
 
     def _row(item: tuple[str, np.ndarray]) -> dict:
         base, score_, known = (x.tobytes() for x in item[1])
         return {"batch": item[0], "ids": None, "held": None, "lengths": None, "base": base, "score": score_, "known": known}
 
-    def _of_part(packed: bytes) -> np.ndarray:
-        (doc, slot, c, *fewer_tables), (counts, hot, seen, *of_word) = unpack(packed)
-        customers, word_tables = of_word[::2], of_word[1::2]
-        c = c.astype(np.int64)
-        total = lambda own, everywhere: np.where(hot > 0, everywhere[hot], own)
-        seen = total(seen, model["hot_seen"])
-        p = np.zeros(len(doc))
-        d, d0 = model["d"], model["d0"]
-        in_slot = model["slot_customers"][slot]
-        for s in range(SAMPLES):
-            new = (STRENGTH + d0 * model["tables"][s]) / (model["known"] + 1)
-            word = (total(customers[s], model["hot_customers"][s]) - d0 * total(word_tables[s], model["hot_tables"][s]) + new) / (STRENGTH + model["customers"][s])
-            if not model["known"]:
-                word = np.ones(len(seen))
-            p += (c - d * (c - fewer_tables[s]) + (STRENGTH + d * model["slot_tables"][s][slot]) * np.repeat(word, counts)) / (STRENGTH + in_slot)
-        n = int(doc.max()) + 1
-        base = np.log10((seen + 0.5) / (model["n"] + 0.5 * (model["known"] + 1)))
-        by_doc = lambda x: np.bincount(doc, weights=x, minlength=n)
-        return np.stack([by_doc(np.repeat(base, counts)), by_doc(np.log10(p / SAMPLES)), by_doc(np.repeat(seen > 0, counts))])
+    def _of_pairs(b: Bucket, last_tables: np.ndarray) -> list[np.ndarray]:
+        """Base, score and whether the word is known, of each pair."""
+        frequent = _is_hot(b.words, hot)
+        total = lambda own, everywhere: np.where(frequent > 0, everywhere[frequent], own)
+        samples = [*b.samples, last_tables]
+        p = np.zeros(len(b.n))
+        for m, table, word_table, all_tables in zip(models, samples[::3], samples[1::3], samples[2::3], strict=True):
+            d, d0 = m["d"], m["d0"]
+            new = (STRENGTH + d0 * m["tables"]) / (m["known"] + 1)
+            word = (total(b.word_customers(table), m["hot_customers"]) - d0 * total(word_table, m["hot_tables"]) + new) / (STRENGTH + m["customers"])
+            p += (b.n - d * table + (STRENGTH + d * all_tables[b.pair_context]) * word[b.pair_word]) / (STRENGTH + b.customers[b.pair_context])
+        m = models[0]
+        seen = total(b.seen, m["hot_seen"])
+        base = np.log10((seen + 0.5) / (m["n"] + 0.5 * (m["known"] + 1)))
+        return [base[b.pair_word], np.log10(p / SAMPLES), (seen > 0)[b.pair_word].astype(np.float64)]
 
     return run
 
@@ -325,42 +474,36 @@ def _arrow(schema: str, spark: SparkSession) -> pa.Schema:
     return to_arrow_schema(spark.createDataFrame([], schema).schema)
 
 
-def _model(kept: DataFrame, slots: int, hot: np.ndarray) -> dict:
-    """Restaurants' totals over all buckets: at most `slots` rows and MOST_HOT reach the driver, whatever the input's size."""
+def _model(kept: DataFrame, sweep: int, hot: np.ndarray, before: dict | None) -> dict:
+    """The parent's totals over all buckets: a row of sums and at most MOST_HOT words reach the driver, whatever the input's size."""
     totals = kept.where("kind = 'totals'")
-    width = 6 + 2 * SAMPLES
-    sums = list(totals.agg(*[F.coalesce(F.sum(F.element_at("totals", k + 1)), F.lit(0.0)) for k in range(width)]).first())
-
-    def summed(key: str, *of: tuple[str, int | None], size: int) -> list[np.ndarray]:
-        arrays = [F.col(name) if k is None else F.element_at(name, k + 1) for name, k in of]
-        one = totals.select(F.explode(F.arrays_zip(F.col(key).alias("key"), *[a.alias(f"v{n}") for n, a in enumerate(arrays)])).alias("x")).select("x.*")
-        found = one.groupBy("key").agg(*[F.sum(f"v{n}").alias(f"v{n}") for n in range(len(arrays))]).collect()
-        at = np.array([r[0] for r in found], dtype=np.int64)
-        out = [np.zeros(size) for _ in arrays]
-        for k, column in enumerate(out):
-            column[at] = [r[k + 1] for r in found]
-        return out
-
-    per_sample = range(SAMPLES)
-    slot_customers, *slot_tables = summed("slot", ("slot_customers", None), *[("slot_tables", s) for s in per_sample], size=slots)
-    hot_seen, *hot_customers = summed("hot_word", ("hot_seen", None), *[("hot_customers", s) for s in per_sample], size=len(hot))
-    rate = lambda one, two: min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
-    d0, known = rate(sums[4], sums[5]), int(sums[1] + (hot_seen > 0).sum())
-    hot_tables = []
-    for s in per_sample:
-        new = (STRENGTH + d0 * (sums[7 + 2 * s] + len(hot))) / (known + 1)
-        hot_tables.append(seat(hot_customers[s].astype(np.int64), np.full(len(hot), new), np.full(len(hot), d0 / (known + 1)), d0, np.random.default_rng([s, 21])))
+    n, known, one, two, word_one, word_two, customers, tables_, mass = totals.agg(*[F.coalesce(F.sum(F.element_at("totals", k + 1)), F.lit(0.0)) for k in range(9)]).first()
+    of_hot = totals.select(F.explode(F.arrays_zip("hot_word", "hot_seen", "hot_customers")).alias("x")).select("x.*")
+    found = of_hot.groupBy("hot_word").agg(F.sum("hot_seen"), F.sum("hot_customers")).collect()
+    seen, c = np.zeros(len(hot), dtype=np.int64), np.zeros(len(hot), dtype=np.int64)
+    for word, s, k in found:
+        seen[word], c[word] = s, k
+    known = int(known + (seen > 0).sum())
+    if before is None:
+        d, d0, own = rate(one, two), FIRST_DISCOUNT, np.minimum(c, 1)
+    else:
+        d, d0 = before["d"], before["next_d0"]
+        z = np.full(len(hot), d0 * before["x"] / (known + 1))
+        alone = lambda at: np.array([seat(c[k : k + 1], z[k : k + 1], np.zeros(1), d0, np.random.default_rng([sweep, int(hot[k])]))[0] for k in at])
+        own = resample(c, z, d0, hot, sweep, 4, large=alone)
+    tables_ += own.sum()
+    hot_mass = gamma(c - d0 * own, hot, sweep, 1)
+    rng = np.random.default_rng([sweep, 22])
+    next_d0, new_mass = rate(word_one + (c == 1).sum(), word_two + (c == 2).sum()), rng.gamma(STRENGTH + d0 * tables_)
     first = lambda x: np.r_[0, x]  # noqa: E731  place 0: not frequent
     return {
-        "n": int(sums[0]), "known": known, "d": rate(sums[2], sums[3]), "d0": d0,
-        "customers": [sums[6 + 2 * s] + hot_customers[s].sum() for s in per_sample], "tables": [sums[7 + 2 * s] + hot_tables[s].sum() for s in per_sample],
-        "slot_customers": slot_customers, "slot_tables": slot_tables,
-        "hot_seen": first(hot_seen), "hot_customers": list(map(first, hot_customers)), "hot_tables": list(map(first, hot_tables)),
+        "n": int(n), "known": known, "d": d, "d0": d0, "next_d0": next_d0, "x": rng.gamma(STRENGTH / next_d0 + tables_), "customers": customers + c.sum(), "tables": tables_,
+        "mass": mass + hot_mass.sum() + new_mass, "new_mass": new_mass, "hot_mass": first(hot_mass), "hot_seen": first(seen), "hot_customers": first(c), "hot_tables": first(own),
     }
 
 
-def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """held_out: a boolean column; rows where it is false are learned from. slots: at most 65536.
+def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """held_out: a boolean column; rows where it is false are learned from.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; base_score is that of single words
     with half a count added to each.
@@ -369,18 +512,37 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     id_type = dict(docs.dtypes)[doc_id]
     ids = f"ids array<{id_type}>"
     sent, kept_, part, out = _SENT.format(ids=ids), _KEPT.format(ids=ids), _PART.format(ids=ids), _OUT.format(id_type=id_type)
+    sent_arrow, arrow = _arrow(sent, spark), _arrow(kept_, spark)
     buckets = BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
     hot = _hot_words(read)
-    entries = read.mapInArrow(_send(buckets, slots, hot, _arrow(sent, spark)), sent)
-    seated = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, slots, hot, _arrow(kept_, spark)), kept_)
-    kept = Scratch(spark, "lm").save(seated)
-    model = _model(kept, slots, hot)
-    columns = ["batch", "packed"]
-    parts = kept.where("kind = 'occurrences'").select(columns).mapInArrow(_score(model, _arrow(part, spark)), part)
-    heads = kept.where("kind = 'documents'").select("batch", "ids", "held", "lengths", *[F.lit(None).cast("binary").alias(c) for c in ("base", "score", "known")])
+    scratch = Scratch(spark, "lm")
+    entries = read.mapInArrow(_send(buckets, hot, sent_arrow), sent)
+    first = now = scratch.save(entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, hot, arrow), kept_))
+    models = [_model(first, 0, hot, None)]
+    free = spark.sparkContext._jvm.System.gc  # so that the shuffles of what is over go
+    free()
+
+    def with_answers(*kinds: DataFrame) -> DataFrame:
+        """Rows of each bucket together: what it holds, and the contexts' totals."""
+        asked = now.where("kind = 'ask'").select("key", "source", "data").repartition("key").sortWithinPartitions("key").mapInArrow(_answer(arrow), kept_)
+        own = ["key", "kind", "source", "batch", "data"]
+        rows_ = first.where("kind = 'state'").select(own).unionByName(now.where("kind = 'tables'").select(own)).unionByName(asked.select(own))
+        for more in kinds:
+            rows_ = rows_.unionByName(more.select(own))
+        return rows_.repartition("key").sortWithinPartitions("key")
+
+    for sweep in range(1, SWEEPS + SAMPLES + 1):
+        swept = scratch.save(with_answers().mapInArrow(_sweep(sweep, models[-1], buckets, hot, arrow), kept_))
+        if now is not first:
+            scratch.drop(now)
+        now = swept
+        models.append(_model(now, sweep, hot, models[-1]))
+        free()
+    parts = with_answers(first.where("kind = 'occurrences'")).mapInArrow(_score(models[-SAMPLES:], hot, _arrow(part, spark)), part)
+    heads = first.where("kind = 'documents'").select("batch", "ids", "held", "lengths", *[F.lit(None).cast("binary").alias(c) for c in ("base", "score", "known")])
     gathered = heads.unionByName(parts).repartition("batch").sortWithinPartitions("batch").mapInArrow(_gather(_arrow(out, spark)), out)
-    return gathered.withColumn("train_tokens", F.lit(model["n"]).cast("long")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return gathered.withColumn("train_tokens", F.lit(models[0]["n"]).cast("long")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
