@@ -437,6 +437,13 @@ def test_poisson_tail():
             assert math.exp(toxicity.log_tail(r, mean)) == pytest.approx(exact, rel=1e-4, abs=1e-12)
 
 
+def test_evidence_is_of_all_segments():
+    """300 segments where 50 are expected; the first 200 of them alone are evidence of 57."""
+    every = min(toxicity.log_tail(r, 50.0) for r in range(1, 301))
+    assert toxicity.evidence([1.0] * 300, 50, 0.0, 1.0) == pytest.approx(-every / math.log(10)) and -every / math.log(10) > 120
+    assert toxicity.evidence([1.0] * 5000, 50, 0.0, 1.0) == 300.0
+
+
 def planted(n: int, seed: int):
     rng = random.Random(seed)
     plain, bad = [f"plain{k}x" for k in range(400)], ["vilea", "vileb", "vilec", "grossq"]

@@ -133,7 +133,7 @@ def evidence(found: list[float], n: int, lam: float, k: float) -> float:
     least = 0.0
     for r, x in enumerate(sorted(found, reverse=True), 1):
         least = min(least, log_tail(r, k * n * math.exp(-lam * x)))
-        if r >= 200 and -least > 100:
+        if -least >= 300 * math.log(10):  # the cap
             break
     return min(300.0, -least / math.log(10))
 
