@@ -470,6 +470,15 @@ def test_toxic_held_out(spark):
     assert any(w[:4] in ("vile", "gros") for p in caught.passages for w in text[caught.row.doc_id].split()[p.start : p.end])
 
 
+def test_rare_clean_words_are_evidence(spark):
+    """A word of a few clean documents begins as toxic words do."""
+    rows, labels = planted(1200, 1)
+    few = [d for d, toxic in labels if not toxic][:9]
+    rows = [(d, t + " vilest" if d in few else t) for d, t in rows]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    assert toxicity.Scorer(model).word(b"vilest") < 0 < toxicity.Scorer(model).word(b"vilea")
+
+
 def test_toxic_odd_rows(spark):
     rows, labels = planted(600, 2)
     docs = spark.createDataFrame(rows + [(d, t) for d, t in ODD], "doc_id long, text string").withColumn("score", F.lit("clash"))
