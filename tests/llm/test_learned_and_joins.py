@@ -34,11 +34,11 @@ def reference_ids(text: str | None) -> bytes:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return np.asarray([*t.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes()
 
 
 TRICKY = ["a.b, c.. d,. É. straße, İstanbul. ΑΣ. x́. don't, it's. 5. 五. 五五,", "\t a,\r\nb", "a b　c", ".", "x" * 500 + " " + "Ab" * 60, "\x00\x1f \x7f", "'S 'LL it'LL"]
+TRICKY += ["a <|endoftext|> b", "x<|startoftext|>Y<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext|", "é<|endoftext|>́ z <|end of|>", "<|<|endoftext|>|>"]
 
 
 @pytest.mark.parametrize("text", [*TRICKY, *(t or "" for _, t in ODD)])

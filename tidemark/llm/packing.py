@@ -8,7 +8,8 @@ twice, and puts the displaced documents back by best fit. After an epoch each is
 of its block. Bins that a block could not fill well are opened and their documents pooled over all blocks for another
 round, so the loss is that of the last round's blocks, not of every block.
 
-Cases: null text counts as empty; an empty text has length 1 (its end id); repeated rows and null or repeated doc_id
+Cases: null text counts as empty; an empty text has length 1 (its end id); the tokenizer's control strings in a text are
+its ids for them, as the tokenizer itself has it; repeated rows and null or repeated doc_id
 are packed as rows of their own; an empty table gives an empty result. Ties are broken by the row's number, so a run
 is the same each time for the same files. Other columns of the input are not touched: the result has its own columns.
 """

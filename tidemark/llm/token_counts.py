@@ -5,7 +5,8 @@ pairs are shuffled. Sums over the longer lengths then answer every question abou
 documents are longer, how many tokens there are in all and after cutting each document at L, and which part of the
 documents fits. Suffix sums go in two steps, within runs of SPAN lengths and over the runs, so no task orders all lengths.
 
-Cases: null text is an empty text; an empty text has length 1; repeated rows count each; an empty table gives an empty
+Cases: null text is an empty text; an empty text has length 1; a control string of the tokenizer in a text is one id, as
+the tokenizer itself has it; repeated rows count each; an empty table gives an empty
 histogram, and answers of 0 or null. Only the text column is read.
 """
 
@@ -19,14 +20,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tokens import WordEncoder, default_path
-from tidemark.session import importable
+from tidemark.session import Scratch, importable
 
 #: Lengths whose suffix sums are one task's.
 SPAN = 4096
 
 
 def lengths(docs: DataFrame, *, path: str | None = None, text: str = "text") -> DataFrame:
-    """Returns length, documents: the histogram."""
+    """Returns length, documents: the histogram, written once, since its answers read it several times."""
     path = path or default_path("word_bpe_49k.json")
     importable(docs.sparkSession)
 
@@ -37,7 +38,7 @@ def lengths(docs: DataFrame, *, path: str | None = None, text: str = "text") ->
         yield pa.RecordBatch.from_pydict({"length": pa.array(seen.keys(), pa.int64()), "documents": pa.array(seen.values(), pa.int64())})
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "length long, documents long")
-    return counted.groupBy("length").agg(F.sum("documents").alias("documents"))
+    return Scratch(docs.sparkSession, "lengths").save(counted.groupBy("length").agg(F.sum("documents").alias("documents")))
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 The tokenizers used here never join what stands on two sides of a space or a line feed, so a text's ids are its words'
 ids one after another. Words repeat, so a worker keeps the ids of those it has met, up to a fixed number. A new word of
 plain letters needs none of the tokenizer's steps but its merges; for any other word all its steps are run.
+
+Added tokens of the tokenizer (control strings such as <|endoftext|>) that occur in a text become their single id, as the
+untouched tokenizer has it: a text is first split at them, in exactly their writing and case.
 """
 
 from __future__ import annotations
@@ -44,8 +47,10 @@ class WordEncoder:
         # A task has one core; the library's own threads would only spin over the few words of a text.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
+        added = {t.content: array("I", [n]).tobytes() for n, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = added
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.letters = _as_byte_letters()
         self.known: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
@@ -56,6 +61,12 @@ class WordEncoder:
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
+        if self.at_added and self.at_added.search(text):
+            parts = self.at_added.split(text)
+            return b"".join([self.added[p] if n % 2 else self._plain(p) for n, p in enumerate(parts)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         # The tokenizer ignores case; for other letters than these, only the tokenizer knows how.
         words = (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
         new = set(words).difference(self.known)
