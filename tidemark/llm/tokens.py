@@ -47,6 +47,7 @@ class WordEncoder:
         # A task has one core; the library's own threads would only spin over the few words of a text.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # of what is left between the added tokens, none is one
         self.merges = self.tokenizer.model
         added = {t.content: array("I", [n]).tobytes() for n, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added = added
