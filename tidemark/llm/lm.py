@@ -1,31 +1,34 @@
 r"""Language model scoring with a hierarchical Pitman-Yor model.
 
-Tokens are words of the whole text (A-Z in lower case, outside [\x20\x09-\x0D]) and one end. A context restaurant holds
-the words that follow one previous word; words and previous words are known by their 64-bit hashes. All context
-restaurants share one parent, the restaurant of single words, whose parent is uniform over the V training words and one
-unknown word:
-
-    p(w | u) = (c_uw - d t_uw + (s + d t_u) p(w)) / (s + c_u)
-
-with customers c and tables t. A table of a context restaurant is a customer of the parent.
-
-1. Texts are tokenized where they are read. Each Arrow batch sends its occurrences (word, previous word, document), packed
-   as bytes, to buckets of the words' hash space: all occurrences of a word meet, so its customers in every restaurant do.
-   Words that are a HOT part of some batch are found by a pass of their own; their occurrences are dealt by word and
-   previous word, so that no bucket holds all of a frequent word, and their totals (of MOST_HOT words at most) go by the
-   driver.
-2. Buckets send the customers and tables of each previous word to parts of the hash space, one row of each bucket for each
-   part, which add them up and answer: every sweep has each restaurant's exact totals over all buckets.
-3. A sweep resamples the tables of each (previous word, word) given all others' (blocked Gibbs). With x_u, a gamma variate
-   of shape s / d + t_u, and the parent's masses G, drawn given the parent's customers and tables, entries are
-   independent: P(t_uw = t) is in proportion to S(c_uw, t) (d x_u G(w))^t, S being generalized Stirling numbers; so are the
-   parent's tables. SWEEPS sweeps are thrown away, then SAMPLES are kept. Discounts are estimated from the counts of counts
-   of all buckets. Random numbers belong to words and pairs, so nothing depends on how many buckets there are.
-   Two steps are not exact: entries of more than EXACT customers are seated forward in blocks of a tenth, and the mass
-   that the parent leaves to new tables is spread at its mean.
-4. Each pair's probability is averaged over the samples, and its logarithm is summed by document.
-
-The score is log10 of the text's probability. Training and scoring cover every row; the corpus side grows with it.
+Tokens are words of the whole text (A-Z in lower case, outside [\x20\x09-\x0D]) and one end; words are known by their
+64-bit hashes. A restaurant for each two previous words has as its parent the restaurant of the last of them, whose parent
+is the restaurant of single words; the parent of that is uniform over the V training words and one unknown word:
+
+    p(w | u v) = (c_uvw - d2 t_uvw + (s + d2 t_uv) p(w | v)) / (s + c_uv)
+    p(w | v)   = (c_vw - d1 t_vw + (s + d1 t_v) p(w)) / (s + c_v)        c_vw: tables t_uvw over all u
+    p(w)       = (c_w - d0 t_w + (s + d0 t) / (V + 1)) / (s + c)         c_w: tables t_vw over all v
+
+with customers c and tables t. Only c_uvw is counted in the texts; all tables are sampled.
+
+1. Words are counted exactly (`vocabulary`). The number of buckets follows from the number of tokens, never from the
+   session's settings.
+2. Texts are tokenized in slices. A slice sends the distinct (u, v, w) it holds to the bucket of v, so a restaurant v and
+   all its children are in one bucket. A word v of more than half a bucket is dealt by u as well: then its children
+   stay whole, and v's own restaurant is kept where single words are (3). Which document holds what stays with the slice.
+3. The restaurant of single words is dealt by word to parts. A round: buckets send their tables t_vw (or t_uvw of divided
+   words) to the parts, which sum them over all buckets, seat them and answer each word's customers, tables and posterior
+   mass. Only sums, and a few numbers for each divided word (2 for each bucket at most), reach the driver.
+4. Given the masses of single words, restaurants of different v are independent, so a round makes several Gibbs sweeps in
+   each bucket: tables of each entry given all others, P(t) in proportion to S(c, t) (d x G(w))^t with S generalized Stirling
+   numbers, x a gamma variate of shape s / d + (the restaurant's tables) and G the parent's masses, drawn from their
+   posterior. BURN sweeps come before the first sample, BETWEEN before the next. Discounts are estimated from counts of
+   counts over all buckets. Random numbers belong to words, pairs and triples, so nothing depends on how data are dealt.
+5. Buckets answer each slice the probabilities of its entries (the mean of the samples; log10 in steps of 2**-18) and the
+   words' counts, and the slice sums them up by document. What is sent grows with the tokens, not with documents by buckets.
+
+Above EXACT customers the Stirling numbers follow their scaling law, S(c, t) ~ d^(1-t) / Gamma(t) h(t / c^d), with h from the
+row of EXACT customers. Two previous words that follow each other very often are one task's: their entries, not their
+occurrences, since a slice sends a triple once.
 
 Cases: null text is an empty text: one end token. Null doc_id counts as the text "" for the split and is returned as
 it is; repeated rows are trained on and scored each; without training rows N and V are 0 and the parent is uniform over
@@ -35,7 +38,8 @@ the unknown word, so scores are 0; an empty table gives an empty result. Other c
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,32 +53,25 @@ from tidemark.llm.words import groups, mixed, slices, tables, word_hashes, words
 from tidemark.llm.workers import tidy
 from tidemark.session import Scratch, importable
 
-SAMPLES = 2
-SWEEPS = 2
+#: Sweeps before the first sample, and between it and the second.
+BURN, BETWEEN = 3, 2
 #: Strength of a restaurant.
 STRENGTH = 1.0
 END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
-#: Buckets for each shuffle partition. A task has one bucket in memory at a time.
-BUCKETS = 2
-#: Bytes of documents' sums that a scoring task gathers before it sends them on.
-GATHERED = 48 << 20
-#: A word is frequent if it is such a part of the tokens of some batch; and how many of them are dealt by slot as well.
-HOT = 1 / 1000
-MOST_HOT = 4096
-#: Customers of a (slot, word) that are seated one at a time; beyond, in steps of a tenth.
-ONE_BY_ONE = 24
-
-#: Customers of an entry up to which its tables are drawn from their exact distribution.
-EXACT = 400
-#: The parent's discount before the first sweep has counted.
+#: Tokens of a bucket, about; words of a part; bytes of text of a slice. A task has one of them in memory at a time.
+BUCKET_TOKENS, PART_WORDS, SLICE_BYTES = 2_000_000, 400_000, 16 << 20
+#: Customers of an entry up to which its tables are drawn from Stirling numbers by recursion.
+EXACT = 1000
+#: Discounts before the first round has counted.
 FIRST_DISCOUNT = 0.5
+#: Steps of a log10.
+FINE = 1 << 18
 
-_SENT = "bucket int, batch string, {ids}, held binary, lengths binary, words binary, counts binary, contexts binary, places binary, docs binary"
-_FREQUENT = "word long, n long"
-#: key: the bucket, or the part of the contexts for kind ask. source: where an ask or answer comes from.
-_KEPT = "key int, kind string, source int, batch string, {ids}, held binary, lengths binary, data binary, totals array<double>, hot_word array<long>, hot_seen array<long>, hot_customers array<long>"
-_PART = "batch string, {ids}, held binary, lengths binary, base binary, score binary, known binary"
+_SENT = "key int, slice string, {ids}, held binary, data binary"
+#: key: a bucket, or a part of the words for kind ask. source: where an ask or answer comes from.
+_KEPT = "key int, kind string, source int, slice string, {ids}, held binary, data binary, totals array<double>, hot array<array<double>>"
+_PART = "slice string, source int, {ids}, held binary, data binary"
 _OUT = "doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -103,66 +100,57 @@ def gamma(shape: np.ndarray, keys: np.ndarray, *salt: int) -> np.ndarray:
     return out
 
 
-def seat(customers: np.ndarray, weight: np.ndarray, grow: np.ndarray, discount: float, rng: np.random.Generator | Callable) -> np.ndarray:
-    """Tables after seating each entry's customers in turn: a new table with weight + grow * (tables - 1), or an old one."""
-    tables_ = np.minimum(customers, 1).astype(np.int64)
-    binomial = (lambda at, k, n, chance: rng.binomial(n, chance)) if isinstance(rng, np.random.Generator) else rng
-    at, k = np.flatnonzero(customers > 1), 1
-    while len(at):
-        step = 1 if k < ONE_BY_ONE else k // 10
-        n = np.minimum(step, customers[at] - k)
-        t = tables_[at]
-        new = weight[at] + grow[at] * (t - 1)
-        chance = new / (new + np.maximum(k + (n - 1) / 2 - discount * t, 1e-9))
-        tables_[at] += binomial(at, k, n, np.clip(chance, 0, 1))
-        k += step
-        at = at[customers[at] > k]
-    return tables_
-
-
-def by_key(keys: np.ndarray, *salt: int) -> Callable:
-    """Binomials for seat(), from the entries' own random numbers."""
-
-    def binomial(at: np.ndarray, k: int, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
-        of = np.repeat(np.arange(len(at)), n)
-        number = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + k
-        u = uniform(mixed(keys[at])[of] + number.astype(np.uint64), *salt)
-        return np.bincount(of, weights=u < chance[of], minlength=len(at)).astype(np.int64)
-
-    return binomial
-
-
-@functools.lru_cache(maxsize=2)
-def stirling(discount: float) -> np.ndarray:
-    """Logarithms of the generalized Stirling numbers of up to EXACT customers (row) and tables (column)."""
-    out = np.full((EXACT + 1, EXACT + 2), -np.inf)
+@functools.lru_cache(maxsize=4)
+def stirling(discount: float, most: int = EXACT) -> np.ndarray:
+    """Logarithms of the generalized Stirling numbers of up to `most` customers (row) and tables (column)."""
+    out = np.full((most + 1, most + 2), -np.inf)
     out[1, 1] = 0.0
-    for c in range(1, EXACT):
+    for c in range(1, most):
         t = np.arange(1, c + 2)
         out[c + 1, t] = np.logaddexp(out[c, t - 1], out[c, t] + np.log(np.maximum(c - discount * t, 1e-300)))
     return out
 
 
-def resample(customers: np.ndarray, z: np.ndarray, discount: float, keys: np.ndarray, *salt: int, large: Callable | None = None) -> np.ndarray:
+@functools.lru_cache(maxsize=4)
+def _law(discount: float) -> np.ndarray:
+    """h of the scaling law, as logarithms at t = 1, 2, ... of EXACT customers."""
+    t = np.arange(1, EXACT + 1)
+    return stirling(discount)[EXACT, 1 : EXACT + 1] + np.array([math.lgamma(x) for x in t]) + (t - 1) * math.log(discount)
+
+
+def _log_weights(customers: int, log_z: float, discount: float) -> np.ndarray:
+    """Logarithms of the weights of 1, 2, ... tables for more than EXACT customers, up to where they vanish."""
+    scale = (EXACT / customers) ** discount
+    mean = math.exp(min(log_z, 50)) / discount
+    most = int(min(customers, EXACT / scale, mean + 12 * math.sqrt(mean) + 60))
+    t = np.arange(1, most + 1)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.maximum(t[:-1], 1)))])  # log Gamma(t)
+    return (t - 1) * (log_z - math.log(discount)) - logs + np.interp(t * scale, np.arange(1, EXACT + 1), _law(discount))
+
+
+def resample(customers: np.ndarray, z: np.ndarray, discount: float, keys: np.ndarray, *salt: int) -> np.ndarray:
     """Tables of each entry, t with a probability in proportion to S(customers, t) z^t."""
     out = np.minimum(customers, 1).astype(np.int64)
     log_s, log_z = stirling(discount), np.log(np.maximum(z, 1e-300))
-    some = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    some = np.flatnonzero(customers > 1)
     some = some[np.argsort(customers[some], kind="stable")]
     u = uniform(keys[some], *salt)
-    cuts = np.flatnonzero(np.r_[True, np.diff(customers[some]) > 0, True]) if len(some) else []
+    own = customers[some]
+    cuts = np.flatnonzero(np.r_[True, np.diff(own) > 0, True]) if len(some) else []
     for first, end in zip(cuts, cuts[1:], strict=False):
-        c = int(customers[some[first]])
-        t, size = np.arange(1, c + 1), max(1, (1 << 20) // c)
+        c = int(own[first])
+        if c > EXACT:
+            for i in range(first, end):
+                w = _log_weights(c, float(log_z[some[i]]), discount)
+                w = np.cumsum(np.exp(w - w.max()))
+                out[some[i]] = 1 + int((w[:-1] <= u[i] * w[-1]).sum())
+            continue
+        t, size = np.arange(1, c + 1), max(1, (1 << 18) // c)
         for i in range(first, end, size):
             j = min(end, i + size)
             w = log_s[c, 1 : c + 1] + log_z[some[i:j], None] * t
             w = np.cumsum(np.exp(w - w.max(axis=1, keepdims=True)), axis=1)
             out[some[i:j]] = 1 + (w[:, :-1] <= u[i:j, None] * w[:, -1:]).sum(axis=1)
-    many = np.flatnonzero(customers > EXACT)
-    if len(many):
-        forward = large or (lambda at: seat(customers[at], z[at], np.zeros(len(at)), discount, by_key(keys[at], *salt)))
-        out[many] = forward(many)
     return out
 
 
@@ -171,6 +159,13 @@ def rate(one: float, two: float) -> float:
     return min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
 
 
+def small(x: np.ndarray) -> np.ndarray:
+    """The same numbers in as few bytes each as the largest needs."""
+    x = np.asarray(x)
+    most = int(x.max()) if len(x) else 0
+    return x.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
+
+
 def pack(*columns: np.ndarray) -> bytes:
     """Columns of numbers as compressed bytes: most are small and alike."""
     head = np.array([len(columns), *[x for c in columns for x in (len(c), c.dtype.itemsize)]], dtype="<u8").tobytes()
@@ -182,288 +177,456 @@ def unpack(data: bytes) -> list[np.ndarray]:
     n = int(np.frombuffer(data, "<u8", 1)[0])
     at, out = 8 + 16 * n, []
     for size, width in np.frombuffer(data, "<u8", 2 * n, 8).reshape(-1, 2).tolist():
-        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, width * size, at).reshape(width, size).T).view(f"<u{width}").reshape(-1))
+        if size:
+            out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, width * size, at).reshape(width, size).T).view(f"<u{width}").reshape(-1))
+        else:
+            out.append(np.zeros(0, f"<u{width}"))
         at += width * size
     return out
 
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """Rising numbers as their differences."""
+    return small(np.diff(x, prepend=x[:1] * 0))
+
+
+def total(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x, dtype=np.int64)
+
+
 def _tokens(texts: list[str | None]) -> list[np.ndarray]:
     ends = np.array([END], dtype=np.uint64)
     return [np.concatenate([word_hashes(words(t)), ends]) for t in texts]
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 0):
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 0, size=SLICE_BYTES):
         word, n = np.unique(np.concatenate(_tokens(batch.column(0).to_pylist())), return_counts=True)
-        hot = n >= HOT * n.sum()
-        yield pa.RecordBatch.from_arrays([pa.array(word[hot].view(np.int64)), pa.array(n[hot].astype(np.int64))], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+
+def vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
+    """word (64-bit hash), n: how often each word of the texts occurs."""
+    return docs.select(F.col(text).alias("text")).mapInArrow(tidy(_counted), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _share(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Numbers from 0 to n - 1 that rise with the hash."""
+    return (((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
-def _hot_words(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of frequent words, MOST_HOT at most. They only decide where occurrences are dealt to."""
-    found = docs.select("text").mapInArrow(_frequent, _FREQUENT).groupBy("word").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "word").limit(MOST_HOT).collect()
-    return np.sort(np.array([r.word for r in top], dtype=np.int64).view(np.uint64))
+class Dealing:
+    """Buckets, parts, and words that are divided: `hot`, sorted, with the number of pieces of each."""
 
+    def __init__(self, tokens: int, distinct: int, often: dict[int, int], bucket_tokens: int):
+        self.buckets = max(1, -(-tokens // bucket_tokens))
+        self.parts = max(1, -(-distinct // PART_WORDS))
+        self.hot = np.array(sorted(often), dtype=np.uint64)
+        self.pieces = np.array([0, *(-(-2 * often[w] // bucket_tokens) for w in sorted(often))], dtype=np.uint64)
 
-def _is_hot(word: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """The place in hot, from 1; 0 for other words."""
-    if not len(hot):
-        return np.zeros(len(word), dtype=np.int64)
-    at = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
-    return np.where(hot[at] == word, at + 1, 0)
+    def place(self, word: np.ndarray) -> np.ndarray:
+        """The place among the divided words, from 1; 0 for others."""
+        if not len(self.hot):
+            return np.zeros(len(word), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hot, word), len(self.hot) - 1)
+        return np.where(self.hot[at] == word, at + 1, 0)
 
+    def bucket(self, words_: np.ndarray, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """Of tokens after v and u, which are places in words_."""
+        with np.errstate(over="ignore"):
+            own = mixed(words_)
+            out = _share(own, self.buckets)[v]
+            place = self.place(words_)
+            at = np.flatnonzero(place[v] > 0) if place.any() else []
+            if len(at):
+                piece = (mixed(own[u[at]]) >> np.uint64(20)) % self.pieces[place[v[at]]]
+                out[at] = _share(mixed(own[v[at]] + piece * np.uint64(0x9E3779B97F4A7C15)), self.buckets)
+        return out
 
-def _send(buckets: int, hot: np.ndarray, schema: pa.Schema):
+
+def _send(deal: Dealing, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(slices(batches, 2, size=8 << 20)):
-            ids, held, texts = (c.to_pylist() for c in batch.columns)
-            own = _tokens(texts)
-            lengths = np.array([len(x) for x in own], dtype=np.int64)
-            word = np.concatenate(own)
-            before = np.r_[np.uint64(START), word[:-1]]
-            before[np.cumsum(lengths)[:-1]] = np.uint64(START)
-            doc = np.repeat(np.arange(len(own), dtype=np.uint16), lengths)
-            place = np.where(_is_hot(word, hot) > 0, mixed(word + mixed(before)), word)
-            bucket = (((place >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
-            order = np.lexsort((word, bucket))
-            word, before, doc, bucket = word[order], before[order], doc[order], bucket[order]
-            at = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1])])
-            distinct, counts = word[at], np.diff(np.r_[at, len(word)])
-            cuts = np.searchsorted(bucket[at], np.arange(buckets + 1))
-            tokens = np.r_[at, len(word)][cuts]
-            name = f"{task}-{number}"
-            flags = np.packbits(np.array(held, dtype=bool)).tobytes()
-            none = dict.fromkeys(("ids", "held", "lengths", "words", "counts", "contexts", "places", "docs"))
-            out = [none | {"bucket": xxhash.xxh32_intdigest(name) % buckets, "batch": name, "ids": ids, "held": flags, "lengths": lengths.tobytes()}]
-            for b, (a, z, i, j) in enumerate(zip(cuts, cuts[1:], tokens, tokens[1:], strict=False)):
-                if z > a:
-                    contexts, places = np.unique(before[i:j], return_inverse=True)
-                    places = places.astype(np.uint16 if len(contexts) <= 1 << 16 else np.uint32)
-                    out.append(none | {"bucket": b, "batch": name, "held": flags, "words": distinct[a:z].tobytes(), "counts": counts[a:z].astype("<u4").tobytes(), "contexts": contexts.tobytes(), "places": places.tobytes(), "docs": doc[i:j].tobytes()})
-            yield from tables(out, schema, 256)
+        for number, batch in enumerate(slices(batches, 2, size=SLICE_BYTES)):
+            yield from tables(_of_slice(f"{task}-{number}", batch), schema, 64)
+
+    def _of_slice(name: str, batch: pa.RecordBatch) -> Iterator[dict]:
+        none = dict.fromkeys(x.name for x in schema)
+        ids, held = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=bool)
+        own = _tokens(batch.column(2).to_pylist())
+        lengths = np.array([len(x) for x in own], dtype=np.int64)
+        own.append(np.array([START], dtype=np.uint64))
+        words_, w = np.unique(np.concatenate(own), return_inverse=True)
+        del own
+        start, w = w[-1], w[:-1]
+        first = np.cumsum(lengths) - lengths
+        v = np.r_[start, w[:-1]]
+        v[first] = start
+        u = np.r_[start, v[:-1]]
+        u[first] = start
+        bucket = deal.bucket(words_, v, u)
+        bits = len(words_).bit_length()
+        if 3 * bits + deal.buckets.bit_length() < 64:
+            order = np.argsort((((bucket << bits) + v << bits) + u << bits) + w)
+        else:
+            order = np.lexsort((w, u, v, bucket))
+        doc = np.repeat(np.arange(len(ids), dtype=np.uint16), lengths)[order]
+        bucket, v, u, w = bucket[order], v[order], u[order], w[order]
+        del order
+        new = np.r_[True, (w[1:] != w[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (bucket[1:] != bucket[:-1])]
+        at = np.flatnonzero(new)
+        counts = np.diff(np.r_[at, len(w)])
+        n = np.add.reduceat((~held)[doc].astype(np.int64), at)
+        bucket, v, u, w = bucket[at], v[at], u[at], w[at]
+        buckets, cuts = np.unique(bucket, return_index=True)
+        cuts = np.r_[cuts, len(bucket)]
+        yield none | {"key": xxhash.xxh32_intdigest(name) % deal.buckets, "slice": name, "ids": ids, "held": np.packbits(held).tobytes(), "data": pack(small(lengths), doc, small(counts), small(buckets), small(np.diff(cuts)))}
+        used = np.zeros(len(words_), dtype=bool)
+        for b, i, j in zip(buckets.tolist(), cuts, cuts[1:], strict=False):
+            used[:] = False
+            for x in (v, u, w):
+                used[x[i:j]] = True
+            local = np.cumsum(used) - 1
+            yield none | {"key": b, "slice": name, "data": pack(words_[used], steps(local[v[i:j]]), small(local[u[i:j]]), small(local[w[i:j]]), small(n[i:j]))}
 
     return run
 
 
 class Bucket:
-    """A bucket's words, contexts and pairs of them, with customers and tables."""
+    """A bucket's entries (u, v, w), sorted by v, u and w, with what is derived from them.
 
-    #: words, contexts: sorted hashes. seen: of words, in training. customers: of contexts, over all buckets.
-    #: n, table: of pairs. word_table: of words. Then of each sample: table and word_table; and of contexts, all_tables.
-    fixed = ("words", "seen", "contexts", "pair_word", "pair_context", "n")
-    seated = ("table", "word_table", "customers")
+    words: sorted hashes. n, t: customers and tables of entries. context: an entry's (v, u). pair: an entry's (v, w), with
+    pair_t its tables. asked: places of the words that follow anything. divided: pairs whose v is divided.
+    """
 
-    def __init__(self, own: dict[str, np.ndarray], samples: list[np.ndarray]):
-        self.__dict__.update(own)
-        self.samples = samples
+    def __init__(self, words_: np.ndarray, v: np.ndarray, u: np.ndarray, sizes: np.ndarray, w: np.ndarray, n: np.ndarray, deal: Dealing):
+        """v, u, sizes: of contexts; w, n: of entries."""
+        self.words, self.context_v, self.context_u, self.sizes, self.w, self.n, self.deal = words_, v, u, sizes, w, n, deal
+        self.context = np.repeat(np.arange(len(v)), sizes)
+        k = len(words_)
+        pairs, self.pair = np.unique(v[self.context] * k + w, return_inverse=True)
+        self.pair_v, self.pair_w = pairs // k, pairs % k
+        seen = np.zeros(k, dtype=bool)
+        seen[self.pair_w] = True
+        self.asked = np.flatnonzero(seen)
+        self.ask = (np.cumsum(seen) - 1)[self.pair_w]  # of each pair
+        place = deal.place(words_)[self.pair_v]
+        divided = np.flatnonzero(place)
+        self.divided = divided[np.lexsort((place[divided], self.pair_w[divided]))]
+        self.place = place[self.divided]
+        self.local = place == 0
+        with np.errstate(over="ignore"):
+            own = mixed(words_)
+            self.v_keys = own
+            self.pair_keys = mixed(own[self.pair_v] + np.uint64(1)) + words_[self.pair_w]
+            self.context_keys = mixed(own[v] + np.uint64(2)) + words_[u]
+        self.t = np.minimum(n, 1)
+        self.pair_t = self.seat_first()
+
+    @property
+    def entry_keys(self) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed(self.context_keys[self.context]) + self.words[self.w]
 
     @classmethod
-    def load(cls, state: bytes, tables_: bytes) -> Bucket:
-        columns = unpack(tables_)
-        return cls(dict(zip(cls.fixed, unpack(state), strict=True)) | dict(zip(cls.seated, columns, strict=False)), columns[len(cls.seated) :])
-
-    def word_customers(self, table: np.ndarray) -> np.ndarray:
-        return np.bincount(self.pair_word, weights=table, minlength=len(self.words)).astype(np.int64)
-
-    def rows(self, bucket: int, buckets: int, hot: np.ndarray, sweep: int, d0: float, none: dict) -> Iterator[dict]:
-        """The bucket as it is kept, its totals, and what it asks of the contexts."""
-        frequent = _is_hot(self.words, hot)
-        rest = frequent == 0
-        c = self.word_customers(self.table)
-        mass = gamma(c[rest] - d0 * self.word_table[rest], self.words[rest], sweep, 1)
-        if sweep == 0:
-            yield none | {"key": bucket, "kind": "state", "data": pack(*[getattr(self, x) for x in self.fixed])}
-        yield none | {"key": bucket, "kind": "tables", "data": pack(*[getattr(self, x) for x in self.seated], *self.samples)}
-        yield none | {
-            "key": bucket,
-            "kind": "totals",
-            "totals": [float(x) for x in (self.seen.sum(), ((self.seen > 0) & rest).sum(), (self.n == 1).sum(), (self.n == 2).sum(), (c[rest] == 1).sum(), (c[rest] == 2).sum(), c[rest].sum(), self.word_table[rest].sum(), mass.sum())],
-            "hot_word": (frequent[~rest] - 1).tolist(),
-            "hot_seen": self.seen[~rest].tolist(),
-            "hot_customers": c[~rest].tolist(),
-        }
-        sums = [np.bincount(self.pair_context, weights=x, minlength=len(self.contexts)).astype("<u4") for x in ((self.n, self.table) if sweep == 0 else (self.table,))]
-        part = (((self.contexts >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-        cuts = np.searchsorted(part, np.arange(buckets + 1))
-        for k, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
+    def load(cls, data: bytes, deal: Dealing) -> Bucket:
+        words_, v, u, sizes, w, n = unpack(data)
+        return cls(words_, total(v), u.astype(np.int64), sizes.astype(np.int64), w.astype(np.int64), n.astype(np.int64), deal)
+
+    def saved(self) -> bytes:
+        return pack(self.words, steps(self.context_v), small(self.context_u), small(self.sizes), small(self.w), small(self.n))
+
+    def sum_pairs(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.pair, weights=x, minlength=len(self.pair_v)).astype(np.int64)
+
+    def sum_v(self, x: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        return np.bincount(self.pair_v[at], weights=x, minlength=len(self.words)).astype(np.float64)
+
+    def seat_first(self) -> np.ndarray:
+        return np.where(self.local, np.minimum(self.sum_pairs(self.t), 1), 0)
+
+    def tables(self) -> bytes:
+        return pack(small(self.t), small(self.pair_t))
+
+    def set_tables(self, data: bytes) -> None:
+        self.t, self.pair_t = (x.astype(np.int64) for x in unpack(data))
+
+    def hear(self, answers: list[tuple[int, bytes]], m: dict) -> None:
+        """Customers, tables and masses of single words and of divided words' pairs, and the probabilities and masses they give."""
+        found = [np.concatenate(x) for x in zip(*[unpack(data) for _, data in sorted(answers)], strict=True)]
+        c, t, g, self.seen, hot_c, hot_t, hot_g = found
+        each = 1 / (m["known"] + 1)
+        self.mass = (g.view("<f4") + m["new"] * each) / m["mass"]
+        self.p_word = (c - m["d0"] * t + (STRENGTH + m["d0"] * m["tables"]) * each) / (STRENGTH + m["customers"])
+        self.pair_mass = self.mass[self.ask]
+        k = self.place
+        self.divided_mass = (hot_g.view("<f4") + m["hot_new"][k] * self.pair_mass[self.divided]) / m["hot_mass"][k]
+        self.hot_c, self.hot_t = hot_c.astype(np.float64), hot_t.astype(np.float64)
+
+    def sweep(self, m: dict, sweeps: int, turn: int) -> None:
+        """m: what the last round counted."""
+        d2, d1 = m["d2"], m["next_d1"]
+        many = np.flatnonzero(self.n > 1)
+        contexts = np.unique(self.context[many])
+        needed = np.zeros(len(self.pair_v), dtype=bool)
+        needed[self.pair[many]] = True
+        rest, needed = np.flatnonzero(self.local & ~needed), np.flatnonzero(self.local & needed)
+        parents = np.unique(self.pair_v[needed])
+        keys = self.entry_keys[many]
+        for k in range(sweeps):
+            c = self._seat_pairs(d1, turn, k)
+            shape = c - d1 * self.pair_t
+            masses = gamma(shape[needed], self.pair_keys[needed], turn, k, 2)
+            # Of pairs whose own mass nobody asks for, only the sum counts, and a sum of gamma variates is one.
+            others = gamma(self.sum_v(shape[rest], rest)[parents], self.v_keys[parents], turn, k, 3)
+            new = np.zeros(len(self.words))
+            new[parents] = gamma(STRENGTH + d1 * self.sum_v(self.pair_t)[parents], self.v_keys[parents], turn, k, 4)
+            sums = self.sum_v(masses, needed)
+            sums[parents] += others + new[parents]
+            mass = np.zeros(len(self.pair_v))
+            mass[needed] = (masses + new[self.pair_v[needed]] * self.pair_mass[needed]) / sums[self.pair_v[needed]]
+            mass[self.divided] = self.divided_mass
+            x = np.zeros(len(self.sizes))
+            x[contexts] = gamma(STRENGTH / d2 + np.bincount(self.context, weights=self.t, minlength=len(x))[contexts], self.context_keys[contexts], turn, k, 5)
+            self.t[many] = resample(self.n[many], d2 * x[self.context[many]] * mass[self.pair[many]], d2, keys, turn, k, 6)
+        self._seat_pairs(d1, turn, sweeps)
+
+    def _seat_pairs(self, d1: float, turn: int, k: int) -> np.ndarray:
+        """Tables of (v, w) given their customers, which are returned."""
+        c = np.where(self.local, self.sum_pairs(self.t), 0)
+        several = np.flatnonzero(c > 1)
+        parents = np.unique(self.pair_v[several])
+        now = np.minimum(c, 1)
+        x = np.zeros(len(self.words))
+        x[parents] = gamma(STRENGTH / d1 + self.sum_v(np.clip(self.pair_t, now, c))[parents], self.v_keys[parents], turn, k, 0)
+        now[several] = resample(c[several], d1 * x[self.pair_v[several]] * self.pair_mass[several], d1, self.pair_keys[several], turn, k, 1)
+        self.pair_t = now
+        return c
+
+    def probabilities(self, m: dict) -> np.ndarray:
+        """Of entries, by the present tables."""
+        d2, d1 = m["d2"], m["d1"]
+        c, t = self.sum_pairs(self.t).astype(np.float64), self.pair_t.astype(np.float64)
+        all_c, all_t = (self.sum_v(np.where(self.local, x, 0))[self.pair_v] for x in (c, t))
+        c[self.divided], t[self.divided] = self.hot_c, self.hot_t
+        all_c[self.divided], all_t[self.divided] = m["hot_customers"][self.place], m["hot_tables"][self.place]
+        p = (c - d1 * t + (STRENGTH + d1 * all_t) * self.p_word[self.ask]) / (STRENGTH + all_c)
+        in_context = lambda x: np.bincount(self.context, weights=x, minlength=len(self.sizes))[self.context]
+        return (self.n - d2 * self.t + (STRENGTH + d2 * in_context(self.t)) * p[self.pair]) / (STRENGTH + in_context(self.n))
+
+    def asks(self, none: dict, bucket: int, first: bool) -> Iterator[dict]:
+        """To each part: words with the tables of local pairs and their counts, divided pairs with tables and the word's mass."""
+        c = self.sum_pairs(self.t)
+        up = np.bincount(self.ask, weights=self.pair_t, minlength=len(self.asked)).astype(np.int64)
+        seen = np.bincount(self.ask[self.pair], weights=self.n, minlength=len(self.asked)).astype(np.int64)
+        own, hot = self.words[self.asked], self.words[self.pair_w[self.divided]]
+        mass = np.zeros(len(hot), "<f4") if first else self.pair_mass[self.divided].astype("<f4")
+        ends = np.arange(self.deal.parts + 1)
+        cuts, hot_cuts = (np.searchsorted(_share(x, self.deal.parts), ends) for x in (own, hot))
+        c_local = c[self.local]
+        sums = [float(x) for x in (self.n.sum(), (self.n == 1).sum(), (self.n == 2).sum(), (c_local == 1).sum(), (c_local == 2).sum())]
+        for part, (i, j, a, z) in enumerate(zip(cuts, cuts[1:], hot_cuts, hot_cuts[1:], strict=False)):
             if j > i:
-                yield none | {"key": k, "kind": "ask", "source": bucket, "data": pack(self.contexts[i:j], *[x[i:j] for x in sums])}
-
-    def hear(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
-        """Tables of each context over all buckets; the first time the customers come too."""
-        *first, all_tables = [np.concatenate(x) for x in zip(*[unpack(data) for _, data in sorted(answers)], strict=True)]
-        if first:
-            self.customers = first[0]
-        return all_tables
+                yield none | {
+                    "key": part, "kind": "ask", "source": bucket, "totals": sums,
+                    "data": pack(own[i:j], small(up[i:j]), small(seen[i:j]), small(self.place[a:z]), hot[a:z], small(c[self.divided[a:z]]), mass[a:z].view("<u4")),
+                }
+                sums = None
 
 
-def _train(buckets: int, hot: np.ndarray, schema: pa.Schema):
+def _train(deal: Dealing, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), own in groups(batches, 1):
-            yield from tables(_of_bucket(bucket, own), schema, 64)
+            yield from tables(_of_bucket(bucket, own), schema, 16)
 
     def _of_bucket(bucket: int, own: list[tuple]) -> Iterator[dict]:
         none = dict.fromkeys(x.name for x in schema)
-        parts = []
-        for name, ids, held, lengths, word, counts, contexts, places, doc in own:
+        names, parts = [], []
+        while own:
+            name, ids, held, data = own.pop()
             if ids is not None:
-                yield none | {"key": bucket, "kind": "documents", "batch": name, "ids": ids, "held": held, "lengths": lengths}
+                yield none | {"key": bucket, "kind": "slice", "slice": name, "ids": ids, "held": held, "data": data}
             else:
-                doc, contexts = np.frombuffer(doc, np.uint16), np.frombuffer(contexts, np.uint64)
-                parts.append((name, held, np.frombuffer(word, np.uint64), np.frombuffer(counts, "<u4"), contexts, np.frombuffer(places, np.uint16 if len(places) == 2 * len(doc) else np.uint32), doc))
+                names.append(name)
+                parts.append(unpack(data))
         if not parts:
             return
-        words_, number = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
-        word = np.repeat(number.astype(np.int64), np.concatenate([p[3] for p in parts]))
-        contexts, number = np.unique(np.concatenate([p[4] for p in parts]), return_inverse=True)
-        first = np.cumsum([0, *(len(p[4]) for p in parts)])
-        context = np.concatenate([number[a + p[5].astype(np.int64)] for a, p in zip(first, parts, strict=False)])
-        training = np.concatenate([~np.unpackbits(np.frombuffer(p[1], np.uint8)).astype(bool)[p[6]] for p in parts])
-        pairs, pair = np.unique(word * len(contexts) + context, return_inverse=True)
-        n = np.bincount(pair[training], minlength=len(pairs)).astype("<u4")
-        at = {"words": words_, "contexts": contexts, "pair_word": (pairs // len(contexts)).astype("<u4"), "pair_context": (pairs % len(contexts)).astype("<u4"), "n": n, "table": np.minimum(n, 1).astype("<u4")}
-        seen = np.bincount(word[training], minlength=len(words_)).astype("<u4")
-        state = Bucket(at | {"seen": seen, "word_table": np.minimum(seen, 1).astype("<u4"), "customers": np.zeros(0, "<u8")}, [])
-        yield from state.rows(bucket, buckets, hot, 0, FIRST_DISCOUNT, none)
-        i = 0
-        for name, *_, doc in parts:
-            yield none | {"key": bucket, "kind": "occurrences", "batch": name, "data": pack(doc, pair[i : i + len(doc)].astype("<u4"))}
-            i += len(doc)
+        words_ = np.unique(np.concatenate([p[0] for p in parts]))
+        k, sent = len(words_), [len(p[1]) for p in parts]
+        context, w, n = [], [], []
+        for own_words, v, u, w_, n_ in parts:
+            at = np.searchsorted(words_, own_words)
+            context.append(at[total(v)] * k + at[u])
+            w.append(at[w_])
+            n.append(n_.astype(np.int64))
+        del parts
+        context, w, n = np.concatenate(context), np.concatenate(w), np.concatenate(n)
+        contexts = None
+        if 3 * k.bit_length() > 62:
+            contexts, context = np.unique(context, return_inverse=True)
+        entries, entry = np.unique(context * k + w, return_inverse=True)
+        n = np.bincount(entry, weights=n, minlength=len(entries)).astype(np.int64)
+        at = 0
+        for name, size in zip(names, sent, strict=True):
+            yield none | {"key": bucket, "kind": "index", "slice": name, "data": pack(steps(entry[at : at + size]))}
+            at += size
+        del context, w, entry
+        context, w = entries // k, entries % k
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+        sizes, context = np.diff(np.r_[first, len(context)]), context[first]
+        if contexts is not None:
+            context = contexts[context]
+        state = Bucket(words_, context // k, context % k, sizes, w, n, deal)
+        yield none | {"key": bucket, "kind": "state", "data": state.saved()}
+        yield from state.asks(none, bucket, True)
 
     return run
 
 
-def _answer(schema: pa.Schema):
-    """Sums over all buckets of what each asks, in the order in which it asks."""
+def _answer(deal: Dealing, m: dict | None, turn: int, schema: pa.Schema):
+    """The restaurant of single words, and those of divided words. m: what the last round counted; none in the first."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = dict.fromkeys(x.name for x in schema)
         for (part,), own in groups(batches, 1):
-            asked = [unpack(data) for _, data in own]
-            contexts, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-            sums = [np.bincount(at, weights=np.concatenate(x), minlength=len(contexts)).astype("<u8")[at] for x in list(zip(*asked, strict=True))[1:]]
-            cuts = np.cumsum([0, *(len(a[0]) for a in asked)])
-            answers = (none | {"key": source, "kind": "answer", "source": part, "data": pack(*[x[i:j] for x in sums])} for (source, _), i, j in zip(own, cuts, cuts[1:], strict=False))
-            yield from tables(answers, schema, 64)
+            yield from tables(_of_part(part, own), schema, 64)
+
+    def _of_part(part: int, own: list[tuple]) -> Iterator[dict]:
+        none = dict.fromkeys(x.name for x in schema)
+        own.sort(key=lambda r: r[0])
+        asked = [unpack(data) for _, data, _ in own]
+        words_, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        up, seen = (np.bincount(at, weights=np.concatenate([a[i] for a in asked]), minlength=len(words_)).astype(np.int64) for i in (1, 2))
+        count = len(deal.hot) + 1
+        word = np.searchsorted(words_, np.concatenate([a[4] for a in asked]))
+        hot, hot_first, hot_at = np.unique(word * count + np.concatenate([a[3] for a in asked]).astype(np.int64), return_index=True, return_inverse=True)
+        hot_word, place = hot // count, hot % count
+        hot_c = np.bincount(hot_at, weights=np.concatenate([a[5] for a in asked]), minlength=len(hot)).astype(np.int64)
+        with np.errstate(over="ignore"):
+            hot_keys = mixed(mixed(deal.hot)[place - 1] + np.uint64(1)) + words_[hot_word] if len(hot) else np.zeros(0, np.uint64)
+        hot_t = np.minimum(hot_c, 1)
+        d1, d0 = (m["next_d1"], m["next_d0"]) if m else (FIRST_DISCOUNT, FIRST_DISCOUNT)
+        if m:
+            mass = np.concatenate([a[6] for a in asked]).view("<f4").astype(np.float64)[hot_first]
+            hot_t = resample(hot_c, d1 * m["hot_x"][place] * mass, d1, hot_keys, turn, 11)
+        c = up + np.bincount(hot_word, weights=hot_t, minlength=len(words_)).astype(np.int64)
+        t = resample(c, np.full(len(c), d0 * m["x"] / (m["known"] + 1)), d0, words_, turn, 12) if m else np.minimum(c, 1)
+        g, hot_g = gamma(c - d0 * t, words_, turn, 13).astype("<f4"), gamma(hot_c - d1 * hot_t, hot_keys, turn, 14).astype("<f4")
+        cuts, hot_cuts = (np.cumsum([0, *(len(a[i]) for a in asked)]) for i in (0, 3))
+        for (source, *_), i, j, y, z in zip(own, cuts, cuts[1:], hot_cuts, hot_cuts[1:], strict=False):
+            mine, hers = at[i:j], hot_at[y:z]
+            yield none | {
+                "key": source, "kind": "answer", "source": part,
+                "data": pack(*(x.astype("<u4") for x in (c[mine], t[mine])), g[mine].view("<u4"), seen[mine].astype("<u8"), *(x[hers].astype("<u8") for x in (hot_c, hot_t)), hot_g[hers].view("<u4")),
+            }
+        sums = np.zeros(5)
+        for _, _, more in own:
+            if more is not None:
+                sums += more
+        by_word = [np.bincount(place, weights=x, minlength=count) for x in (hot_c, hot_t, hot_g, hot_c == 1, hot_c == 2)]
+        some = np.flatnonzero(by_word[0])
+        yield none | {
+            "key": part, "kind": "totals",
+            "totals": [*sums.tolist(), *(float(x) for x in ((seen > 0).sum(), c.sum(), t.sum(), (c == 1).sum(), (c == 2).sum(), g.sum(dtype=np.float64)))],
+            "hot": [[float(k), *(float(x[k]) for x in by_word)] for k in some],
+        }
 
     return run
 
 
-def _own(rows_: list[tuple]) -> tuple[Bucket, list, list]:
-    """Of a bucket's rows (kind, source, batch, data): what it holds, the answers, and the occurrences."""
-    held, answers, occurrences = {}, [], []
-    for kind, source, batch, data in rows_:
-        if kind == "answer":
-            answers.append((source, data))
-        elif kind == "occurrences":
-            occurrences.append((batch, data))
-        else:
-            held[kind] = data
-    return Bucket.load(held["state"], held["tables"]), answers, occurrences
+def _model(answered: DataFrame, deal: Dealing, turn: int, before: dict | None) -> dict:
+    """Sums over all parts: one row, and one for each divided word, of which there are 2 for each bucket at most."""
+    totals = answered.where("kind = 'totals'")
+    sums = totals.agg(*[F.coalesce(F.sum(F.element_at("totals", k + 1)), F.lit(0.0)) for k in range(11)]).first()
+    n, one, two, pair_one, pair_two, known, customers, tables_, word_one, word_two, mass = sums
+    hot = np.zeros((5, len(deal.hot) + 1))
+    for k, *own in totals.select(F.explode("hot").alias("h")).groupBy(F.element_at("h", 1)).agg(*[F.sum(F.element_at("h", i + 2)) for i in range(5)]).collect():
+        hot[:, int(k)] = own
+    d1, d0 = (before["next_d1"], before["next_d0"]) if before else (FIRST_DISCOUNT, FIRST_DISCOUNT)
+    next_d1, next_d0 = rate(pair_one + hot[3].sum(), pair_two + hot[4].sum()), rate(word_one, word_two)
+    rng = np.random.default_rng([turn, 22])
+    own = np.concatenate([[np.uint64(0)], deal.hot])
+    new, hot_new = rng.gamma(STRENGTH + d0 * tables_), gamma(STRENGTH + d1 * hot[1], own, turn, 15)
+    return {
+        "n": int(n), "known": int(known), "customers": customers, "tables": tables_, "d2": rate(one, two), "d1": d1, "d0": d0, "next_d1": next_d1, "next_d0": next_d0,
+        "new": new, "mass": mass + new, "x": rng.gamma(STRENGTH / next_d0 + tables_),
+        "hot_customers": hot[0], "hot_tables": hot[1], "hot_new": hot_new, "hot_mass": hot[2] + hot_new, "hot_x": gamma(STRENGTH / next_d1 + hot[1], own, turn, 16),
+    }
 
 
-def _sweep(sweep: int, model: dict, buckets: int, hot: np.ndarray, schema: pa.Schema):
+def _of_kind(own: list[tuple]) -> dict[str, list[tuple]]:
+    out: dict[str, list[tuple]] = {}
+    for kind, *rest in own:
+        out.setdefault(kind, []).append(tuple(rest))
+    return out
+
+
+def _sweep(deal: Dealing, m: dict, sweeps: int, turn: int, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = dict.fromkeys(x.name for x in schema)
         for (bucket,), own in groups(batches, 1):
-            state, answers, _ = _own(own)
-            _resampled(state, state.hear(answers))
-            yield from tables(state.rows(bucket, buckets, hot, sweep, model["next_d0"], none), schema, 64)
-
-    def _resampled(b: Bucket, all_tables: np.ndarray) -> None:
-        if sweep > SWEEPS + 1:
-            b.samples.append(all_tables)
-        d, d0, each = model["d"], model["next_d0"], 1 / (model["known"] + 1)
-        frequent = _is_hot(b.words, hot)
-        mass = gamma(b.word_customers(b.table) - model["d0"] * b.word_table, b.words, sweep - 1, 1)
-        p = (np.where(frequent > 0, model["hot_mass"][frequent], mass) + model["new_mass"] * each) / model["mass"]
-        x = gamma(STRENGTH / d + all_tables, b.contexts, sweep, 2)
-        keys = mixed(b.words)[b.pair_word] + b.contexts[b.pair_context]
-        b.table = resample(b.n.astype(np.int64), d * x[b.pair_context] * p[b.pair_word], d, keys, sweep, 3).astype("<u4")
-        c = np.where(frequent > 0, 0, b.word_customers(b.table))
-        b.word_table = resample(c, np.full(len(c), d0 * model["x"] * each), d0, b.words, sweep, 4).astype("<u4")
-        if sweep > SWEEPS:
-            b.samples += [b.table, b.word_table]
+            yield from tables(_of_bucket(bucket, _of_kind(own)), schema, 16)
+
+    def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> Iterator[dict]:
+        none = dict.fromkeys(x.name for x in schema)
+        state = Bucket.load(own["state"][0][2], deal)
+        for _, _, data in own.get("tables", []):
+            state.set_tables(data)
+        state.hear([(source, data) for source, _, data in own["answer"]], m)
+        state.sweep(m, sweeps, turn)
+        yield none | {"key": bucket, "kind": "tables", "source": turn, "data": state.tables()}
+        yield from state.asks(none, bucket, False)
 
     return run
 
 
-def _score(models: list[dict], hot: np.ndarray, schema: pa.Schema):
-    """models: of the samples."""
+def _score(deal: Dealing, models: list[dict], schema: pa.Schema):
+    """Rows of kind tables and answer are of the samples, those of the second in kinds of their own. To each slice: its entries' log10 and counts."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from tables(_summed(batches), schema, 64)
-
-    def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        """Sums of each batch's documents over the buckets that this task reads."""
-        sums: dict[str, np.ndarray] = {}
-        held = 0
-        for _, rows_ in groups(batches, 1):
-            state, answers, occurrences = _own(rows_)
-            values = _of_pairs(state, state.hear(answers))
-            for name, packed in occurrences:
-                doc, pair = unpack(packed)
-                own = np.stack([np.bincount(doc, weights=x[pair]) for x in values])
-                before = sums.get(name)
-                if before is not None and before.shape[1] >= own.shape[1]:
-                    before[:, : own.shape[1]] += own
-                    continue
-                if before is not None:
-                    own[:, : before.shape[1]] += before
-                    held -= before.nbytes
-                sums[name] = own
-                held += own.nbytes
-                if held > GATHERED:
-                    yield from map(_row, sums.items())
-                    sums, held = {}, 0
-        yield from map(_row, sums.items())
-
-    def _row(item: tuple[str, np.ndarray]) -> dict:
-        base, score_, known = (x.tobytes() for x in item[1])
-        return {"batch": item[0], "ids": None, "held": None, "lengths": None, "base": base, "score": score_, "known": known}
-
-    def _of_pairs(b: Bucket, last_tables: np.ndarray) -> list[np.ndarray]:
-        """Base, score and whether the word is known, of each pair."""
-        frequent = _is_hot(b.words, hot)
-        total = lambda own, everywhere: np.where(frequent > 0, everywhere[frequent], own)
-        samples = [*b.samples, last_tables]
-        p = np.zeros(len(b.n))
-        for m, table, word_table, all_tables in zip(models, samples[::3], samples[1::3], samples[2::3], strict=True):
-            d, d0 = m["d"], m["d0"]
-            new = (STRENGTH + d0 * m["tables"]) / (m["known"] + 1)
-            word = (total(b.word_customers(table), m["hot_customers"]) - d0 * total(word_table, m["hot_tables"]) + new) / (STRENGTH + m["customers"])
-            p += (b.n - d * table + (STRENGTH + d * all_tables[b.pair_context]) * word[b.pair_word]) / (STRENGTH + b.customers[b.pair_context])
-        m = models[0]
-        seen = total(b.seen, m["hot_seen"])
-        base = np.log10((seen + 0.5) / (m["n"] + 0.5 * (m["known"] + 1)))
-        return [base[b.pair_word], np.log10(p / SAMPLES), (seen > 0)[b.pair_word].astype(np.float64)]
+        for (bucket,), own in groups(batches, 1):
+            yield from tables(_of_bucket(bucket, _of_kind(own)), schema, 16)
+
+    def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> Iterator[dict]:
+        none = dict.fromkeys(x.name for x in schema)
+        state = Bucket.load(own["state"][0][2], deal)
+        p = 0
+        for k, m in enumerate(models):
+            state.set_tables(own[f"tables{k}"][0][2])
+            state.hear([(source, data) for source, _, data in own[f"answer{k}"]], m)
+            p = p + state.probabilities(m) / len(models)
+        fine = np.rint(-np.log10(np.minimum(p, 1.0)) * FINE).astype(np.int64)
+        seen = state.seen[state.ask[state.pair]]
+        for _, name, data in own["index"]:
+            at = total(unpack(data)[0])
+            yield none | {"slice": name, "source": bucket, "data": pack(small(fine[at]), small(seen[at]))}
 
     return run
 
 
-def _gather(schema: pa.Schema):
+def _gather(m: dict, schema: pa.Schema):
+    """A slice's documents, from its own row and the answers of its buckets."""
+
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from tables((row for _, own in groups(batches, 1) for row in _of_batch(own)), schema)
-
-    def _of_batch(own: list[tuple]) -> Iterator[dict]:
-        ids, held, lengths = next(r[:3] for r in own if r[0] is not None)
-        sums = np.zeros((3, len(ids)))
-        for r in own:
-            if r[0] is None:
-                for k in range(3):
-                    x = np.frombuffer(r[3 + k])
-                    sums[k, : len(x)] += x
-        held = np.unpackbits(np.frombuffer(held, np.uint8)).astype(bool)
-        for k, (doc, n) in enumerate(zip(ids, np.frombuffer(lengths, np.int64).tolist(), strict=True)):
-            yield {"doc_id": doc, "held_out": bool(held[k]), "n_tokens": n, "n_known": int(sums[2, k]), "base_score": float(sums[0, k]), "score": float(sums[1, k])}
+        for _, own in groups(batches, 1):
+            yield _of_slice(own)
+
+    def _of_slice(own: list[tuple]) -> pa.RecordBatch:
+        ids, held, data = next(r[1:] for r in own if r[1] is not None)
+        answers = {r[0]: r[3] for r in own if r[1] is None}
+        lengths, doc, counts, buckets, sizes = unpack(data)
+        found = [unpack(answers[b]) for b in buckets.tolist()]
+        assert [len(f[0]) for f in found] == sizes.tolist()
+        fine, seen = (np.concatenate([f[i] for f in found]).astype(np.int64) for i in (0, 1))
+        of_docs = lambda x: np.bincount(doc, weights=np.repeat(x, counts), minlength=len(ids))
+        base = np.log10((seen + 0.5) / (m["n"] + 0.5 * (m["known"] + 1)))
+        held = np.unpackbits(np.frombuffer(held, np.uint8))[: len(ids)].astype(bool)
+        columns = [pa.array(ids, schema.field(0).type), pa.array(held), pa.array(lengths.astype(np.int64)), pa.array(of_docs(seen > 0).astype(np.int64)), pa.array(of_docs(base)), pa.array(0.0 - of_docs(fine) / FINE)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
@@ -474,75 +637,59 @@ def _arrow(schema: str, spark: SparkSession) -> pa.Schema:
     return to_arrow_schema(spark.createDataFrame([], schema).schema)
 
 
-def _model(kept: DataFrame, sweep: int, hot: np.ndarray, before: dict | None) -> dict:
-    """The parent's totals over all buckets: a row of sums and at most MOST_HOT words reach the driver, whatever the input's size."""
-    totals = kept.where("kind = 'totals'")
-    n, known, one, two, word_one, word_two, customers, tables_, mass = totals.agg(*[F.coalesce(F.sum(F.element_at("totals", k + 1)), F.lit(0.0)) for k in range(9)]).first()
-    of_hot = totals.select(F.explode(F.arrays_zip("hot_word", "hot_seen", "hot_customers")).alias("x")).select("x.*")
-    found = of_hot.groupBy("hot_word").agg(F.sum("hot_seen"), F.sum("hot_customers")).collect()
-    seen, c = np.zeros(len(hot), dtype=np.int64), np.zeros(len(hot), dtype=np.int64)
-    for word, s, k in found:
-        seen[word], c[word] = s, k
-    known = int(known + (seen > 0).sum())
-    if before is None:
-        d, d0, own = rate(one, two), FIRST_DISCOUNT, np.minimum(c, 1)
-    else:
-        d, d0 = before["d"], before["next_d0"]
-        z = np.full(len(hot), d0 * before["x"] / (known + 1))
-        alone = lambda at: np.array([seat(c[k : k + 1], z[k : k + 1], np.zeros(1), d0, np.random.default_rng([sweep, int(hot[k])]))[0] for k in at])
-        own = resample(c, z, d0, hot, sweep, 4, large=alone)
-    tables_ += own.sum()
-    hot_mass = gamma(c - d0 * own, hot, sweep, 1)
-    rng = np.random.default_rng([sweep, 22])
-    next_d0, new_mass = rate(word_one + (c == 1).sum(), word_two + (c == 2).sum()), rng.gamma(STRENGTH + d0 * tables_)
-    first = lambda x: np.r_[0, x]  # noqa: E731  place 0: not frequent
-    return {
-        "n": int(n), "known": known, "d": d, "d0": d0, "next_d0": next_d0, "x": rng.gamma(STRENGTH / next_d0 + tables_), "customers": customers + c.sum(), "tables": tables_,
-        "mass": mass + hot_mass.sum() + new_mass, "new_mass": new_mass, "hot_mass": first(hot_mass), "hot_seen": first(seen), "hot_customers": first(c), "hot_tables": first(own),
-    }
-
-
-def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "text", bucket_tokens: int | None = None) -> DataFrame:
     """held_out: a boolean column; rows where it is false are learned from.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; base_score is that of single words
-    with half a count added to each.
+    with half a count added to each. bucket_tokens: what one task holds at a time, BUCKET_TOKENS unless given.
     """
     spark = importable(docs.sparkSession)
+    bucket_tokens = bucket_tokens or BUCKET_TOKENS
     id_type = dict(docs.dtypes)[doc_id]
     ids = f"ids array<{id_type}>"
-    sent, kept_, part, out = _SENT.format(ids=ids), _KEPT.format(ids=ids), _PART.format(ids=ids), _OUT.format(id_type=id_type)
-    sent_arrow, arrow = _arrow(sent, spark), _arrow(kept_, spark)
-    buckets = BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
-    hot = _hot_words(read)
+    sent, kept, part, out = _SENT.format(ids=ids), _KEPT.format(ids=ids), _PART.format(ids=ids), _OUT.format(id_type=id_type)
+    arrow = _arrow(kept, spark)
     scratch = Scratch(spark, "lm")
-    entries = read.mapInArrow(_send(buckets, hot, sent_arrow), sent)
-    first = now = scratch.save(entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_train(buckets, hot, arrow), kept_))
-    models = [_model(first, 0, hot, None)]
     free = spark.sparkContext._jvm.System.gc  # so that the shuffles of what is over go
-    free()
-
-    def with_answers(*kinds: DataFrame) -> DataFrame:
-        """Rows of each bucket together: what it holds, and the contexts' totals."""
-        asked = now.where("kind = 'ask'").select("key", "source", "data").repartition("key").sortWithinPartitions("key").mapInArrow(_answer(arrow), kept_)
-        own = ["key", "kind", "source", "batch", "data"]
-        rows_ = first.where("kind = 'state'").select(own).unionByName(now.where("kind = 'tables'").select(own)).unionByName(asked.select(own))
-        for more in kinds:
-            rows_ = rows_.unionByName(more.select(own))
-        return rows_.repartition("key").sortWithinPartitions("key")
-
-    for sweep in range(1, SWEEPS + SAMPLES + 1):
-        swept = scratch.save(with_answers().mapInArrow(_sweep(sweep, models[-1], buckets, hot, arrow), kept_))
-        if now is not first:
-            scratch.drop(now)
-        now = swept
-        models.append(_model(now, sweep, hot, models[-1]))
+
+    def save(df: DataFrame) -> DataFrame:
+        saved = scratch.save(df, "none")
         free()
-    parts = with_answers(first.where("kind = 'occurrences'")).mapInArrow(_score(models[-SAMPLES:], hot, _arrow(part, spark)), part)
-    heads = first.where("kind = 'documents'").select("batch", "ids", "held", "lengths", *[F.lit(None).cast("binary").alias(c) for c in ("base", "score", "known")])
-    gathered = heads.unionByName(parts).repartition("batch").sortWithinPartitions("batch").mapInArrow(_gather(_arrow(out, spark)), out)
-    return gathered.withColumn("train_tokens", F.lit(models[0]["n"]).cast("long")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        return saved
+
+    def by(df: DataFrame, key: str) -> DataFrame:
+        return df.repartition(key).sortWithinPartitions(key)
+
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
+    counted = save(vocabulary(read))
+    tokens, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    often = {r.word % 2**64: r.n for r in counted.where(F.col("n") > bucket_tokens // 2).collect()}
+    scratch.drop(counted)
+    deal = Dealing(tokens, distinct, often, bucket_tokens)
+    first = save(by(read.mapInArrow(_send(deal, _arrow(sent, spark)), sent), "key").mapInArrow(_train(deal, arrow), kept))
+
+    def answered(of: DataFrame, m: dict | None, turn: int) -> tuple[DataFrame, dict]:
+        asked = by(of.where("kind = 'ask'").select("key", "source", "data", "totals"), "key")
+        saved = save(asked.mapInArrow(_answer(deal, m, turn, arrow), kept))
+        return saved, _model(saved, deal, turn, m)
+
+    columns = ["key", "kind", "source", "slice", "data"]
+    of = lambda df, kind, name=None: df.where(F.col("kind") == kind).withColumn("kind", F.lit(name or kind)).select(columns)
+    state = of(first, "state")
+    answers, m0 = answered(first, None, 0)
+    one = save(by(state.unionByName(of(answers, "answer")), "key").mapInArrow(_sweep(deal, m0, BURN, 1, arrow), kept))
+    scratch.drop(answers)
+    answers_one, m1 = answered(one, m0, 1)
+    two = save(by(state.unionByName(of(one, "tables")).unionByName(of(answers_one, "answer")), "key").mapInArrow(_sweep(deal, m1, BETWEEN, 2, arrow), kept))
+    answers_two, m2 = answered(two, m1, 2)
+    samples = [of(one, "tables", "tables0"), of(answers_one, "answer", "answer0"), of(two, "tables", "tables1"), of(answers_two, "answer", "answer1")]
+    together = functools.reduce(DataFrame.unionByName, [state, of(first, "index"), *samples])
+    told = save(by(together, "key").mapInArrow(_score(deal, [m1, m2], _arrow(part, spark)), part))
+    own = first.where("kind = 'slice'").select("slice", F.lit(-1).alias("source"), "ids", "held", "data")
+    own = save(own)
+    scratch.drop(first, one, two, answers_one, answers_two)
+    gathered = by(own.unionByName(told), "slice").mapInArrow(_gather(m2, _arrow(out, spark)), out)
+    return gathered.withColumn("train_tokens", F.lit(m0["n"]).cast("long")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
