@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,15 +28,19 @@ def importable(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _OWN_CHECKPOINTS).rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode, where all is one machine, one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (named or _OWN_CHECKPOINTS).rstrip("/")
 
 
 class Scratch:
     """Intermediate tables of one operator call, as Parquet in the shared folder.
 
     A table written and read again cuts the lineage, is computed once, and outlives any executor. What `drop` has not
-    removed goes when the application ends: results are lazy, so a table may still be read after the call returns.
+    removed goes when the application ends, or earlier at the end of a `scratch_scope`: results are lazy, so a table may
+    still be read after the call returns.
     """
 
     _kept: list[Scratch] = []
@@ -43,6 +49,7 @@ class Scratch:
         self.spark = spark
         self.base = f"{shared_folder(spark)}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        self._names: list[str] = []
         Scratch._kept.append(self)
 
     def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
@@ -53,10 +60,32 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def save_dealt(self, df: DataFrame, key: str, buckets: int, compression: str = "snappy") -> DataFrame:
+        """A table dealt by `key` for good: grouping it by that key, alone or with another table, moves none of its rows."""
+        self._n += 1
+        path, name = f"{self.base}/{self._n}", f"tidemark_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", compression).format("parquet").saveAsTable(name)
+        self._names.append(name)
+        out = self.spark.table(name)
+        out._scratch_path, out._scratch_name = path, name
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
+            if name := getattr(t, "_scratch_name", None):
+                self._forget(name)
             self._delete(t._scratch_path)
 
+    def _forget(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._names.remove(name)
+
+    def close(self) -> None:
+        """Remove all that is left."""
+        for name in list(self._names):
+            self._forget(name)
+        self._delete(self.base)
+
     def _delete(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -68,9 +97,22 @@ class Scratch:
         while cls._kept:
             one = cls._kept.pop()
             try:
-                one._delete(one.base)
+                one.close()
             except Exception:  # noqa: BLE001  the JVM may be gone already; the folder is the cluster's scratch space
                 return
 
 
 atexit.register(Scratch.clear)
+
+
+@contextlib.contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Scratch tables of calls made inside go when it ends. For callers that have written or collected the results by then."""
+    before = set(map(id, Scratch._kept))
+    try:
+        yield
+    finally:
+        own = [s for s in Scratch._kept if id(s) not in before]
+        Scratch._kept[:] = [s for s in Scratch._kept if id(s) in before]
+        for s in own:
+            s.close()
