@@ -389,7 +389,7 @@ def test_lm_divided_words_and_many_parts(spark, chains, monkeypatch):
     docs = [(d, " ".join(x for w in t.split() for x in ([w, "the"] if int(w[1:]) % 2 else [w]))) for d, t in chains]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     whole = {r.doc_id: r for r in scored(spark, df).collect()}
-    monkeypatch.setattr(lm, "PART_WORDS", 30)
+    monkeypatch.setattr(lm, "PART_BUCKETS", 1)
     parts = {r.doc_id: r for r in lm.score(df, F.crc32(F.col("doc_id").cast("string")) % 5 == 1, bucket_tokens=500).collect()}
     tokens = sum(r.n_tokens for r in whole.values())
     assert all(parts[d].base_score == pytest.approx(r.base_score) and parts[d].n_known == r.n_known for d, r in whole.items())

@@ -10,8 +10,8 @@ is the restaurant of single words; the parent of that is uniform over the V trai
 
 with customers c and tables t. Only c_uvw is counted in the texts; all tables are sampled.
 
-1. Words are counted exactly (`vocabulary`). The number of buckets follows from the number of tokens, never from the
-   session's settings.
+1. Tokens are counted, and words that are frequent in a slice of the texts. The number of buckets follows from the number
+   of tokens, never from the session's settings.
 2. Texts are tokenized in slices. A slice sends the distinct (u, v, w) it holds to the bucket of v, so a restaurant v and
    all its children are in one bucket. A word v of more than half a bucket is dealt by u as well: then its children
    stay whole, and v's own restaurant is kept where single words are (3). Which document holds what stays with the slice.
@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import groups, mixed, slices, tables, word_hashes, words
-from tidemark.llm.workers import tidy
+from tidemark.llm.workers import tidy, trim
 from tidemark.session import Scratch, importable
 
 #: Sweeps before the first sample, and between it and the second.
@@ -59,8 +59,12 @@ BURN, BETWEEN = 3, 2
 STRENGTH = 1.0
 END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
-#: Tokens of a bucket, about; words of a part; bytes of text of a slice. A task has one of them in memory at a time.
-BUCKET_TOKENS, PART_WORDS, SLICE_BYTES = 2_000_000, 400_000, 16 << 20
+#: Tokens of a bucket, about; buckets whose words make a part; bytes of text of a slice. A task has one in memory at a time.
+BUCKET_TOKENS, PART_BUCKETS, SLICE_BYTES = 2_000_000, 4, 16 << 20
+#: A slice counts words that it holds this often, so a word's count is short by less for each slice.
+FREQUENT = 8
+#: Frequent words that have a number of their own everywhere, so that their hashes need not be sent. Others have one in each table.
+NUMBERED = 1 << 18
 #: Customers of an entry up to which its tables are drawn from Stirling numbers by recursion.
 EXACT = 1000
 #: Discounts before the first round has counted.
@@ -194,6 +198,21 @@ def total(x: np.ndarray) -> np.ndarray:
     return np.cumsum(x, dtype=np.int64)
 
 
+def steps_within(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers that rise within each run as their differences; a run's first number stays."""
+    out = np.diff(x, prepend=x[:1] * 0)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    out[first] = x[first]
+    return small(out)
+
+
+def within(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The inverse of steps_within."""
+    out = total(x)
+    start = np.cumsum(sizes) - sizes
+    return out - np.repeat(np.r_[0, out][start], sizes)
+
+
 def _tokens(texts: list[str | None]) -> list[np.ndarray]:
     ends = np.array([END], dtype=np.uint64)
     return [np.concatenate([word_hashes(words(t)), ends]) for t in texts]
@@ -201,13 +220,10 @@ def _tokens(texts: list[str | None]) -> list[np.ndarray]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 0, size=SLICE_BYTES):
-        word, n = np.unique(np.concatenate(_tokens(batch.column(0).to_pylist())), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
-
-
-def vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
-    """word (64-bit hash), n: how often each word of the texts occurs."""
-    return docs.select(F.col(text).alias("text")).mapInArrow(tidy(_counted), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        own = np.concatenate(_tokens(batch.column(0).to_pylist()))
+        word, n = np.unique(own, return_counts=True)
+        word, n = word[n >= FREQUENT], n[n >= FREQUENT]
+        yield pa.RecordBatch.from_arrays([pa.array([None, *word.view(np.int64).tolist()], pa.int64()), pa.array([len(own), *n.tolist()], pa.int64())], ["word", "n"])
 
 
 def _share(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -216,14 +232,24 @@ def _share(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 class Dealing:
-    """Buckets, parts, and words that are divided: `hot`, sorted, with the number of pieces of each."""
+    """Buckets, parts, words that are numbered (`top`, at most NUMBERED), and words that are divided (`hot`, sorted, with the number of pieces of each)."""
 
-    def __init__(self, tokens: int, distinct: int, often: dict[int, int], bucket_tokens: int):
+    def __init__(self, tokens: int, top: np.ndarray, often: dict[int, int], bucket_tokens: int):
+        self.top, self.top_order = top, np.argsort(top)
         self.buckets = max(1, -(-tokens // bucket_tokens))
-        self.parts = max(1, -(-distinct // PART_WORDS))
+        self.parts = -(-self.buckets // PART_BUCKETS)
         self.hot = np.array(sorted(often), dtype=np.uint64)
         self.pieces = np.array([0, *(-(-2 * often[w] // bucket_tokens) for w in sorted(often))], dtype=np.uint64)
 
+    def numbers(self, word: np.ndarray) -> np.ndarray:
+        """Of sorted hashes: the number of numbered words, and the numbers after those, in order, of others."""
+        ordered = self.top[self.top_order]
+        at = np.minimum(np.searchsorted(ordered, word), len(ordered) - 1) if len(ordered) else np.zeros(len(word), dtype=np.int64)
+        known = ordered[at] == word if len(ordered) else np.zeros(len(word), dtype=bool)
+        out = len(self.top) + np.cumsum(~known) - 1
+        out[known] = self.top_order[at[known]]
+        return out
+
     def place(self, word: np.ndarray) -> np.ndarray:
         """The place among the divided words, from 1; 0 for others."""
         if not len(self.hot):
@@ -259,6 +285,13 @@ def _send(deal: Dealing, schema: pa.Schema):
         own.append(np.array([START], dtype=np.uint64))
         words_, w = np.unique(np.concatenate(own), return_inverse=True)
         del own
+        # Words by their numbers from here on.
+        number = deal.numbers(words_)
+        order = np.argsort(number)
+        words_, number = words_[order], number[order]
+        at = np.empty(len(order), dtype=np.int32)
+        at[order] = np.arange(len(order), dtype=np.int32)
+        w = at[w]
         start, w = w[-1], w[:-1]
         first = np.cumsum(lengths) - lengths
         v = np.r_[start, w[:-1]]
@@ -268,27 +301,38 @@ def _send(deal: Dealing, schema: pa.Schema):
         bucket = deal.bucket(words_, v, u)
         bits = len(words_).bit_length()
         if 3 * bits + deal.buckets.bit_length() < 64:
-            order = np.argsort((((bucket << bits) + v << bits) + u << bits) + w)
+            bucket <<= bits
+            for x in (v, u):
+                bucket += x
+                bucket <<= bits
+            bucket += w
+            order = np.argsort(bucket)
+            key = bucket[order]
+            del bucket, v, u, w
+            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            key, size, mask = key[at], len(key), (1 << bits) - 1
+            bucket, v, u, w = key >> 3 * bits, key >> 2 * bits & mask, key >> bits & mask, key & mask
         else:
             order = np.lexsort((w, u, v, bucket))
+            bucket, v, u, w = (x[order] for x in (bucket, v, u, w))
+            at = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (bucket[1:] != bucket[:-1])])
+            size = len(w)
+            bucket, v, u, w = (x[at] for x in (bucket, v, u, w))
         doc = np.repeat(np.arange(len(ids), dtype=np.uint16), lengths)[order]
-        bucket, v, u, w = bucket[order], v[order], u[order], w[order]
         del order
-        new = np.r_[True, (w[1:] != w[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (bucket[1:] != bucket[:-1])]
-        at = np.flatnonzero(new)
-        counts = np.diff(np.r_[at, len(w)])
+        counts = np.diff(np.r_[at, size])
         n = np.add.reduceat((~held)[doc].astype(np.int64), at)
-        bucket, v, u, w = bucket[at], v[at], u[at], w[at]
         buckets, cuts = np.unique(bucket, return_index=True)
         cuts = np.r_[cuts, len(bucket)]
         yield none | {"key": xxhash.xxh32_intdigest(name) % deal.buckets, "slice": name, "ids": ids, "held": np.packbits(held).tobytes(), "data": pack(small(lengths), doc, small(counts), small(buckets), small(np.diff(cuts)))}
-        used = np.zeros(len(words_), dtype=bool)
+        top = int(np.searchsorted(number, len(deal.top)))
+        others, used = words_[top:], np.zeros(len(words_) - top, dtype=bool)
         for b, i, j in zip(buckets.tolist(), cuts, cuts[1:], strict=False):
             used[:] = False
-            for x in (v, u, w):
-                used[x[i:j]] = True
-            local = np.cumsum(used) - 1
-            yield none | {"key": b, "slice": name, "data": pack(words_[used], steps(local[v[i:j]]), small(local[u[i:j]]), small(local[w[i:j]]), small(n[i:j]))}
+            for x in (v[i:j], u[i:j], w[i:j]):
+                used[x[x >= top] - top] = True
+            local = np.concatenate([number[:top], len(deal.top) - 1 + np.cumsum(used)])
+            yield none | {"key": b, "slice": name, "data": pack(steps(others[used]), steps(local[v[i:j]]), small(local[u[i:j]]), small(local[w[i:j]]), small(n[i:j]))}
 
     return run
 
@@ -296,46 +340,61 @@ def _send(deal: Dealing, schema: pa.Schema):
 class Bucket:
     """A bucket's entries (u, v, w), sorted by v, u and w, with what is derived from them.
 
-    words: sorted hashes. n, t: customers and tables of entries. context: an entry's (v, u). pair: an entry's (v, w), with
+    words: hashes, of numbered words and then of others. n, t: customers and tables of entries. context: an entry's (v, u). pair: an entry's (v, w), with
     pair_t its tables. asked: places of the words that follow anything. divided: pairs whose v is divided.
     """
 
-    def __init__(self, words_: np.ndarray, v: np.ndarray, u: np.ndarray, sizes: np.ndarray, w: np.ndarray, n: np.ndarray, deal: Dealing):
-        """v, u, sizes: of contexts; w, n: of entries."""
-        self.words, self.context_v, self.context_u, self.sizes, self.w, self.n, self.deal = words_, v, u, sizes, w, n, deal
-        self.context = np.repeat(np.arange(len(v)), sizes)
-        k = len(words_)
-        pairs, self.pair = np.unique(v[self.context] * k + w, return_inverse=True)
-        self.pair_v, self.pair_w = pairs // k, pairs % k
-        seen = np.zeros(k, dtype=bool)
-        seen[self.pair_w] = True
-        self.asked = np.flatnonzero(seen)
-        self.ask = (np.cumsum(seen) - 1)[self.pair_w]  # of each pair
+    def __init__(self, words_: np.ndarray, v: np.ndarray, contexts: np.ndarray, u: np.ndarray, pairs: np.ndarray, w: np.ndarray, sizes: np.ndarray, pair: np.ndarray, n: np.ndarray, deal: Dealing):
+        """v: places of the words that are followed. contexts, pairs: how many of each v. u, sizes: of contexts; w: of pairs; pair (its number within its v's), n: of entries."""
+        self.words, self.deal, self.sizes, self.n = words_, deal, sizes, n
+        self.by_v = v, contexts, u, pairs, w
+        self.context_v, self.pair_v, self.pair_w = np.repeat(v, contexts), np.repeat(v, pairs), w
+        self.context = np.repeat(np.arange(len(u)), sizes)
+        self.pair = pair + np.repeat(np.repeat(np.cumsum(pairs) - pairs, contexts), sizes)
+        seen = np.zeros(len(words_), dtype=bool)
+        seen[w] = True
+        asked = np.flatnonzero(seen)
+        self.asked = asked[np.argsort(words_[asked])]
+        ask = np.empty(len(words_), dtype=np.int64)
+        ask[self.asked] = np.arange(len(asked))
+        self.ask = ask[w]  # of each pair
         place = deal.place(words_)[self.pair_v]
         divided = np.flatnonzero(place)
-        self.divided = divided[np.lexsort((place[divided], self.pair_w[divided]))]
+        self.divided = divided[np.lexsort((place[divided], words_[w[divided]]))]
         self.place = place[self.divided]
         self.local = place == 0
         with np.errstate(over="ignore"):
             own = mixed(words_)
             self.v_keys = own
-            self.pair_keys = mixed(own[self.pair_v] + np.uint64(1)) + words_[self.pair_w]
-            self.context_keys = mixed(own[v] + np.uint64(2)) + words_[u]
+            self.pair_keys = mixed(own[self.pair_v] + np.uint64(1)) + words_[w]
+            self.context_keys = mixed(own[self.context_v] + np.uint64(2)) + words_[u]
         self.t = np.minimum(n, 1)
-        self.pair_t = self.seat_first()
+        self.pair_t = np.where(self.local, np.minimum(self.sum_pairs(self.t), 1), 0)
 
-    @property
-    def entry_keys(self) -> np.ndarray:
+    def entry_keys(self, at: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mixed(self.context_keys[self.context]) + self.words[self.w]
+            return mixed(self.context_keys[self.context[at]]) + self.words[self.pair_w[self.pair[at]]]
+
+    @classmethod
+    def of_entries(cls, words_: np.ndarray, context_v: np.ndarray, u: np.ndarray, sizes: np.ndarray, w: np.ndarray, n: np.ndarray, deal: Dealing) -> Bucket:
+        """context_v, u, sizes: of contexts in order; w, n: of entries."""
+        k = len(words_)
+        numbered, pair = np.unique(np.repeat(context_v, sizes) * k + w, return_inverse=True)
+        v, contexts = np.unique(context_v, return_counts=True)
+        pairs = np.bincount(np.searchsorted(v, numbered // k), minlength=len(v))
+        pair -= np.repeat(np.repeat(np.cumsum(pairs) - pairs, contexts), sizes)
+        return cls(words_, v, contexts, u, pairs, numbered % k, sizes, pair, n, deal)
 
     @classmethod
     def load(cls, data: bytes, deal: Dealing) -> Bucket:
-        words_, v, u, sizes, w, n = unpack(data)
-        return cls(words_, total(v), u.astype(np.int64), sizes.astype(np.int64), w.astype(np.int64), n.astype(np.int64), deal)
+        words_, v, contexts, u, pairs, w, sizes, pair, n = unpack(data)
+        contexts, pairs = contexts.astype(np.int64), pairs.astype(np.int64)
+        return cls(np.concatenate([deal.top, np.cumsum(words_, dtype=np.uint64)]), total(v), contexts, within(u, contexts), pairs, within(w, pairs), sizes.astype(np.int64), pair.astype(np.int64), n.astype(np.int64), deal)
 
     def saved(self) -> bytes:
-        return pack(self.words, steps(self.context_v), small(self.context_u), small(self.sizes), small(self.w), small(self.n))
+        v, contexts, u, pairs, w = self.by_v
+        number = self.pair - np.repeat(np.repeat(np.cumsum(pairs) - pairs, contexts), self.sizes)
+        return pack(steps(self.words[len(self.deal.top) :]), steps(v), small(contexts), steps_within(u, contexts), small(pairs), steps_within(w, pairs), small(self.sizes), small(number), small(self.n))
 
     def sum_pairs(self, x: np.ndarray) -> np.ndarray:
         return np.bincount(self.pair, weights=x, minlength=len(self.pair_v)).astype(np.int64)
@@ -343,9 +402,6 @@ class Bucket:
     def sum_v(self, x: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
         return np.bincount(self.pair_v[at], weights=x, minlength=len(self.words)).astype(np.float64)
 
-    def seat_first(self) -> np.ndarray:
-        return np.where(self.local, np.minimum(self.sum_pairs(self.t), 1), 0)
-
     def tables(self) -> bytes:
         return pack(small(self.t), small(self.pair_t))
 
@@ -373,7 +429,7 @@ class Bucket:
         needed[self.pair[many]] = True
         rest, needed = np.flatnonzero(self.local & ~needed), np.flatnonzero(self.local & needed)
         parents = np.unique(self.pair_v[needed])
-        keys = self.entry_keys[many]
+        keys = self.entry_keys(many)
         for k in range(sweeps):
             c = self._seat_pairs(d1, turn, k)
             shape = c - d1 * self.pair_t
@@ -430,7 +486,7 @@ class Bucket:
             if j > i:
                 yield none | {
                     "key": part, "kind": "ask", "source": bucket, "totals": sums,
-                    "data": pack(own[i:j], small(up[i:j]), small(seen[i:j]), small(self.place[a:z]), hot[a:z], small(c[self.divided[a:z]]), mass[a:z].view("<u4")),
+                    "data": pack(steps(own[i:j]), small(up[i:j]), small(seen[i:j]), small(self.place[a:z]), hot[a:z], small(c[self.divided[a:z]]), mass[a:z].view("<u4")),
                 }
                 sums = None
 
@@ -450,14 +506,16 @@ def _train(deal: Dealing, schema: pa.Schema):
                 yield none | {"key": bucket, "kind": "slice", "slice": name, "ids": ids, "held": held, "data": data}
             else:
                 names.append(name)
-                parts.append(unpack(data))
+                words_, *rest = unpack(data)
+                parts.append((np.cumsum(words_, dtype=np.uint64), *rest))
         if not parts:
             return
-        words_ = np.unique(np.concatenate([p[0] for p in parts]))
+        others = np.unique(np.concatenate([p[0] for p in parts]))
+        words_, top = np.concatenate([deal.top, others]), len(deal.top)
         k, sent = len(words_), [len(p[1]) for p in parts]
         context, w, n = [], [], []
         for own_words, v, u, w_, n_ in parts:
-            at = np.searchsorted(words_, own_words)
+            at = np.concatenate([np.arange(top), top + np.searchsorted(others, own_words)])
             context.append(at[total(v)] * k + at[u])
             w.append(at[w_])
             n.append(n_.astype(np.int64))
@@ -478,7 +536,7 @@ def _train(deal: Dealing, schema: pa.Schema):
         sizes, context = np.diff(np.r_[first, len(context)]), context[first]
         if contexts is not None:
             context = contexts[context]
-        state = Bucket(words_, context // k, context % k, sizes, w, n, deal)
+        state = Bucket.of_entries(words_, context // k, context % k, sizes, w, n, deal)
         yield none | {"key": bucket, "kind": "state", "data": state.saved()}
         yield from state.asks(none, bucket, True)
 
@@ -490,13 +548,19 @@ def _answer(deal: Dealing, m: dict | None, turn: int, schema: pa.Schema):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (part,), own in groups(batches, 1):
-            yield from tables(_of_part(part, own), schema, 64)
+        none = dict.fromkeys(x.name for x in schema)
+        for (key,), own in groups(batches, 1):
+            asks = [r[1:] for r in own if r[0] == "ask"]
+            yield from tables((none | {"key": key, "kind": kind, "source": source, "data": data} for kind, source, data, _ in own if kind != "ask"), schema, 16)
+            if asks:
+                yield from tables(_of_part(key, asks), schema, 64)
 
     def _of_part(part: int, own: list[tuple]) -> Iterator[dict]:
         none = dict.fromkeys(x.name for x in schema)
         own.sort(key=lambda r: r[0])
         asked = [unpack(data) for _, data, _ in own]
+        for a in asked:
+            a[0] = np.cumsum(a[0], dtype=np.uint64)
         words_, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
         up, seen = (np.bincount(at, weights=np.concatenate([a[i] for a in asked]), minlength=len(words_)).astype(np.int64) for i in (1, 2))
         count = len(deal.hot) + 1
@@ -556,41 +620,46 @@ def _model(answered: DataFrame, deal: Dealing, turn: int, before: dict | None) -
     }
 
 
-def _of_kind(own: list[tuple]) -> dict[str, list[tuple]]:
+def _of_kind(rows_: pa.Table) -> dict[str, list[tuple]]:
+    """Rows (source, slice, data) of each kind."""
     out: dict[str, list[tuple]] = {}
-    for kind, *rest in own:
+    for kind, *rest in zip(*(rows_.column(c).to_pylist() for c in ("kind", "source", "slice", "data")), strict=True):
         out.setdefault(kind, []).append(tuple(rest))
     return out
 
 
 def _sweep(deal: Dealing, m: dict, sweeps: int, turn: int, schema: pa.Schema):
-    @tidy
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket,), own in groups(batches, 1):
-            yield from tables(_of_bucket(bucket, _of_kind(own)), schema, 16)
+    """Of a bucket: its state, and the tables and answers of the last round. Gives its tables and what it asks next."""
 
-    def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> Iterator[dict]:
+    def run(key: tuple, own: pa.Table, more: pa.Table) -> pa.Table:
+        out = pa.Table.from_pylist(_of_bucket(key[0].as_py(), _of_kind(own) | _of_kind(more)), schema)
+        trim()
+        return out
+
+    def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> list[dict]:
         none = dict.fromkeys(x.name for x in schema)
         state = Bucket.load(own["state"][0][2], deal)
         for _, _, data in own.get("tables", []):
             state.set_tables(data)
         state.hear([(source, data) for source, _, data in own["answer"]], m)
         state.sweep(m, sweeps, turn)
-        yield none | {"key": bucket, "kind": "tables", "source": turn, "data": state.tables()}
-        yield from state.asks(none, bucket, False)
+        return [none | {"key": bucket, "kind": "tables", "source": turn, "data": state.tables()}, *state.asks(none, bucket, False)]
 
     return run
 
 
 def _score(deal: Dealing, models: list[dict], schema: pa.Schema):
-    """Rows of kind tables and answer are of the samples, those of the second in kinds of their own. To each slice: its entries' log10 and counts."""
+    """Of a bucket: its state, what it holds of each slice, and tables and answers of the samples, the second's in kinds of their own.
 
-    @tidy
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket,), own in groups(batches, 1):
-            yield from tables(_of_bucket(bucket, _of_kind(own)), schema, 16)
+    To each slice: its entries' log10 and counts.
+    """
+
+    def run(own: pa.Table, more: pa.Table) -> pa.Table:
+        out = pa.Table.from_pylist(_of_bucket(int(own.column("key")[0].as_py()), _of_kind(own) | _of_kind(more)), schema)
+        trim()
+        return out
 
-    def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> Iterator[dict]:
+    def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> list[dict]:
         none = dict.fromkeys(x.name for x in schema)
         state = Bucket.load(own["state"][0][2], deal)
         p = 0
@@ -600,9 +669,11 @@ def _score(deal: Dealing, models: list[dict], schema: pa.Schema):
             p = p + state.probabilities(m) / len(models)
         fine = np.rint(-np.log10(np.minimum(p, 1.0)) * FINE).astype(np.int64)
         seen = state.seen[state.ask[state.pair]]
+        out = []
         for _, name, data in own["index"]:
             at = total(unpack(data)[0])
-            yield none | {"slice": name, "source": bucket, "data": pack(small(fine[at]), small(seen[at]))}
+            out.append(none | {"slice": name, "source": bucket, "data": pack(small(fine[at]), small(seen[at]))})
+        return out
 
     return run
 
@@ -661,33 +732,38 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
         return df.repartition(key).sortWithinPartitions(key)
 
     read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
-    counted = save(vocabulary(read))
-    tokens, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    often = {r.word % 2**64: r.n for r in counted.where(F.col("n") > bucket_tokens // 2).collect()}
+    counted = save(read.select("text").mapInArrow(tidy(_counted), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    tokens = counted.where("word is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = {r.word % 2**64: r.n for r in counted.where(F.col("word").isNotNull() & (F.col("n") > bucket_tokens // 2)).collect()}
+    top = counted.where("word is not null").orderBy(F.desc("n"), "word").limit(NUMBERED).select("word").toPandas()["word"]
+    top = top.to_numpy(dtype=np.int64).view(np.uint64)
     scratch.drop(counted)
-    deal = Dealing(tokens, distinct, often, bucket_tokens)
-    first = save(by(read.mapInArrow(_send(deal, _arrow(sent, spark)), sent), "key").mapInArrow(_train(deal, arrow), kept))
+    deal = Dealing(tokens, top, often, bucket_tokens)
+    # Each bucket's entries stay where they are from here on; rounds move only sums and answers.
+    dealt = by(read.mapInArrow(_send(deal, _arrow(sent, spark)), sent), "key").mapInArrow(_train(deal, arrow), kept)
+    first = scratch.save_dealt(dealt, "key", max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "none")
+    free()
+    columns = ["key", "kind", "source", "slice", "data"]
 
     def answered(of: DataFrame, m: dict | None, turn: int) -> tuple[DataFrame, dict]:
-        asked = by(of.where("kind = 'ask'").select("key", "source", "data", "totals"), "key")
-        saved = save(asked.mapInArrow(_answer(deal, m, turn, arrow), kept))
+        saved = save(by(of.select("key", "kind", "source", "data", "totals"), "key").mapInArrow(_answer(deal, m, turn, arrow), kept))
         return saved, _model(saved, deal, turn, m)
 
-    columns = ["key", "kind", "source", "slice", "data"]
-    of = lambda df, kind, name=None: df.where(F.col("kind") == kind).withColumn("kind", F.lit(name or kind)).select(columns)
-    state = of(first, "state")
-    answers, m0 = answered(first, None, 0)
-    one = save(by(state.unionByName(of(answers, "answer")), "key").mapInArrow(_sweep(deal, m0, BURN, 1, arrow), kept))
-    scratch.drop(answers)
-    answers_one, m1 = answered(one, m0, 1)
-    two = save(by(state.unionByName(of(one, "tables")).unionByName(of(answers_one, "answer")), "key").mapInArrow(_sweep(deal, m1, BETWEEN, 2, arrow), kept))
-    answers_two, m2 = answered(two, m1, 2)
-    samples = [of(one, "tables", "tables0"), of(answers_one, "answer", "answer0"), of(two, "tables", "tables1"), of(answers_two, "answer", "answer1")]
-    together = functools.reduce(DataFrame.unionByName, [state, of(first, "index"), *samples])
-    told = save(by(together, "key").mapInArrow(_score(deal, [m1, m2], _arrow(part, spark)), part))
-    own = first.where("kind = 'slice'").select("slice", F.lit(-1).alias("source"), "ids", "held", "data")
-    own = save(own)
-    scratch.drop(first, one, two, answers_one, answers_two)
+    def of(df: DataFrame, kind: str, name: str | None = None) -> DataFrame:
+        return df.where(F.col("kind") == kind).withColumn("kind", F.lit(name or kind)).select(columns)
+
+    def with_entries(kinds: list[str], *more: DataFrame):
+        held = first.where(F.col("kind").isin(kinds)).select(columns)
+        return held.groupBy("key").cogroup(functools.reduce(DataFrame.unionByName, more).groupBy("key"))
+
+    start, m0 = answered(first.where("kind = 'ask'"), None, 0)
+    one, m1 = answered(with_entries(["state"], of(start, "answer")).applyInArrow(_sweep(deal, m0, BURN, 1, arrow), kept), m0, 1)
+    scratch.drop(start)
+    two, m2 = answered(with_entries(["state"], of(one, "tables"), of(one, "answer")).applyInArrow(_sweep(deal, m1, BETWEEN, 2, arrow), kept), m1, 2)
+    samples = [of(one, "tables", "tables0"), of(one, "answer", "answer0"), of(two, "tables", "tables1"), of(two, "answer", "answer1")]
+    told = save(with_entries(["state", "index"], *samples).applyInArrow(_score(deal, [m1, m2], _arrow(part, spark)), part))
+    own = save(first.where("kind = 'slice'").select("slice", F.lit(-1).alias("source"), "ids", "held", "data"))
+    scratch.drop(first, one, two)
     gathered = by(own.unionByName(told), "slice").mapInArrow(_gather(m2, _arrow(out, spark)), out)
     return gathered.withColumn("train_tokens", F.lit(m0["n"]).cast("long")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
