@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,12 +226,34 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_text_hashes_know_words_apart(monkeypatch):
+    from tidemark.llm import words as w
+
+    rng = random.Random(4)
+    letters = ["a", "B", "b", "É", "é", " ", " ", "\t", "\n", "\r", "\x0b", "\x0c", "\x1c", "\xa0", "z", "中"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += [None, "", " ", "x" * 3000, "y" + "x" * 2999, "x" * 2999, "Q " * 1000, "x" * 700 + " b " + "x" * 700, "é" * 900]
+    whole = pa.array(["not of the slice", *texts, "nor this"])
+    for run in (1 << 18, 512):
+        monkeypatch.setattr(w, "_RUN", run)
+        w._powers.cache_clear()
+        for column in (whole.slice(1, len(texts)), pa.array(texts, pa.large_string())):
+            hashes, counts = w.text_hashes(column)
+            own = [x for t in texts for x in words(t)]
+            assert counts.tolist() == [len(words(t)) for t in texts] and len(hashes) == len(own)
+            number = {}
+            assert all(number.setdefault(x, h) == h for x, h in zip(own, hashes.tolist(), strict=True)) and len(set(number.values())) == len(number)
+        if run == 512:
+            assert {k: number[k] for k in list(before)} == before
+        before = number
+    w._powers.cache_clear()
+    assert [len(x) for x in w.text_hashes(pa.array([], pa.string()))] == [0, 0] and w.text_hashes(pa.array([None], pa.string()))[1].tolist() == [0]
+
+
 def test_shingles_and_slices():
     one = word_hashes(words("a b c d e f a b c d e"))
     assert len(shingles(one, 5)) == 6 and len(shingles(one[:3], 5)) == 1 and len(shingles(one[:0], 5)) == 0
     assert words("\x1ca B\x0bÉ") == ["\x1ca".encode(), b"b", "É".encode()]
-    import pyarrow as pa
-
     batch = pa.RecordBatch.from_pydict({"t": ["x" * 10, None, "y" * 100, "", "z"]})
     cut = list(slices([batch], 0, size=50))
     assert [b.num_rows for b in cut] == [2, 1, 2] and pa.Table.from_batches(cut).to_pydict() == batch.to_pydict()
@@ -409,7 +432,7 @@ def test_lm_contexts_share_no_restaurant(spark):
     """Two previous words of equal hash modulo 2**16, each always followed by its own word."""
     own: dict = {}
     for n in range(2000):
-        a = own.setdefault(int(word_hashes([b"u%d" % n])[0]) % 65536, n)
+        a = own.setdefault(int(lm._tokens(pa.array([f"u{n}"]))[0][0]) % 65536, n)
         if a != n:
             break
     one, two = f"u{a}", f"u{n}"

@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import groups, mixed, slices, tables, word_hashes, words
+from tidemark.llm.words import groups, mixed, slices, tables, text_hashes
 from tidemark.llm.workers import tidy, trim
 from tidemark.session import Scratch, importable
 
@@ -194,6 +194,11 @@ def steps(x: np.ndarray) -> np.ndarray:
     return small(np.diff(x, prepend=x[:1] * 0))
 
 
+def lean(x: np.ndarray) -> np.ndarray:
+    """The same numbers in 32 bits, if they fit."""
+    return x.astype(np.int32) if not len(x) or x.max() < 1 << 31 else x.astype(np.int64)
+
+
 def total(x: np.ndarray) -> np.ndarray:
     return np.cumsum(x, dtype=np.int64)
 
@@ -213,14 +218,19 @@ def within(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out - np.repeat(np.r_[0, out][start], sizes)
 
 
-def _tokens(texts: list[str | None]) -> list[np.ndarray]:
-    ends = np.array([END], dtype=np.uint64)
-    return [np.concatenate([word_hashes(words(t)), ends]) for t in texts]
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all texts one after another, and the number of each text's."""
+    own, counts = text_hashes(texts)
+    out = np.empty(len(own) + len(counts), dtype=np.uint64)
+    ends = np.cumsum(counts + 1) - 1
+    out[ends] = END
+    out[np.arange(len(own)) + np.repeat(np.arange(len(counts)), counts)] = own
+    return out, counts + 1
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 0, size=SLICE_BYTES):
-        own = np.concatenate(_tokens(batch.column(0).to_pylist()))
+        own, _ = _tokens(batch.column(0))
         word, n = np.unique(own, return_counts=True)
         word, n = word[n >= FREQUENT], n[n >= FREQUENT]
         yield pa.RecordBatch.from_arrays([pa.array([None, *word.view(np.int64).tolist()], pa.int64()), pa.array([len(own), *n.tolist()], pa.int64())], ["word", "n"])
@@ -280,10 +290,8 @@ def _send(deal: Dealing, schema: pa.Schema):
     def _of_slice(name: str, batch: pa.RecordBatch) -> Iterator[dict]:
         none = dict.fromkeys(x.name for x in schema)
         ids, held = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=bool)
-        own = _tokens(batch.column(2).to_pylist())
-        lengths = np.array([len(x) for x in own], dtype=np.int64)
-        own.append(np.array([START], dtype=np.uint64))
-        words_, w = np.unique(np.concatenate(own), return_inverse=True)
+        own, lengths = _tokens(batch.column(2))
+        words_, w = np.unique(np.r_[own, np.uint64(START)], return_inverse=True)
         del own
         # Words by their numbers from here on.
         number = deal.numbers(words_)
@@ -346,18 +354,18 @@ class Bucket:
 
     def __init__(self, words_: np.ndarray, v: np.ndarray, contexts: np.ndarray, u: np.ndarray, pairs: np.ndarray, w: np.ndarray, sizes: np.ndarray, pair: np.ndarray, n: np.ndarray, deal: Dealing):
         """v: places of the words that are followed. contexts, pairs: how many of each v. u, sizes: of contexts; w: of pairs; pair (its number within its v's), n: of entries."""
-        self.words, self.deal, self.sizes, self.n = words_, deal, sizes, n
+        self.words, self.deal, self.sizes, self.n = words_, deal, sizes, lean(n)
         self.by_v = v, contexts, u, pairs, w
-        self.context_v, self.pair_v, self.pair_w = np.repeat(v, contexts), np.repeat(v, pairs), w
-        self.context = np.repeat(np.arange(len(u)), sizes)
-        self.pair = pair + np.repeat(np.repeat(np.cumsum(pairs) - pairs, contexts), sizes)
+        self.context_v, self.pair_v, self.pair_w = np.repeat(lean(v), contexts), np.repeat(lean(v), pairs), lean(w)
+        self.context = np.repeat(np.arange(len(u), dtype=np.int32), sizes)
+        self.pair = lean(pair + np.repeat(np.repeat(np.cumsum(pairs) - pairs, contexts), sizes))
         seen = np.zeros(len(words_), dtype=bool)
         seen[w] = True
         asked = np.flatnonzero(seen)
         self.asked = asked[np.argsort(words_[asked])]
         ask = np.empty(len(words_), dtype=np.int64)
         ask[self.asked] = np.arange(len(asked))
-        self.ask = ask[w]  # of each pair
+        self.ask = lean(ask[w])  # of each pair
         place = deal.place(words_)[self.pair_v]
         divided = np.flatnonzero(place)
         self.divided = divided[np.lexsort((place[divided], words_[w[divided]]))]
@@ -368,7 +376,7 @@ class Bucket:
             self.v_keys = own
             self.pair_keys = mixed(own[self.pair_v] + np.uint64(1)) + words_[w]
             self.context_keys = mixed(own[self.context_v] + np.uint64(2)) + words_[u]
-        self.t = np.minimum(n, 1)
+        self.t = np.minimum(self.n, 1)
         self.pair_t = np.where(self.local, np.minimum(self.sum_pairs(self.t), 1), 0)
 
     def entry_keys(self, at: np.ndarray) -> np.ndarray:
@@ -397,7 +405,7 @@ class Bucket:
         return pack(steps(self.words[len(self.deal.top) :]), steps(v), small(contexts), steps_within(u, contexts), small(pairs), steps_within(w, pairs), small(self.sizes), small(number), small(self.n))
 
     def sum_pairs(self, x: np.ndarray) -> np.ndarray:
-        return np.bincount(self.pair, weights=x, minlength=len(self.pair_v)).astype(np.int64)
+        return lean(np.bincount(self.pair, weights=x, minlength=len(self.pair_v)))
 
     def sum_v(self, x: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
         return np.bincount(self.pair_v[at], weights=x, minlength=len(self.words)).astype(np.float64)
@@ -406,7 +414,7 @@ class Bucket:
         return pack(small(self.t), small(self.pair_t))
 
     def set_tables(self, data: bytes) -> None:
-        self.t, self.pair_t = (x.astype(np.int64) for x in unpack(data))
+        self.t, self.pair_t = (lean(x) for x in unpack(data))
 
     def hear(self, answers: list[tuple[int, bytes]], m: dict) -> None:
         """Customers, tables and masses of single words and of divided words' pairs, and the probabilities and masses they give."""
