@@ -35,6 +35,12 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or _OWN_CHECKPOINTS).rstrip("/")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any store that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class Scratch:
     """Intermediate tables of one operator call, as Parquet in the shared folder.
 
@@ -60,16 +66,24 @@ class Scratch:
         out._scratch_path = path
         return out
 
-    def save_dealt(self, df: DataFrame, key: str, buckets: int, compression: str = "snappy") -> DataFrame:
-        """A table dealt by `key` for good: grouping it by that key, alone or with another table, moves none of its rows."""
+    def save_dealt(self, df: DataFrame, key: str, buckets: int, compression: str = "snappy", kind: str | None = None) -> DataFrame:
+        """A table dealt by `key` for good: grouping it by that key, alone or with another table, moves none of its rows.
+
+        kind: a column whose values are folders of their own, which `drop_kind` removes one by one.
+        """
         self._n += 1
         path, name = f"{self.base}/{self._n}", f"tidemark_{uuid.uuid4().hex}"
-        df.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", compression).format("parquet").saveAsTable(name)
+        writer = df.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", compression).format("parquet")
+        (writer.partitionBy(kind) if kind else writer).saveAsTable(name)
         self._names.append(name)
         out = self.spark.table(name)
-        out._scratch_path, out._scratch_name = path, name
+        out._scratch_path, out._scratch_name, out._scratch_kind = path, name, kind
         return out
 
+    def drop_kind(self, table: DataFrame, *values: str) -> None:
+        for v in values:
+            self._delete(f"{table._scratch_path}/{table._scratch_kind}={v}")
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
             if name := getattr(t, "_scratch_name", None):
