@@ -44,11 +44,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import pack, small, steps, total, unpack
 from tidemark.llm.words import groups, mixed, slices, tables, text_hashes
 from tidemark.llm.workers import tidy, trim
 from tidemark.session import Scratch, importable
@@ -163,46 +163,11 @@ def rate(one: float, two: float) -> float:
     return min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
 
 
-def small(x: np.ndarray) -> np.ndarray:
-    """The same numbers in as few bytes each as the largest needs."""
-    x = np.asarray(x)
-    most = int(x.max()) if len(x) else 0
-    return x.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
-
-
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of numbers as compressed bytes: most are small and alike."""
-    head = np.array([len(columns), *[x for c in columns for x in (len(c), c.dtype.itemsize)]], dtype="<u8").tobytes()
-    return zstandard.compress(head + b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, c.dtype.itemsize).T.tobytes() for c in columns), 1)
-
-
-def unpack(data: bytes) -> list[np.ndarray]:
-    data = zstandard.decompress(data)
-    n = int(np.frombuffer(data, "<u8", 1)[0])
-    at, out = 8 + 16 * n, []
-    for size, width in np.frombuffer(data, "<u8", 2 * n, 8).reshape(-1, 2).tolist():
-        if size:
-            out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, width * size, at).reshape(width, size).T).view(f"<u{width}").reshape(-1))
-        else:
-            out.append(np.zeros(0, f"<u{width}"))
-        at += width * size
-    return out
-
-
-def steps(x: np.ndarray) -> np.ndarray:
-    """Rising numbers as their differences."""
-    return small(np.diff(x, prepend=x[:1] * 0))
-
-
 def lean(x: np.ndarray) -> np.ndarray:
     """The same numbers in 32 bits, if they fit."""
     return x.astype(np.int32) if not len(x) or x.max() < 1 << 31 else x.astype(np.int64)
 
 
-def total(x: np.ndarray) -> np.ndarray:
-    return np.cumsum(x, dtype=np.int64)
-
-
 def steps_within(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Numbers that rise within each run as their differences; a run's first number stays."""
     out = np.diff(x, prepend=x[:1] * 0)
@@ -749,7 +714,7 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     deal = Dealing(tokens, top, often, bucket_tokens)
     # Each bucket's entries stay where they are from here on; rounds move only sums and answers.
     dealt = by(read.mapInArrow(_send(deal, _arrow(sent, spark)), sent), "key").mapInArrow(_train(deal, arrow), kept)
-    first = scratch.save_dealt(dealt, "key", max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "none")
+    first = scratch.save_dealt(dealt, "key", max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "none", "kind")
     free()
     columns = ["key", "kind", "source", "slice", "data"]
 
@@ -765,13 +730,15 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
         return held.groupBy("key").cogroup(functools.reduce(DataFrame.unionByName, more).groupBy("key"))
 
     start, m0 = answered(first.where("kind = 'ask'"), None, 0)
+    scratch.drop_kind(first, "ask")
     one, m1 = answered(with_entries(["state"], of(start, "answer")).applyInArrow(_sweep(deal, m0, BURN, 1, arrow), kept), m0, 1)
     scratch.drop(start)
     two, m2 = answered(with_entries(["state"], of(one, "tables"), of(one, "answer")).applyInArrow(_sweep(deal, m1, BETWEEN, 2, arrow), kept), m1, 2)
     samples = [of(one, "tables", "tables0"), of(one, "answer", "answer0"), of(two, "tables", "tables1"), of(two, "answer", "answer1")]
     told = save(with_entries(["state", "index"], *samples).applyInArrow(_score(deal, [m1, m2], _arrow(part, spark)), part))
-    own = save(first.where("kind = 'slice'").select("slice", F.lit(-1).alias("source"), "ids", "held", "data"))
-    scratch.drop(first, one, two)
+    scratch.drop_kind(first, "state", "index")
+    scratch.drop(one, two)
+    own = first.where("kind = 'slice'").select("slice", F.lit(-1).alias("source"), "ids", "held", "data")
     gathered = by(own.unionByName(told), "slice").mapInArrow(_gather(m2, _arrow(out, spark)), out)
     return gathered.withColumn("train_tokens", F.lit(m0["n"]).cast("long")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
