@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_mix": mixing.SQL,
+    "op3_ngram_join": ngram_join.SQL,
     "op4_near_vectors": near_vectors.SQL,
     "op5_top_k": topk.SQL,
     "op6_chat": chat.SQL,
