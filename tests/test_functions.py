@@ -80,14 +80,14 @@ def test_storage_types():
 
 ROW = V.Struct(
     {
-        "t0": V.SECONDS, "t3n": V.MILLIS, "t6n": V.MICROS, "b": V.BOOLEAN, "i8": V.INT8, "u8": V.UINT8, "i16": V.INT16, "u16": V.UINT16, "i32": V.INT32, "u32": V.UINT32,
-        "i64": V.INT64, "u64": V.UINT64, "f64": V.FLOAT64, "s": V.STRING, "d": V.Decimal(20, 3), "a": V.Array(V.INT32, True), "aa": V.Array(V.Array(V.STRING, True)),
-        "m": V.Map(V.STRING, V.INT8, True), "n": V.Struct({"i": V.INT32, "s": V.STRING}),
+        "seen": V.SECONDS, "sent": V.MILLIS, "kept": V.MICROS, "on": V.BOOLEAN, "level": V.INT8, "port_low": V.UINT8, "delta": V.INT16, "port": V.UINT16, "count": V.INT32, "bytes": V.UINT32,
+        "offset": V.INT64, "total": V.UINT64, "ratio": V.FLOAT64, "host": V.STRING, "price": V.Decimal(12, 2), "codes": V.Array(V.INT32, True), "grid": V.Array(V.Array(V.STRING, True)),
+        "marks": V.Map(V.STRING, V.INT8, True), "place": V.Struct({"row": V.INT32, "name": V.STRING}),
     }
 )
 TEXT = (
-    '{"t0":"1970-01-01T00:00:00Z","t3n":123,"t6n":123456,"b":true,"i8":123,"u8":234,"i16":31337,"u16":65535,"i32":2097152,"u32":4194304,"i64":2147483648,'
-    '"u64":4294967296,"f64":64.0,"s":"hello world!","d":3.14159265,"a":[10,null,20,null],"aa":[["one",null]],"m":{"1b":1,"2b":null},"n":{"i":123,"s":"yolo"}}'
+    '{"seen":"2021-03-04T05:06:07Z","sent":1500,"kept":2500001,"on":false,"level":-7,"port_low":200,"delta":-1234,"port":54321,"count":-987654,"bytes":3000000001,"offset":-5000000000,'
+    '"total":18000000000000000000,"ratio":-0.125,"host":"edge-7","price":19.999,"codes":[4,null,-6],"grid":[[null,"q"],[]],"marks":{"low":-1,"none":null},"place":{"row":12,"name":"Ems"}}'
 )
 
 
@@ -98,10 +98,10 @@ def _decode(spark, text: str, t: V.ValueType):
 def test_decode_all_types(spark):
     row = _decode(spark, TEXT, ROW)
     epoch = dt.datetime(1970, 1, 1)
-    assert (row.t0, row.t3n, row.t6n) == (epoch, epoch + dt.timedelta(milliseconds=123), epoch + dt.timedelta(microseconds=123456))
-    assert (row.b, row.i8, row.u8, row.i16, row.u16, row.i32, row.u32, row.i64) == (True, 123, 234, 31337, 65535, 2097152, 4194304, 2147483648)
-    assert (row.u64, row.f64, row.s, row.d) == (Decimal(4294967296), 64.0, "hello world!", Decimal("3.142"))
-    assert row.a == [10, None, 20, None] and row.aa == [["one", None]] and row.m == {"1b": 1, "2b": None} and (row.n.i, row.n.s) == (123, "yolo")
+    assert (row.seen, row.sent, row.kept) == (dt.datetime(2021, 3, 4, 5, 6, 7), epoch + dt.timedelta(milliseconds=1500), epoch + dt.timedelta(microseconds=2500001))
+    assert (row.on, row.level, row.port_low, row.delta, row.port, row["count"], row.bytes, row.offset) == (False, -7, 200, -1234, 54321, -987654, 3000000001, -5000000000)
+    assert (row.total, row.ratio, row.host, row.price) == (Decimal(18 * 10**18), -0.125, "edge-7", Decimal("20.00"))
+    assert row.codes == [4, None, -6] and row.grid == [[None, "q"], []] and row.marks == {"low": -1, "none": None} and (row.place.row, row.place.name) == (12, "Ems")
 
 
 def test_round_trip(spark):
@@ -150,3 +150,16 @@ def test_generator(spark):
     nulls = sum(r["int32"] is None for r in datagen.generate(spark, schema, 2000, 3).select("int32").collect())
     assert 120 < nulls < 280
     assert all(len(r["string[]"]) <= 7 and r["datetime"] is not None for r in one)
+
+
+def test_maps_rows_and_widening(spark):
+    t = V.Struct({"a": V.INT8, "b": V.STRING})
+    df = spark.createDataFrame([({"a": "5", "c": "x"},), ({"a": "500"},), (None,)], "m map<string,string>")
+    row = df.select(codec.map_to_row(F.col("m"), t).alias("r"))
+    got = row.select("r", codec.row_to_map(F.col("r"), t, V.STRING).alias("back")).collect()
+    assert [(g.r and tuple(g.r), g.back) for g in got] == [((5, None), {"a": "5", "b": None}), ((None, None), {"a": None, "b": None}), (None, None)]
+    one = spark.sql("SELECT timestamp_ntz'1970-01-01 00:00:01.000002' AS t, CAST(3 AS TINYINT) AS n, 1.5f AS f")
+    assert one.select(codec.as_long(F.col("t"), V.MICROS), codec.as_long(F.col("n"), V.INT8), codec.as_double(F.col("f"), V.FLOAT32)).first()[:] == (1_000_002, 3, 1.5)
+    for bad in (lambda: codec.as_long(F.col("f"), V.FLOAT32), lambda: codec.as_long(F.col("f"), V.UINT64), lambda: codec.as_double(F.col("t"), V.STRING)):
+        with pytest.raises(ValueError):
+            bad()

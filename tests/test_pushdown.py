@@ -59,6 +59,11 @@ def test_prunable():
     assert P.prunable(E.And(E.Or(one, ALEX), late), PLAIN) == late
     assert P.prunable(E.eq(TS, E.Field("timestamp2", V.MILLIS)), PLAIN) is None
     assert P.prunable(E.And(one, E.Not(two)), PLAIN) == E.And(one, E.Not(two))
+    listed = E.In(TS, TIMES)
+    assert P.prunable(listed, PLAIN) == listed and P.prunable(E.Not(listed), PLAIN) is None
+    # NOT (a OR b): either half bounds files by itself; NOT (a AND b) only if both do.
+    assert P.prunable(E.Not(E.Or(one, E.eq(AGE, E.Lit(50)))), PLAIN) == E.Not(one)
+    assert P.prunable(E.Not(E.And(one, E.eq(AGE, E.Lit(50)))), PLAIN) is None
 
 
 def test_classify():

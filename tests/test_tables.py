@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from tidemark.functions import valuetypes as V
 from tidemark.operators import scan as S
 from tidemark.plans import expr as E
 from tidemark.sources import datasource, parts
-from tidemark.sources.tables import Catalog, Connection, Storage, Table, TableError, columns_of, primary_of, storage_conf
+from tidemark.session import scratch_scope, shared_folder
+from tidemark.sources.tables import Catalog, Connection, Storage, Table, TableError, View, columns_of, primary_of, storage_conf
 
 
 @pytest.fixture(scope="module")
@@ -94,23 +96,43 @@ def test_catalog_of_names(spark, table, tmp_path):
     assert names.schema("main", "events") == table.schema and names.schema("main", "events")["value"].metadata == {"indexed": 0}
     names.save(f"{tmp_path}/names")
     assert Catalog.open(spark, f"{tmp_path}/names").load("main", "events") == table
+    assert names.default_view("main", "events").name == "all" and names.views("main", "x") == [] and names.transforms("x", "y") == {}
+    now = [0.0]
+    cached = Catalog.open(spark, f"{tmp_path}/names", ttl=10, clock=lambda: now[0])
+    more = Catalog(spark)
+    more.register(table, (View("v", ("event_id",), True),))
+    more.add_storage("s", Storage("s", "gcs", "b"))
+    more.save(f"{tmp_path}/names")
+    assert cached.storages() == {}
+    now[0] = 11.0
+    assert cached.storages()["s"].root == "gs://b" and cached.default_view("main", "events").columns == ("event_id",)
+    with pytest.raises(TableError):
+        cached.primary("main", "events")
+    for views in ((View("a", ("ts",), True), View("b", ("ts",), True)), (View("a", ("ts",)),)):
+        more.register(table, views)
+        with pytest.raises(TableError):
+            more.default_view("main", "events")
+    with pytest.raises(TableError):
+        more.register(table, (View("a", ("nothing",)),))
+    loaded = Connection.from_options({"project_name": "main", "table_name": "events", "partition_prefix": "p", "query_mode": "force_row"}).load(names)
+    assert loaded.prefix == "p" and loaded.query_mode == "force_row" and loaded.columns == table.columns
     with pytest.raises(TableError):
         names.load("main", "nothing")
 
 
 def test_options():
-    c = Connection.from_options({"jdbc_url": "x", "query_mode": "FORCE_ROW"})
-    assert c.required("jdbc_url") == "x" and c.optional("username") is None and c.as_map()["query_mode"] == "force_row"
-    for bad in ({"query_mode": "fast"}, {"nothing": "x"}):
+    c = Connection.from_options({"jdbc_url": "x", "username": "u", "password": "p", "query_mode": "FORCE_ROW"})
+    assert c.required("jdbc_url") == "x" and c.optional("api_url") is None and c.as_map()["query_mode"] == "force_row"
+    for bad in ({"query_mode": "fast"}, {"nothing": "x"}, {"jdbc_url": "x"}, {"table_name": "t"}, {"cloud_cred_2": "x"}):
         with pytest.raises(TableError):
             Connection.from_options(bad)
     with pytest.raises(TableError):
-        c.required("username")
+        c.required("api_url")
     with pytest.raises(TableError):
         Connection.from_options({"storage_cloud": "aws"}).storages({})
     given = {"storage_bucket_name": "b", "storage_bucket_path": "/p", "storage_region": "r", "storage_cloud": "aws", "storage_endpoint_uri": "http://h:1"}
     assert Connection.from_options(given).storages({})["default"].root == "s3a://b/p"
-    assert Connection.from_env({"TIDEMARK_JDBC_URL": "j"}).required("jdbc_url") == "j"
+    assert Connection.from_env({"TIDEMARK_JDBC_URL": "j", "TIDEMARK_USERNAME": "u", "TIDEMARK_PASSWORD": "p"}).required("jdbc_url") == "j"
 
 
 def test_storages():
@@ -129,9 +151,77 @@ def test_paths_and_primary(table):
     own = Table("d", "t", table.columns, "ts", storages=stores, default_storage="one")
     assert own.resolve("2024/f", "two", "pre/fix") == "s3a://b2/pre/fix/2024/f" and own.resolve("f") == "gs://b1/x/f"
     assert own.resolve("file:/a/b") == "file:/a/b"
+    # The id of its storage is no part of a file's path there; elsewhere the table's prefix comes first.
+    assert own.resolve("two/2024/f", "two", "pre") == "s3a://b2/db/hdx/2024/f"
+    prefixed = replace(own, prefix="pre", default_storage=None)
+    assert prefixed.resolve("f") == "gs://b1/x/pre/f" and replace(prefixed, storages=stores | {"three": Storage("three", "aws", "b3", default=True)}).resolve("f") == "s3a://b3/pre/f"
     with pytest.raises(TableError):
         Table("d", "t", table.columns, "ts").resolve("f")
     with pytest.raises(TableError):
         Table("d", "t", table.columns, "value")
     with pytest.raises(TableError):
         primary_of(table.columns)
+
+
+def test_query_mode_is_the_tables_own(spark, table):
+    setting = "spark.sql.parquet.enableVectorizedReader"
+    before = spark.conf.get(setting)
+    rows = S.scan(spark, replace(table, query_mode="force_row"), None, ["event_id"])
+    columns = S.scan(spark, replace(table, query_mode="force_columnar"), None, ["event_id"])
+    assert "Batched: false" in rows._jdf.queryExecution().executedPlan().treeString() or "ColumnarToRow" not in _plan(rows)
+    assert "ColumnarToRow" in _plan(columns) and spark.conf.get(setting) == before
+    assert rows.count() == columns.count() == S.scan(spark, table).count()
+
+
+def test_credentials_are_the_reads_own(spark, table):
+    """Options of the reader, not of the session; they reach the file system that reads."""
+    stores = {"one": Storage("one", "aws", "b", "p", "r", "http://h:1")}
+    c = Connection.from_options({"cloud_cred_1": "k", "cloud_cred_2": "s"})
+    assert c.reader_options(stores)["fs.s3a.access.key"] == "k" and Connection.from_options({}).reader_options(stores) == {}
+    assert S.scan(spark, replace(table, storages=stores), None, ["event_id"], c).count() == S.scan(spark, table).count()
+    assert spark.sparkContext._jsc.hadoopConfiguration().get("fs.s3a.access.key") is None
+
+
+def test_catalog_in_a_database(spark, table, tmp_path):
+    """Over JDBC, with bounds cut to seconds, against the same catalog as files."""
+    url = f"jdbc:derby:{tmp_path}/names;create=true"
+    kept = table.catalog(spark).select(
+        F.col("path").alias("partition"), F.date_trunc("second", "min_ts").cast("timestamp").alias("min_timestamp"), F.date_trunc("second", "max_ts").cast("timestamp").alias("max_timestamp"),
+        "rows", "data_size", "shard_key", "storage_id",
+    )
+    kept.write.format("jdbc").options(url=url, dbtable="parts", user="u", password="p", createTableColumnTypes="shard_key VARCHAR(64)").save()
+    connection = Connection.from_options({"jdbc_url": url, "username": "u", "password": "p"})
+    remote = replace(table, catalog_path="", settings={"catalog_source": "parts", "catalog_names": '"{}"'})
+    click = E.And(E.eq(Q.KIND, E.Lit("click")), E.And(E.ge(Q.TS, E.Lit(dt.datetime(2024, 1, 5, 0, 0, 0, 5))), E.lt(Q.TS, E.Lit(dt.datetime(2024, 1, 6)))))
+    for predicate in (None, click, E.eq(Q.KIND, E.Lit("view"))):
+        got = S.scan(spark, remote, predicate, ["event_id"], connection)
+        assert sorted(got.collect()) == sorted(S.scan(spark, table, predicate, ["event_id"]).collect())
+    low, high, hashes = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6), None
+    assert 0 < remote.catalog(spark, connection, (low, high, hashes)).count() < S.plan_partitions(spark, remote, None, connection).total
+    assert 0 < len(S.plan_partitions(spark, remote, click, connection).paths) <= 3
+    count = S.aggregate(spark, remote, [E.Aggregate(E.AggregateOp.COUNT_STAR)], connection=connection)
+    assert count.first()[0] == S.scan(spark, table).count()
+    last = [E.Aggregate(E.AggregateOp.MAX, Q.TS)]
+    assert S.aggregate(spark, remote, last, connection=connection).first() == S.aggregate(spark, table, last).first()
+    with pytest.raises(TableError):
+        S.scan(spark, remote)
+
+
+def test_scratch_scope(spark):
+    from tidemark.session import Scratch, exists
+
+    with scratch_scope():
+        inner = Scratch(spark, "inner")
+        saved = inner.save(spark.range(3))
+        dealt = inner.save_dealt(spark.range(10).withColumn("k", F.col("id") % 3), "k", 4)
+        assert saved.count() == 3 and "Exchange" not in _plan(dealt.groupBy("k").count())
+    assert not exists(spark, inner.base) and not any(t.name.startswith("tidemark_") for t in spark.catalog.listTables())
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_data_source_paths():
+    from pyarrow import fs
+
+    for path in ("/a/b", "file:/a/b", "file:///a/b"):
+        store, inner = datasource.opened(path)
+        assert isinstance(store, fs.LocalFileSystem) and inner == "/a/b"

@@ -130,3 +130,30 @@ def checked(c: Column, t: V.ValueType) -> Column:
     low, high = (F.lit(str(b)).cast("decimal(38,0)") for b in t.bounds)
     n = c.try_cast("decimal(38,0)")
     return F.when(n.between(low, high), n).try_cast(t.spark)
+
+
+def map_to_row(values: Column, t: V.Struct) -> Column:
+    """A map's values as a row of the type: a field that the map lacks is null, keys that are no field are left out."""
+    return F.when(values.isNotNull(), F.struct(*[F.try_element_at(values, F.lit(n)).try_cast(f.spark).alias(n) for n, f in t.fields]))
+
+
+def row_to_map(row: Column, t: V.Struct, value: V.ValueType) -> Column:
+    """A row as a map from its fields' names; null values are kept."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("k"), row.getField(n).try_cast(value.spark).alias("v")) for n, _ in t.fields])
+    return F.when(row.isNotNull(), F.map_from_entries(pairs))
+
+
+def as_long(c: Column, t: V.ValueType) -> Column:
+    """Whole numbers, widened; microseconds since 1970 of instants. Other types have no long."""
+    if isinstance(t, V.Timestamp):
+        return instant_to_micros(c)
+    if not t.bounds or t.bounds[1] > 2**63 - 1:
+        raise ValueError(f"{t.decl} is no long")
+    return c.cast("long")
+
+
+def as_double(c: Column, t: V.ValueType) -> Column:
+    """Numbers of any kind, widened."""
+    if not t.bounds and t not in (V.FLOAT32, V.FLOAT64) and not isinstance(t, V.Decimal):
+        raise ValueError(f"{t.decl} is no double")
+    return c.cast("double")

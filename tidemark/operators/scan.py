@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import expr as E
 from tidemark.plans import pushdown as P
-from tidemark.sources.parts import select_parts
-from tidemark.sources.tables import Table
+from tidemark.sources.parts import PERIOD, select_parts
+from tidemark.sources.tables import Connection, Table
 
 
 @dataclass(frozen=True)
@@ -24,62 +24,93 @@ class Plan:
     filter_text: str | None
 
 
-def chosen_parts(spark: SparkSession, table: Table, predicate: E.Expr | None = None) -> DataFrame:
-    """The catalog rows whose files may hold a match: bounds first, which a sorted catalog file can skip by, then the whole rule."""
-    catalog = table.catalog(spark)
-    predicate = E.TRUE if predicate is None else predicate.simplify()
-    if predicate == E.TRUE:
-        return catalog
-    low, high, hashes = P.bounds(predicate, table.layout)
+def chosen_parts(spark: SparkSession, table: Table, predicate: E.Expr | None = None, connection: Connection | None = None) -> DataFrame:
+    """The catalog rows whose files may hold a match: bounds first, which a sorted catalog file or a database can skip by, then the whole rule."""
+    bounding = None if predicate is None else P.prunable(predicate.simplify(), table.layout)
+    if predicate is not None and predicate.simplify() in (E.FALSE, E.UNKNOWN):
+        return table.catalog(spark, connection).where(F.lit(False))
+    if bounding is None:
+        return table.catalog(spark, connection)
+    low, high, hashes = P.bounds(bounding, table.layout)
     if low is not None and high is not None and high < low or hashes == []:
-        return catalog.where(F.lit(False))
-    narrowed = select_parts(catalog, low, high, hashes)
-    return narrowed.where(P.include_column(predicate, table.layout))
+        return table.catalog(spark, connection).where(F.lit(False))
+    narrowed = select_parts(table.catalog(spark, connection, (low, high, hashes)), low, high, hashes)
+    return narrowed.where(P.include_column(bounding, table.layout))
 
 
-def plan_partitions(spark: SparkSession, table: Table, predicate: E.Expr | None = None) -> Plan:
-    """Only paths of files that are read come to the driver, which needs them to set up the scan."""
+def plan_partitions(spark: SparkSession, table: Table, predicate: E.Expr | None = None, connection: Connection | None = None) -> Plan:
+    """The files of a scan, all named, for those who ask; `scan` itself names folders where it reads all of one."""
     parts = E.conjuncts(predicate.simplify()) if predicate is not None else []
-    rows = chosen_parts(spark, table, predicate).select("path", "storage_id").collect()
+    rows = chosen_parts(spark, table, predicate, connection).select("path", "storage_id").collect()
     codes = [(p, P.classify(p, table.layout)) for p in parts]
     return Plan(
         tuple(sorted(table.resolve(r.path, r.storage_id) for r in rows)),
-        table.catalog(spark).count(),
+        table.catalog(spark, connection).count(),
         tuple(p for p, c in codes if c == 2),
         tuple(p for p, c in codes if c != 1),
         P.render_all([p for p, c in codes if c == 2], table.layout),
     )
 
 
-def read_paths(spark: SparkSession, table: Table, paths: tuple[str, ...] | list[str], columns: list[str] | None = None) -> DataFrame:
-    """Files as a DataFrame of the table's columns. No path reads nothing, never everything."""
+def _in_mode(spark: SparkSession, mode: str) -> SparkSession:
+    """A session that reads Parquet by rows or by columns. A forced mode gets a session of its own, with this one's settings."""
+    if mode == "auto":
+        return spark
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.parquet.enableVectorizedReader", str(mode == "force_columnar").lower())
+    return own
+
+
+def read_paths(spark: SparkSession, table: Table, paths: tuple[str, ...] | list[str], columns: list[str] | None = None, connection: Connection | None = None) -> DataFrame:
+    """Files, or whole folders of them, as a DataFrame of the table's columns. No path reads nothing, never everything.
+
+    A table with a forced query mode is read in a session of its own: the mode is a setting of sessions, not of reads.
+    """
     columns = columns or list(table.columns)
     unknown = [c for c in columns if c not in table.columns]
     if unknown:
         raise KeyError(f"no column {unknown[0]!r}")
     if not paths:
         return spark.createDataFrame([], table.schema).select(*columns)
-    reader = spark.read.schema(table.schema)
-    if table.query_mode != "auto":
-        spark.conf.set("spark.sql.parquet.enableVectorizedReader", str(table.query_mode == "force_columnar").lower())
+    reader = _in_mode(spark, table.query_mode).read.schema(table.schema).option("recursiveFileLookup", "true")
+    if connection is not None:
+        reader = reader.options(**connection.reader_options(table.storages))
     return reader.parquet(*paths).select(*columns)
 
 
-def scan(spark: SparkSession, table: Table, predicate: E.Expr | None = None, columns: list[str] | None = None) -> DataFrame:
-    """Rows on which the predicate is true. It is evaluated again on the rows, where Parquet skips row groups by it as well."""
-    rows = chosen_parts(spark, table, predicate).select("path", "storage_id").collect()
-    data = read_paths(spark, table, [table.resolve(r.path, r.storage_id) for r in rows])
+def scan_paths(spark: SparkSession, table: Table, predicate: E.Expr | None = None, connection: Connection | None = None) -> list[str]:
+    """What a scan reads. Folders that one append has written and that are read whole are named once, however many files they hold."""
+    chosen = chosen_parts(spark, table, predicate, connection).withColumn("folder", F.regexp_extract("path", f"^(.*?)/{PERIOD}=", 1))
+    by_folder = chosen.where("folder <> ''").groupBy("folder", "storage_id").agg(F.count("*").alias("n"))
+    every = table.catalog(spark, connection).groupBy(F.regexp_extract("path", f"^(.*?)/{PERIOD}=", 1).alias("folder"), "storage_id").agg(F.count("*").alias("all"))
+    same = [F.col("x.folder") == F.col("y.folder"), F.col("x.storage_id").eqNullSafe(F.col("y.storage_id"))]
+    whole = by_folder.alias("x").join(every.alias("y"), same).where("n = all").select("x.folder", "x.storage_id")
+    folders = [(r.folder, r.storage_id) for r in whole.collect()]  # one for each append
+    paths = [table.resolve(f, s) for f, s in folders]
+    rest = chosen
+    if folders:
+        rest = chosen.where(~F.col("folder").isin([f for f, _ in folders]))
+    return paths + [table.resolve(r.path, r.storage_id) for r in rest.select("path", "storage_id").collect()]
+
+
+def scan(spark: SparkSession, table: Table, predicate: E.Expr | None = None, columns: list[str] | None = None, connection: Connection | None = None) -> DataFrame:
+    """Rows on which the predicate is true. It is evaluated again on the rows, where Parquet skips row groups by it as well.
+
+    connection: for catalogs in a database and for storages that ask for credentials.
+    """
+    unknown = [c for c in columns or [] if c not in table.columns]
+    if unknown:
+        raise KeyError(f"no column {unknown[0]!r}")
+    data = read_paths(spark, table, scan_paths(spark, table, predicate, connection), None, connection)
     if predicate is not None:
         data = data.where(predicate.simplify().to_column())
-    if columns:
-        unknown = [c for c in columns if c not in table.columns]
-        if unknown:
-            raise KeyError(f"no column {unknown[0]!r}")
-        data = data.select(*columns)
-    return data
+    return data.select(*columns) if columns else data
 
 
-def catalog_aggs(spark: SparkSession, table: Table, aggs: list[E.Aggregate]) -> DataFrame:
+def catalog_aggs(spark: SparkSession, table: Table, aggs: list[E.Aggregate], connection: Connection | None = None) -> DataFrame:
     """One row from the catalog alone. Of an empty table counts are 0, bounds null."""
     made = {
         E.AggregateOp.COUNT_STAR: F.coalesce(F.sum("rows"), F.lit(0)).cast("long"),
@@ -89,13 +120,17 @@ def catalog_aggs(spark: SparkSession, table: Table, aggs: list[E.Aggregate]) ->
     for a in aggs:
         if P.pushable_agg(a, table.layout) is None:
             raise ValueError(f"{a.label} needs data")
-    return table.catalog(spark).agg(*[made[a.op].alias(a.label) for a in aggs])
+    return table.catalog(spark, connection).agg(*[made[a.op].alias(a.label) for a in aggs])
+
 
+def aggregate(spark: SparkSession, table: Table, aggs: list[E.Aggregate], predicate: E.Expr | None = None, by: list[str] | None = None, connection: Connection | None = None) -> DataFrame:
+    """Aggregates from the catalog if it can answer all of them, without predicate and grouping; from a pruned scan otherwise.
 
-def aggregate(spark: SparkSession, table: Table, aggs: list[E.Aggregate], predicate: E.Expr | None = None, by: list[str] | None = None) -> DataFrame:
-    """Aggregates from the catalog if it can answer all of them, without predicate and grouping; from a pruned scan otherwise."""
-    if predicate is None and not by and all(P.pushable_agg(a, table.layout) is not None for a in aggs):
-        return catalog_aggs(spark, table, aggs)
-    data = scan(spark, table, predicate)
+    A catalog in a database has bounds cut to seconds, so it answers counts only.
+    """
+    known = all(P.pushable_agg(a, table.layout) is not None and (a.op is E.AggregateOp.COUNT_STAR or not table.catalog_source) for a in aggs)
+    if predicate is None and not by and known:
+        return catalog_aggs(spark, table, aggs, connection)
+    data = scan(spark, table, predicate, None, connection)
     columns = [a.to_column().alias(a.label) for a in aggs]
     return data.groupBy(*by).agg(*columns) if by else data.agg(*columns)

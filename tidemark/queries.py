@@ -19,8 +19,9 @@ from tidemark.operators import scan as S
 from tidemark.plans import expr as E
 from tidemark.plans import pushdown as P
 from tidemark.session import Scratch, shared_folder
-from tidemark.sources import datasource, parts
-from tidemark.sources.tables import Storage, Table, columns_of, storage_conf
+from tidemark.sources import datasource, ingest, parts
+from tidemark.sources.tables import Catalog, Storage, Table, View, catalog_sql, columns_of, storage_conf
+from tidemark.streaming import ingest as stream
 
 _tables: dict[tuple[str, str], Table] = {}
 
@@ -28,13 +29,16 @@ _T1, _T2, _T3 = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 7, 12, 30), dt.dat
 _EXACT = dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
 TS, KIND = E.Field("ts", V.MICROS), E.Field("event_type", V.STRING)
 USER, VALUE, PROPS = E.Field("user_id", V.INT64), E.Field("value", V.FLOAT64), E.Field("props", V.STRING)
+#: A column with nulls, which events itself has not: the value of all events but errors.
+SCORE = E.Field("score", V.FLOAT64)
+_SCORE_SQL = "CASE WHEN event_type <> 'error' THEN value END"
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> Table:
     """The layout and catalog of events, written to the shared folder when first asked for."""
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _tables:
-        source = spark.read.parquet(f"{sf_dir}/events.parquet")
+        source = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("score", F.when(F.col("event_type") != "error", F.col("value")))
         home = Scratch(spark, f"layout-{uuid.uuid4().hex[:8]}").base
         assert home.startswith(shared_folder(spark))
         parts.write_layout(source, f"{home}/data", "ts", "event_type", sort=["event_id"])
@@ -90,6 +94,7 @@ _SCANS: dict[str, tuple[E.Expr | None, str, str]] = {
     "scan_nonstring": (E.eq(USER, E.Lit(7, V.INT64)), "user_id = 7", "event_id, user_id"),
     "scan_empty": (E.lt(TS, _lit(dt.datetime(2023, 1, 1))), "ts < TIMESTAMP '2023-01-01'", ""),
     "scan_is_null": (E.IsNull(VALUE), "value IS NULL", "event_id, value"),
+    "scan_now": (E.And(E.ge(TS, _lit(_T3)), E.lt(TS, E.Now())), f"ts >= {_S3} AND ts < now()::TIMESTAMP", ""),
     "scan_or_not_prunable": (E.Or(E.eq(USER, E.Lit(7, V.INT64)), E.lt(TS, _lit(_T1))), f"user_id = 7 OR ts < {_S1}", "event_id, ts, user_id"),
     "simplify_equiv": (_REDUNDANT, f"ts >= {_S1} AND event_type <> 'click'", "event_id, ts"),
 }
@@ -176,6 +181,122 @@ def shard_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.select("event_type", wyhash_column(F.col("event_type")).alias("shard_key"), F.col("count").alias("n"))
 
 
+def scan_null_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.scan(spark, events_table(spark, sf_dir), E.IsNull(SCORE), ["event_id", "score"])
+
+
+def scan_not_high_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Under a NOT, rows of a null score are no more true than before."""
+    return S.scan(spark, events_table(spark, sf_dir), E.Not(E.gt(SCORE, E.Lit(50.0))), ["event_id", "score"])
+
+
+def map_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = V.Map(V.STRING, V.INT64, True)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", codec.decode_json(F.col("props"), kind).alias("m"))
+    back = codec.decode_json(codec.encode_json(F.col("m"), kind), kind)
+    return events.select("event_id", F.try_element_at("m", F.lit("k")).alias("k"), F.size(back).cast("long").alias("n"), F.try_element_at(back, F.lit("k")).alias("again"))
+
+
+def map_row_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = V.Struct({"k": V.INT32, "missing": V.STRING})
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", codec.decode_json(F.col("props"), V.Map(V.STRING, V.INT64, True)).alias("m"))
+    events = events.withColumn("r", codec.map_to_row(F.col("m"), row))
+    again = codec.row_to_map(F.col("r"), row, V.STRING)
+    return events.select("event_id", F.col("r.k").alias("k"), F.col("r.missing").alias("missing"), again["k"].alias("text"), F.array_join(F.array_sort(F.map_keys(again)), ",").alias("names"))
+
+
+def widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return items.select(
+        "l_orderkey", "l_linenumber", codec.as_long(F.col("l_shipdate"), V.MICROS).alias("ship_micros"), codec.as_long(F.col("l_linenumber"), V.INT32).alias("line_long"),
+        codec.as_double(F.col("l_linenumber"), V.INT32).alias("line_double"), codec.as_double(F.col("l_quantity"), V.FLOAT64).alias("quantity"),
+    )
+
+
+def struct_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = E.StructLit((7, "x", None), V.Struct({"n": V.INT32, "s": V.STRING, "d": V.FLOAT64}))
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", one.to_column().alias("v"))
+    return regions.select("r_regionkey", "v.n", "v.s", "v.d")
+
+
+def storage_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    declared = ["Int8", "UInt8", "int16", "uint16", "int32", "UInt32", "int64", "uint64", "float32", "float64", "String", "datetime", "DateTime('UTC')", "datetime64(3)", "nullable(uint8)", "array(nullable(int16))", "map(string, uint64) encoding=zstd"]
+    rows = []
+    for d in declared:
+        value, storage, nullable = V.decode_storage_type(d)
+        rows.append((d, value.decl, storage.type, nullable, V.from_storage(storage).decl))
+    return spark.createDataFrame(rows, "declared string, decl string, storage string, nullable boolean, read string")
+
+
+def catalog_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query that a catalog in a database gets."""
+    cases = [("all", (None, None, None)), ("from", (_T1, None, None)), ("to", (None, _T2, None)), ("both", (_T1, _T2, ["42bc986dc5eec4d3"])), ("shards", (None, None, ["0a", "0b"]))]
+    return spark.createDataFrame([(name, catalog_sql("db.parts", *bounds)) for name, bounds in cases], "bounds string, query string")
+
+
+def names_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables, views, transforms and storages, saved and opened again."""
+    home = Scratch(spark, "names").base
+    names = Catalog(spark)
+    table = names.register(events_table(spark, sf_dir), (View("all", ("event_id", "ts", "event_type")), View("short", ("ts", "value"), True)))
+    names.add_transform("main", "events", "lines", {"type": "json"})
+    names.add_storage("s", Storage("s", "aws", "bucket", "/p", "r"))
+    names.save(f"{home}/names")
+    again = Catalog.open(spark, f"{home}/names")
+    assert again.load("main", "events") == table
+    rows = []
+    for d in again.list_databases():
+        for n in again.list_tables(d):
+            rows.append((d, n, again.default_view(d, n).name, again.primary(d, n), ",".join(again.schema(d, n).names), len(again.views(d, n)), ",".join(again.transforms(d, n)), again.storages()["s"].root, again.version()))
+    return spark.createDataFrame(rows, "database string, name string, view string, primary_key string, columns string, views int, transforms string, root string, version string")
+
+
+def _summed(spark: SparkSession, table: Table) -> DataFrame:
+    return S.scan(spark, table).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.max("ts").alias("last_ts"))
+
+
+def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made of events, made again to no effect, and appended to a day later."""
+    home = Scratch(spark, f"append-{uuid.uuid4().hex[:8]}").base
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type")
+    for _ in range(2):
+        table = ingest.create_table(Catalog(spark), "main", "copied", rows, home, "ts", "event_type")
+    ingest.append(spark, table, rows.withColumn("ts", F.col("ts") + F.expr("interval 1 day")), f"{home}/data")
+    return _summed(spark, table)
+
+
+def _written(spark: SparkSession, sf_dir: str, columns: list[str]) -> tuple[str, DataFrame]:
+    return Scratch(spark, f"rows-{uuid.uuid4().hex[:8]}").base, spark.read.parquet(f"{sf_dir}/events.parquet").select(columns)
+
+
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, streamed into a table."""
+    home, rows = _written(spark, sf_dir, ["event_id", "ts", "event_type"])
+    row = V.Struct({"event_id": V.INT64, "ts": V.MICROS, "event_type": V.STRING})
+    rows.select(codec.encode_json(F.struct(*rows.columns), row).alias("value")).write.text(f"{home}/lines")
+    table = Table("main", "streamed", columns_of(rows.schema), "ts", "event_type", (), f"{home}/catalog")
+    query = stream.append_stream(stream.stream_rows(spark, f"{home}/lines", row), table, f"{home}/data", f"{home}/checkpoint", available_now=True)
+    query.awaitTermination()
+    return _summed(spark, table)
+
+
+def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    home, rows = _written(spark, sf_dir, ["event_id", "event_type", "value", "ts"])
+    rows.write.option("sep", ";").option("quote", "'").option("header", "true").option("compression", "gzip").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(f"{home}/rows")
+    row = V.Struct({"event_id": V.INT64, "event_type": V.STRING, "value": V.FLOAT64, "ts": V.MICROS})
+    return ingest.read_rows(spark, f"{home}/rows", row, ingest.Transform("csv", "gzip", ";", quote="'", skip_head=True, null_values=("view",)))
+
+
+def flattened_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """props is an object inside each row's object; its values get columns of their own."""
+    home, rows = _written(spark, sf_dir, ["event_id", "props"])
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"props":'), F.col("props"), F.lit(',"list":[1,"b"]}'))
+    rows.select(line.alias("value")).write.text(f"{home}/lines")
+    row = V.Struct({"event_id": V.INT64, "props.k": V.INT64, "list[1]": V.STRING, "props.none": V.STRING})
+    got = ingest.read_rows(spark, f"{home}/lines", row, ingest.Transform(flattening=ingest.Flattening()))
+    return got.toDF("event_id", "k", "second", "none")
+
+
 def render_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = events_table(spark, sf_dir).layout
     rows = [(name, P.render(p, layout) if p is not None else None, P.classify(p, layout) if p is not None else 1) for name, (p, _, _) in _SCANS.items()]
@@ -251,10 +372,92 @@ _OTHER: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
            WHEN 'signup' THEN '50d3a894cf2baf54' WHEN 'view' THEN '6609d84c7845f085' END AS shard_key, COUNT(*) AS n FROM events GROUP BY event_type""",
     ),
     "source_time_range": (source_time_range, f"SELECT event_id, ts FROM events WHERE ts >= {_S1} AND event_type = 'click'"),
-    "render_filter": (render_filter, None),
-    "type_decl": (type_decl, None),
-    "storage_settings": (storage_settings, None),
-    "plan_summary": (plan_summary, None),
+    "scan_null_score": (scan_null_score, f"SELECT event_id, {_SCORE_SQL} AS score FROM events WHERE ({_SCORE_SQL}) IS NULL"),
+    "scan_not_high_score": (scan_not_high_score, f"SELECT event_id, {_SCORE_SQL} AS score FROM events WHERE NOT (({_SCORE_SQL}) > 50.0)"),
+    "map_codec": (
+        map_codec,
+        """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(len(json_keys(props)) AS BIGINT) AS n, CAST(json_extract(props, '$.k') AS BIGINT) AS again FROM events""",
+    ),
+    "map_row_map": (
+        map_row_map,
+        """SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS missing, CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS text,
+           'k,missing' AS names FROM events""",
+    ),
+    "widened": (
+        widened,
+        """SELECT l_orderkey, l_linenumber, epoch_us(l_shipdate) AS ship_micros, CAST(l_linenumber AS BIGINT) AS line_long, CAST(l_linenumber AS DOUBLE) AS line_double,
+           l_quantity AS quantity FROM lineitem""",
+    ),
+    "struct_literals": (struct_literals, "SELECT r_regionkey, CAST(7 AS INTEGER) AS n, 'x' AS s, CAST(NULL AS DOUBLE) AS d FROM region"),
+    "storage_types": (
+        storage_types,
+        """SELECT * FROM (VALUES
+           ('Int8', 'int8', 'int8', false, 'int8'), ('UInt8', 'uint8', 'uint8', false, 'uint8'), ('int16', 'int16', 'int32', false, 'int32'), ('uint16', 'uint16', 'uint32', false, 'uint32'),
+           ('int32', 'int32', 'int32', false, 'int32'), ('UInt32', 'uint32', 'uint32', false, 'uint32'), ('int64', 'int64', 'int64', false, 'int64'), ('uint64', 'uint64', 'uint64', false, 'uint64'),
+           ('float32', 'float32', 'double', false, 'float64'), ('float64', 'float64', 'double', false, 'float64'), ('String', 'string', 'string', false, 'string'),
+           ('datetime', 'timestamp(0)', 'datetime64', false, 'timestamp(3)'), ('DateTime(''UTC'')', 'timestamp(0)', 'datetime', false, 'timestamp(0)'),
+           ('datetime64(3)', 'timestamp(3)', 'datetime64', false, 'timestamp(3)'), ('nullable(uint8)', 'uint8', 'uint8', true, 'uint8'),
+           ('array(nullable(int16))', 'array<int16,true>', 'array', false, 'array<int32,false>'), ('map(string, uint64) encoding=zstd', 'map<string,uint64,false>', 'map', false, 'map<string,uint64,false>')
+           ) t(declared, decl, storage, nullable, read)""",
+    ),
+    "catalog_query": (
+        catalog_query,
+        """SELECT * FROM (VALUES ('all', 'SELECT * FROM db.parts'),
+           ('from', 'SELECT * FROM db.parts WHERE (max_timestamp IS NULL OR max_timestamp >= {ts ''2024-01-05 00:00:00.000000''})'),
+           ('to', 'SELECT * FROM db.parts WHERE (min_timestamp IS NULL OR min_timestamp <= {ts ''2024-01-07 12:30:00.000000''})'),
+           ('both', 'SELECT * FROM db.parts WHERE (max_timestamp IS NULL OR max_timestamp >= {ts ''2024-01-05 00:00:00.000000''}) AND (min_timestamp IS NULL OR min_timestamp <= {ts ''2024-01-07 12:30:00.000000''}) AND (shard_key IS NULL OR shard_key IN (''42bc986dc5eec4d3''))'),
+           ('shards', 'SELECT * FROM db.parts WHERE (shard_key IS NULL OR shard_key IN (''0a'', ''0b''))')) t(bounds, query)""",
+    ),
+    "names_saved": (
+        names_saved,
+        """SELECT 'main' AS "database", 'events' AS name, 'short' AS "view", 'ts' AS primary_key, 'ts,value' AS columns, CAST(2 AS INTEGER) AS views, 'lines' AS transforms,
+           's3a://bucket/p' AS root, '1' AS version""",
+    ),
+    "table_append": (
+        table_append,
+        "SELECT event_type, CAST(2 * COUNT(*) AS BIGINT) AS n, CAST(2 * SUM(event_id) AS BIGINT) AS ids, MAX(ts) + INTERVAL 1 DAY AS last_ts FROM events GROUP BY event_type",
+    ),
+    "stream_append": (stream_append, "SELECT event_type, COUNT(*) AS n, CAST(SUM(event_id) AS BIGINT) AS ids, MAX(ts) AS last_ts FROM events GROUP BY event_type"),
+    "csv_rows": (csv_rows, "SELECT event_id, NULLIF(event_type, 'view') AS event_type, value, ts FROM events"),
+    "flattened_rows": (flattened_rows, """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'b' AS second, CAST(NULL AS VARCHAR) AS "none" FROM events"""),
+    "render_filter": (
+        render_filter,
+        """SELECT query, filter, CAST(code AS INTEGER) AS code FROM (VALUES
+           ('scan_full', NULL, 1), ('scan_time_range', NULL, 2), ('scan_time_eq', NULL, 2), ('scan_time_ne', NULL, 2), ('scan_time_lt', NULL, 2), ('scan_time_le', NULL, 2),
+           ('scan_time_gt', NULL, 2), ('scan_time_ge', NULL, 2), ('scan_time_between', NULL, 2), ('scan_time_in', NULL, 2), ('scan_time_or', NULL, 2), ('scan_not', NULL, 2),
+           ('scan_literal_left', NULL, 2), ('scan_shard_eq', '"event_type" = ''click''', 2), ('scan_shard_ne', '"event_type" != ''click''', 2), ('scan_shard_in', NULL, 2),
+           ('scan_shard_and_time', '"event_type" = ''click''', 2), ('scan_string_other', '"props" = ''{"k": 69}''', 2), ('scan_nonstring', NULL, 3), ('scan_empty', NULL, 2),
+           ('scan_is_null', NULL, 3), ('scan_now', NULL, 3), ('scan_or_not_prunable', NULL, 3), ('simplify_equiv', '"event_type" != ''click''', 2)) t(query, filter, code)""",
+    ),
+    "type_decl": (
+        type_decl,
+        """WITH t(name, decl, spark) AS (VALUES ('boolean', 'boolean', 'boolean'), ('double', 'float64', 'double'), ('int8', 'int8', 'tinyint'), ('int32', 'int32', 'int'), ('int64', 'int64', 'bigint'),
+           ('string', 'string', 'string'), ('uint8', 'uint8', 'smallint'), ('uint32', 'uint32', 'bigint'), ('uint64', 'uint64', 'decimal(20,0)'), ('datetime', 'timestamp(3)', 'timestamp_ntz'),
+           ('epoch', 'timestamp(3)', 'timestamp_ntz'))
+           SELECT name AS "column", decl, spark AS spark_type FROM t
+           UNION ALL SELECT name || '[]', 'array<' || decl || ',true>', 'array<' || spark || '>' FROM t
+           UNION ALL SELECT name || '{}', 'map<string,' || decl || ',true>', 'map<string,' || spark || '>' FROM t
+           UNION ALL SELECT name || '[][]', 'array<array<' || decl || ',true>,false>', 'array<array<' || spark || '>>' FROM t""",
+    ),
+    "storage_settings": (
+        storage_settings,
+        """SELECT * FROM (VALUES ('aws', 'fs.s3a.access.key', 'key'), ('aws', 'fs.s3a.secret.key', 'secret'), ('aws', 'fs.s3a.endpoint.region', 'r'), ('aws', 'fs.s3a.endpoint', 'http://s:9000'),
+           ('aws', 'fs.s3a.path.style.access', 'true'), ('aws', 'fs.s3a.connection.ssl.enabled', 'false'), ('gcp', 'fs.gs.auth.type', 'SERVICE_ACCOUNT_JSON_KEYFILE'),
+           ('gcp', 'fs.gs.auth.service.account.json.keyfile', 'key'), ('azure', 'fs.azure.account.key.key.blob.core.windows.net', 'secret')) t(cloud, name, value)""",
+    ),
+    "plan_summary": (
+        plan_summary,
+        f"""WITH parts AS (SELECT event_type, MIN(ts) AS a, MAX(ts) AS z FROM events GROUP BY date_trunc('day', ts), event_type),
+           opened(query, opened, pushed, residual, filter) AS (
+           SELECT 'scan_full', COUNT(*), 0, 0, NULL FROM parts
+           UNION ALL SELECT 'scan_time_range', COUNT(*) FILTER (z >= {_S1} AND a < {_S2}), 2, 2, NULL FROM parts
+           UNION ALL SELECT 'scan_shard_eq', COUNT(*) FILTER (event_type = 'click'), 1, 1, '"event_type" = ''click''' FROM parts
+           UNION ALL SELECT 'scan_shard_and_time', COUNT(*) FILTER (event_type = 'click' AND z >= {_S1} AND a < {_S2}), 3, 3, '"event_type" = ''click''' FROM parts
+           UNION ALL SELECT 'scan_time_or', COUNT(*) FILTER (a < {_S1} OR z >= {_S3}), 1, 1, NULL FROM parts
+           UNION ALL SELECT 'scan_nonstring', COUNT(*), 0, 1, NULL FROM parts
+           UNION ALL SELECT 'scan_empty', COUNT(*) FILTER (a < TIMESTAMP '2023-01-01'), 1, 1, NULL FROM parts)
+           SELECT query, CAST((SELECT COUNT(*) FROM parts) AS INTEGER) AS files, CAST(opened AS INTEGER) AS opened, CAST(pushed AS INTEGER) AS pushed, CAST(residual AS INTEGER) AS residual, filter FROM opened""",
+    ),
     "generated_rows": (generated_rows, None),
 }
 

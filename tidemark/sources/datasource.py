@@ -1,6 +1,8 @@
 """A read-only data source for SQL: spark.read.format("tidemark").option("table", <table json>).load().
 
-Filters that Spark hands over prune the catalog; all are left to Spark to evaluate again. A loaded DataFrame that is used
+Filters that Spark hands over prune the catalog; all are left to Spark to evaluate again. Spark tells a Python source no
+columns, so all are read, and its files are opened by Arrow's file systems (local, hdfs, s3, gs, abfs), not by Hadoop's:
+operators.scan is the main route, and the one for other stores. A loaded DataFrame that is used
 for several queries can keep the files of an earlier one when a later query has no filter to hand over, so views go
 through `guarded_view`, which always has one. Spark hands over no OR: predicates with one are for operators.scan.
 """
@@ -25,8 +27,20 @@ class _File(InputPartition):
         self.path = path
 
 
-def _local(path: str) -> str:
-    return path.removeprefix("file://").removeprefix("file:")
+#: What Arrow calls the stores that Hadoop calls otherwise.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfs", "abfss": "abfs"}
+
+
+def opened(path: str):
+    """Arrow's file system for a path, and the path in it."""
+    from pyarrow import fs
+
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 class TableReader(DataSourceReader):
@@ -41,10 +55,21 @@ class TableReader(DataSourceReader):
     def partitions(self) -> list[_File]:
         import pyarrow.dataset as ds
 
+        if self.table.catalog_source:
+            raise ValueError("a catalog in a database is for operators.scan, which gets a connection")
         layout, predicate = self.table.layout, E.all_of(self.pushed)
-        catalog = ds.dataset(_local(self.table.catalog_path), exclude_invalid_files=True, format="parquet")
+        low, high, hashes = P.bounds(predicate, layout)
+        # Arrow skips row groups of the catalog by the bounds; only rows within them are looked at here.
+        wanted = ds.scalar(True)
+        for name, bound in (("max_ts", low), ("min_ts", high)):
+            if bound is not None:
+                wanted &= ds.field(name).is_null() | (ds.field(name) >= bound if name == "max_ts" else ds.field(name) <= bound)
+        if hashes is not None:
+            wanted &= ds.field("shard_key").is_null() | ds.field("shard_key").isin(hashes)
+        store, path = opened(self.table.catalog_path)
+        catalog = ds.dataset(path, filesystem=store, exclude_invalid_files=True, format="parquet")
         out = []
-        for batch in catalog.to_batches(columns=["path", "storage_id", "min_ts", "max_ts", "shard_key"]):
+        for batch in catalog.to_batches(columns=["path", "storage_id", "min_ts", "max_ts", "shard_key"], filter=wanted):
             for r in batch.to_pylist():
                 known = r["min_ts"] is not None and r["shard_key"] is not None
                 if not known or P.include(predicate, P.Part(r["min_ts"], r["max_ts"], r["shard_key"]), layout):
@@ -57,7 +82,8 @@ class TableReader(DataSourceReader):
         if partition is None:
             return
         names = list(self.table.columns)
-        with pq.ParquetFile(_local(partition.path)) as file:
+        store, path = opened(partition.path)
+        with pq.ParquetFile(path, filesystem=store) as file:
             yield from file.iter_batches(columns=names)
 
 

@@ -18,28 +18,28 @@ from tidemark.session import importable
 
 #: Rows that a file holds at most.
 ROWS_PER_FILE = 2_097_152
-_PERIOD, _SHARD = "_period", "_shard"
+PERIOD, _SHARD = "_period", "_shard"
 
 CATALOG = (
     "path string, min_ts timestamp_ntz, max_ts timestamp_ntz, rows long, data_size long, shard_key string, storage_id string"
 )
 
 
-def write_layout(df: DataFrame, path: str, primary: str, shard: str | None = None, period: str = "day", sort: list[str] | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_layout(df: DataFrame, path: str, primary: str, shard: str | None = None, period: str = "day", sort: list[str] | None = None, rows_per_file: int = ROWS_PER_FILE, mode: str = "error") -> None:
     """Write files of one period and one shard value each.
 
-    Rows are dealt by period and shard and, where that is many, by a hash as well: a period that holds a large part of the
-    table is written by many tasks.
+    Rows are dealt by period and shard and, where those are more than a file holds, by a hash as well, to as many tasks as
+    there will be files: a period that holds a large part of the table is written by many.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not df.schema[c].dataType.typeName() in ("map", "variant")]), F.lit(8))
-    keyed = df.withColumn(_PERIOD, F.date_format(F.date_trunc(period, F.col(primary)), "yyyy-MM-dd-HH"))
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not df.schema[c].dataType.typeName() in ("map", "variant")])
+    keyed = df.withColumn(PERIOD, F.date_format(F.date_trunc(period, F.col(primary)), "yyyy-MM-dd-HH"))
     keyed = keyed.withColumn(_SHARD, F.col(shard) if shard else F.lit(""))
-    large = keyed.groupBy(_PERIOD, _SHARD).count().where(F.col("count") > rows_per_file)
-    large = large.select(F.col(_PERIOD).alias("_large_period"), F.col(_SHARD).alias("_large_shard"), F.lit(True).alias("_large"))
-    keyed = keyed.join(large, F.col(_PERIOD).eqNullSafe(F.col("_large_period")) & F.col(_SHARD).eqNullSafe(F.col("_large_shard")), "left")
-    keyed = keyed.withColumn("_salt", F.when(F.col("_large"), salt).otherwise(F.lit(0)))
-    dealt = keyed.repartition(_PERIOD, _SHARD, "_salt").sortWithinPartitions(_PERIOD, _SHARD, primary, *(sort or []))
-    dealt.drop("_large", "_large_period", "_large_shard", "_salt").write.option("maxRecordsPerFile", rows_per_file).partitionBy(_PERIOD, _SHARD).parquet(path)
+    large = keyed.groupBy(PERIOD, _SHARD).count().where(F.col("count") > rows_per_file)
+    large = large.select(F.col(PERIOD).alias("_large_period"), F.col(_SHARD).alias("_large_shard"), F.ceil(F.col("count") / rows_per_file).alias("_large"))
+    keyed = keyed.join(large, F.col(PERIOD).eqNullSafe(F.col("_large_period")) & F.col(_SHARD).eqNullSafe(F.col("_large_shard")), "left")
+    keyed = keyed.withColumn("_salt", F.when(F.col("_large").isNotNull(), F.pmod(hashed, F.col("_large"))).otherwise(F.lit(0)))
+    dealt = keyed.repartition(PERIOD, _SHARD, "_salt").sortWithinPartitions(PERIOD, _SHARD, primary, *(sort or []))
+    dealt.drop("_large", "_large_period", "_large_shard", "_salt").write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(PERIOD, _SHARD).parquet(path)
 
 
 def build_catalog(spark: SparkSession, data: DataFrame, primary: str, shard: str | None = None, storage_id: str | None = None) -> DataFrame:
