@@ -64,7 +64,7 @@ BUCKET_TOKENS, PART_BUCKETS, SLICE_BYTES = 2_000_000, 4, 16 << 20
 #: A slice counts words that it holds this often, so a word's count is short by less for each slice.
 FREQUENT = 8
 #: Frequent words that have a number of their own everywhere, so that their hashes need not be sent. Others have one in each table.
-NUMBERED = 1 << 18
+NUMBERED = 1 << 19
 #: Customers of an entry up to which its tables are drawn from Stirling numbers by recursion.
 EXACT = 1000
 #: Discounts before the first round has counted.
@@ -511,7 +511,18 @@ def _train(deal: Dealing, schema: pa.Schema):
             context = contexts[context]
         state = Bucket.of_entries(words_, context // k, context % k, sizes, w, n, deal)
         yield none | {"key": bucket, "kind": "state", "data": state.saved()}
-        yield from state.asks(none, bucket, True)
+
+    return run
+
+
+def _ask(deal: Dealing, schema: pa.Schema):
+    """What buckets (key, data) ask before anything is seated."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = dict.fromkeys(x.name for x in schema)
+        for (bucket,), own in groups(batches, 1):
+            yield from tables(Bucket.load(own[0][0], deal).asks(none, bucket, True), schema, 16)
 
     return run
 
@@ -729,8 +740,7 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
         held = first.where(F.col("kind").isin(kinds)).select(columns)
         return held.groupBy("key").cogroup(functools.reduce(DataFrame.unionByName, more).groupBy("key"))
 
-    start, m0 = answered(first.where("kind = 'ask'"), None, 0)
-    scratch.drop_kind(first, "ask")
+    start, m0 = answered(first.where("kind = 'state'").select("key", "data").mapInArrow(_ask(deal, arrow), kept), None, 0)
     one, m1 = answered(with_entries(["state"], of(start, "answer")).applyInArrow(_sweep(deal, m0, BURN, 1, arrow), kept), m0, 1)
     scratch.drop(start)
     two, m2 = answered(with_entries(["state"], of(one, "tables"), of(one, "answer")).applyInArrow(_sweep(deal, m1, BETWEEN, 2, arrow), kept), m1, 2)
