@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import trie
@@ -203,7 +203,7 @@ def _nodes(num: int, den: int, schema: pa.Schema):
 
 
 def _blocks(num: int, den: int, schema: pa.Schema):
-    """Rows part..., node, size, keys: a self join of each part. Gives each node's class and links between classes."""
+    """Rows part..., node, size, keys: a self join of each part. Gives each node's class, by its first node, and whether it is among the class's first LEADERS."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,11 +213,12 @@ def _blocks(num: int, den: int, schema: pa.Schema):
         own = sorted(own)
         names = [r[0] for r in own]
         comp, _ = trie.self_links([np.frombuffer(r[2], "<u8") for r in own], [r[1] for r in own], num, den)
-        least: dict[int, bytes] = {}
+        classes: dict[int, list[bytes]] = {}
         for c, n in zip(comp.tolist(), names, strict=True):
-            least.setdefault(c, n)
-        for c, n in zip(comp.tolist(), names, strict=True):
-            yield {"cluster": part[0], "block": part[1], "node": n, "root": least[c]}
+            classes.setdefault(c, []).append(n)
+        for own in classes.values():
+            for k, n in enumerate(own):
+                yield {"cluster": part[0], "block": part[1], "node": n, "root": own[0], "leads": k < LEADERS}
 
     return run
 
@@ -266,7 +267,7 @@ def links_of(nodes: DataFrame, num: int = NUM, den: int = DEN, block: int = BLOC
     sizes = in_cluster.groupBy("cluster").agg(F.count("*").alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / block).cast("int"))
     placed = in_cluster.join(sizes.drop("sets"), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sets = scratch.save(nodes.select("node", "size", "keys", "prefix").join(placed, "node"))
-    part = "cluster binary, block int, node binary, root binary"
+    part = "cluster binary, block int, node binary, root binary, leads boolean"
     own = _by(sets.select("cluster", "block", "node", "size", "keys"), "cluster", "block")
     first = scratch.save(own.mapInArrow(_blocks(num, den, _arrow(part, spark)), part))
     links = first.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
@@ -274,9 +275,7 @@ def links_of(nodes: DataFrame, num: int = NUM, den: int = DEN, block: int = BLOC
     if cut.isEmpty():
         return links
     # Components of several blocks: some of each class meet, by blocks of their own until no more meet in one.
-    classes = first.join(sizes.where("blocks > 1").select("cluster"), "cluster", "left_semi")
-    place = F.row_number().over(Window.partitionBy("cluster", "block", "root").orderBy("node"))
-    leading = classes.withColumn("place", place).where(F.col("place") <= LEADERS).select("cluster", "node")
+    leading = first.where("leads").select("cluster", "node").join(sizes.where("blocks > 1").select("cluster"), "cluster")
     counted = leading.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     leading = leading.join(counted, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
     leaders = _by(cut.select("node", "size", "keys").join(leading, "node").select("cluster", "block", "node", "size", "keys"), "cluster", "block")
