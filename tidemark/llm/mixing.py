@@ -6,7 +6,8 @@ source's size, and what is over goes to the others by weight until none is above
 
 Targets become integer quotas of equal blocks of `block_words` words, by highest quotients: first for the sources, then
 within a source for its shards. A shard is a slice of the seeded document hash; a source has shards in proportion to
-its size, so a hot source is spread over many. Within a shard, documents stand in seeded order and are cut into blocks
+its size, so a hot source is spread over many, and there are more of them the larger the input is. Sources, of which there
+may be as many as hosts, are ordered in ranges, a task each; only sums of ranges are lined up in one. Within a shard, documents stand in seeded order and are cut into blocks
 along that line; the quota takes whole passes over the shard and then its first blocks. So at most one document of a
 shard is taken in part, and no document more than `max_repeat` times.
 
@@ -18,7 +19,7 @@ can't clash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import Scratch
@@ -29,42 +30,66 @@ SHARE = 1.5
 MAX_REPEAT = 2
 #: Words in a block. Quotas are whole blocks, so a source misses its target by some blocks at most.
 BLOCK_WORDS = 32
-#: Shards of the whole corpus; a source has its part of them, one at least.
+#: Shards of the whole corpus, or one for so many bytes of text if those are more; a source has its part of them, one at least.
 SHARDS = 1024
+SHARD_BYTES = 8 << 20
 #: Blocks that a shard has at least: the last block of a shard may be short, so many small shards would miss the target.
 SHARD_BLOCKS = 256
-#: Slots of the document hash, from which shards are made.
+#: Slots of the document hash, from which shards are made: a power of two, this for SHARDS and more for more.
 SLOTS = 4096
 SEED = "tidemark-mix-1"
 
 
 def _apportion(units: DataFrame, group: list[str]) -> DataFrame:
-    """Sainte-Lague seats within each group. units: group..., unit, share (seats as a fraction), house (the group's seats).
+    """Sainte-Lague seats within each group, or of all units. units: group..., unit, share (seats as a fraction), house (the group's seats).
 
     The divisor that makes `share` sum to the house gives nearly all seats by rounding; the few that are then missing
-    or too many go by quotients, share / (seats + 1/2): the highest not yet awarded, or the lowest awarded.
+    or too many go by quotients, share / (seats + 1/2): the highest not yet awarded, or the lowest awarded. The divisor at
+    which none is missing differs by n / (2 house) at most, n being the units; so a unit gains or loses no more than
+    share n / (2 house) + 1, and no more of its quotients need be looked at.
     """
-    by_group = Window.partitionBy(*group)
     first = units.withColumn("seats", F.floor(F.col("share") + 0.5).cast("long"))
-    first = first.withColumn("short", F.col("house") - F.sum("seats").over(by_group))
-    steps = F.explode(F.sequence(F.lit(0).cast("long"), F.abs("short") - 1))
+    if group:
+        by_group = Window.partitionBy(*group)
+        first = first.withColumn("short", F.col("house") - F.sum("seats").over(by_group)).withColumn("n", F.count("*").over(by_group))
+    else:
+        seated, n = first.agg(F.coalesce(F.sum("seats"), F.lit(0)), F.count("*")).first()
+        first = first.withColumn("short", F.col("house") - F.lit(seated)).withColumn("n", F.lit(n))
+    most = F.least(F.abs("short"), F.ceil(F.col("share") * (F.col("n") + 1) / (2 * F.greatest("house", F.lit(1)))) + 2).cast("long")
+    steps = F.explode(F.sequence(F.lit(0).cast("long"), most - 1))
     open_ = first.where("short <> 0").select(*group, "unit", "share", "seats", "short", steps.alias("step"))
     quotient = F.when(F.col("short") > 0, F.col("share") / (F.col("seats") + F.col("step") + 0.5)).otherwise(
         -F.col("share") / (F.col("seats") - F.col("step") - 0.5)
     )
-    ranked = (
-        open_.where("short > 0 or step < seats")
-        .withColumn("quotient", quotient)
-        .withColumn("place", F.row_number().over(by_group.orderBy(F.desc("quotient"), F.asc("unit"), F.asc("step"))))
-    )
-    moved = ranked.where("place <= abs(short)").groupBy(*group, "unit").agg(F.sum(F.signum("short")).cast("long").alias("moved"))
+    ranked = open_.where("short > 0 or step < seats").withColumn("quotient", quotient)
+    order = [F.desc("quotient"), F.asc("unit"), F.asc("step")]
+    if group:
+        ranked = ranked.withColumn("place", F.row_number().over(by_group.orderBy(*order))).where("place <= abs(short)")
+    else:
+        short = first.agg(F.coalesce(F.max(F.abs("short")), F.lit(0))).first()[0]
+        ranked = ranked.orderBy(*order).limit(short)
+    moved = ranked.groupBy(*group, "unit").agg(F.sum(F.signum("short")).cast("long").alias("moved"))
     return first.join(moved, [*group, "unit"], "left").select(
         *group, "unit", (F.col("seats") + F.coalesce("moved", F.lit(0))).alias("seats")
     )
 
 
-def sized(docs: DataFrame, keep: list[str], doc_id: str, text: str, source: str) -> DataFrame:
-    """Each document with its size, its source as a key that is never null, and its seeded place."""
+def _before(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds sums over all rows before each in the order, which no two rows share.
+
+    Ranges of the order are a task each; their sums, a row each, are lined up in one.
+    """
+    dealt = Scratch(rows.sparkSession, "mix").save(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    ranges = dealt.groupBy("range").agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_earlier") for name in sums])
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    here = {name: F.coalesce(F.sum(c).over(within), F.lit(0)) for name, c in sums.items()}
+    return dealt.join(ranges, "range").select(*rows.columns, *[(c + F.col(f"{name}_earlier")).alias(name) for name, c in here.items()])
+
+
+def sized(docs: DataFrame, keep: list[str], doc_id: str, text: str, source: str, slots: int = SLOTS) -> DataFrame:
+    """Each document with its size, its source as a key that is never null, its seeded place, and its slot of `slots` along that."""
     place = F.md5(
         F.concat(
             F.lit(f"{SEED}|"),
@@ -79,44 +104,41 @@ def sized(docs: DataFrame, keep: list[str], doc_id: str, text: str, source: str)
         F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("null")).alias("source_key"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         place.alias("place"),
-    ).withColumn("slot", F.conv(F.substring("place", 1, 3), 16, 10).cast("long"))
+    ).withColumn("slot", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") / (2**32 // slots)).cast("long"))
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """sources: source, source_key, source_size. Adds target, the words a source is to give.
-
-    The table has a row for each source, so one task can order it.
-    """
-    everything = Window.partitionBy()
-    turn = (F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1) % len(weights)
-    ranked = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn + 1))
-    before = Window.orderBy(F.col("source_size") / F.col("weight"), F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.lit(share) * F.sum("source_size").over(everything) - max_repeat * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / (
-        F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    )
+    """sources: source, source_key, source_size. Adds target, the words a source is to give."""
+    scratch = Scratch(sources.sparkSession, "mix")
+    ranked = _before(sources, [F.asc_nulls_last("source")], {"turn": F.lit(1)})
+    ranked = ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("turn") % len(weights) + 1).cast("int"))).drop("turn")
+    in_order = [(F.col("source_size") / F.col("weight")).asc(), F.asc_nulls_last("source")]
+    ranked = scratch.save(_before(ranked, in_order, {"size_before": F.col("source_size"), "weight_before": F.col("weight")}))
+    size, weight = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    level = (F.lit(share) * F.lit(size) - max_repeat * F.col("size_before")) / (F.lit(weight) - F.col("weight_before"))
     # For any set of capped sources the level is at least what the rest would need: the largest such need is the level.
-    ranked = ranked.withColumn("need", level).withColumn("level", F.max("need").over(everything))
+    level = F.lit(ranked.agg(F.coalesce(F.max(level), F.lit(0.0))).first()[0])
     full = F.col("source_size") * F.lit(float(max_repeat))
-    return ranked.withColumn("full", full <= F.col("level") * F.col("weight")).select(
-        "source_key", "source_size", "full", F.when(F.col("full"), full).otherwise(F.col("level") * F.col("weight")).alias("target")
+    return ranked.withColumn("full", full <= level * F.col("weight")).select(
+        "source_key", "source_size", "full", F.when(F.col("full"), full).otherwise(level * F.col("weight")).alias("target")
     )
 
 
-def quotas(slots: DataFrame, *, block_words: int, shards: int, weights, share: float, max_repeat: int) -> DataFrame:
-    """slots: source, source_key, slot, size. Returns source_key, shard, shards, source_size, target, blocks, quota."""
+def quotas(slots: DataFrame, *, block_words: int, shards: int, n_slots: int = SLOTS, weights, share: float, max_repeat: int) -> DataFrame:
+    """slots: source, source_key, slot (of n_slots), size. Returns source_key, shard, shards, source_size, target, blocks, quota."""
     spark = slots.sparkSession
     sources = slots.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"))
     goals = targets(sources, weights, share, max_repeat)
-    total = Window.partitionBy()
-    in_proportion = F.ceil(F.col("source_size") * shards / F.greatest(F.lit(1), F.sum("source_size").over(total)))
+    every = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    in_proportion = F.ceil(F.col("source_size") * shards / F.lit(max(1, every)))
     n_shards = F.greatest(F.lit(1), F.least(F.lit(shards), in_proportion, F.ceil(F.col("source_size") / (SHARD_BLOCKS * block_words))))
     goals = Scratch(spark, "mix").save(goals.withColumn("shards", n_shards.cast("long")))
-    part = goals.where("not full").withColumn("share", F.col("target") / block_words)
-    part = part.select(F.lit(0).alias("all"), F.col("source_key").alias("unit"), "share", F.floor(F.sum("share").over(total) + 0.5).cast("long").alias("house"))
-    seats = _apportion(part, ["all"]).select(F.col("unit").alias("source_key"), F.col("seats").alias("house"))
+    part = goals.where("not full").select(F.col("source_key").alias("unit"), (F.col("target") / block_words).alias("share"))
+    house = part.agg(F.floor(F.coalesce(F.sum("share"), F.lit(0.0)) + 0.5).cast("long")).first()[0]
+    seats = _apportion(part.withColumn("house", F.lit(house)), []).select(F.col("unit").alias("source_key"), F.col("seats").alias("house"))
     cut = (
         slots.join(goals, "source_key")
-        .withColumn("shard", F.floor(F.col("slot") * F.col("shards") / SLOTS).cast("long"))
+        .withColumn("shard", F.floor(F.col("slot") * F.col("shards") / n_slots).cast("long"))
         .groupBy("source_key", "shard", "shards", "source_size", "target", "full")
         .agg(F.sum("size").alias("shard_size"))
         .withColumn("blocks", F.ceil(F.col("shard_size") / block_words).cast("long"))
@@ -140,22 +162,28 @@ def mix(
     text: str = "text",
     source: str = "source",
     block_words: int = BLOCK_WORDS,
-    shards: int = SHARDS,
+    shards: int | None = None,
     weights=WEIGHTS,
     share: float = SHARE,
     max_repeat: int = MAX_REPEAT,
 ) -> DataFrame:
     """Returns row (struct of the columns in keep, all by default), size, source_size, target, taken, passes, part.
 
-    taken = passes * size + part: `passes` whole copies, then the first `part` words of one more.
+    taken = passes * size + part: `passes` whole copies, then the first `part` words of one more. shards: SHARDS, or one for
+    each SHARD_BYTES of text if those are more, unless given.
     """
     spark: SparkSession = docs.sparkSession
-    own = sized(docs, keep or docs.columns, doc_id, text, source)
+    if shards is None:
+        shards = max(SHARDS, -(-docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0] // SHARD_BYTES))
+    n_slots = SLOTS
+    while n_slots * SHARDS < SLOTS * shards:
+        n_slots *= 2
+    own = sized(docs, keep or docs.columns, doc_id, text, source, n_slots)
     slots = Scratch(spark, "mix").save(own.groupBy("source", "source_key", "slot").agg(F.sum("size").alias("size")))
-    plan = Scratch(spark, "mix").save(quotas(slots, block_words=block_words, shards=shards, weights=weights, share=share, max_repeat=max_repeat))
+    plan = Scratch(spark, "mix").save(quotas(slots, block_words=block_words, shards=shards, n_slots=n_slots, weights=weights, share=share, max_repeat=max_repeat))
     # Few rows: one for each shard. Whether that is small enough to broadcast, the engine decides from the file's size.
     per_source = plan.select("source_key", "shards").distinct()
-    placed = own.join(per_source, "source_key").withColumn("shard", F.floor(F.col("slot") * F.col("shards") / SLOTS).cast("long"))
+    placed = own.join(per_source, "source_key").withColumn("shard", F.floor(F.col("slot") * F.col("shards") / n_slots).cast("long"))
     placed = placed.drop("shards").join(plan, ["source_key", "shard"])
     line = Window.partitionBy("source_key", "shard").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum("size").over(line)
@@ -194,6 +222,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+#: For texts of SHARDS * SHARD_BYTES at most, where the number of shards is SHARDS.
 SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
