@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -594,6 +595,91 @@ def test_language_of_pages(spark):
     assert {r.lang for r in language.identify_pages(frame, nothing).collect()} == {"und"}
 
 
+def identified_by_hand(documents, pages):
+    """The whole fusion in plain Python, over all labelled documents."""
+    grams: dict = {}
+    for lang, text in documents:
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            padded = f" {word} "
+            for i in range(1, len(padded)):
+                g = padded[max(0, i - 2) : i + 1]
+                grams.setdefault(lang, Counter())[g] += 1
+    langs = [*sorted(grams), "und"]
+    before = {k: Counter() for k in grams}
+    every: set = set()
+    for k, own in grams.items():
+        for g, n in own.items():
+            before[k][g[:-1]] += n
+            every.add(g)
+    known = {g[:-1] for g in every}
+
+    def rate(k, g):
+        if k == "und" or g not in every and g[:-1] not in known:
+            return -math.log(64)
+        return math.log(((grams[k][g] if g in every else 0) + 0.05) / (before[k][g[:-1]] + 0.05 * 64))
+
+    def posterior(text):
+        found = re.findall(r"[^\W\d_]+", text.lower())
+        if not found:
+            return [0.0] * (len(langs) - 1) + [1.0]
+        log = [sum(n * rate(k, f" {w} "[max(0, i - 2) : i + 1]) for w, n in Counter(found).items() for i in range(1, len(w) + 2)) for k in langs]
+        p = [math.exp(0.25 * (x - max(log))) for x in log]
+        return [x / sum(p) for x in p]
+
+    rows = []
+    for page_id, url, page in pages:
+        host, domain, suffix = language.address(url)
+        rows.append((page_id, host, (suffix,), (suffix, domain), (host,), language.declared(page or ""), posterior(language.visible(page or ""))))
+    world = [sum(r[-1][k] for r in rows) for k in range(len(langs))]
+    sums: dict = {}
+    for level in (2, 3, 4):
+        for r in rows:
+            own = sums.setdefault((level, r[level]), [0.0] * len(langs))
+            for k, p in enumerate(r[-1]):
+                own[k] += p
+    said = {d: [sum(r[-1][k] for r in rows if r[5] == d) for k in range(len(langs))] for d in {r[5] for r in rows} if d in langs}
+    out = {}
+    for r in rows:
+        prior = [(w + 1) / (sum(world) + len(langs)) for w in world]
+        for level in (2, 3, 4):
+            rest = [max(0.0, s - p) for s, p in zip(sums[level, r[level]], r[-1], strict=True)]
+            prior = [(x + 5.0 * p) / (sum(rest) + 5.0) for x, p in zip(rest, prior, strict=True)]
+        markup = [(said[r[5]][k] + (4.0 if langs[k] == r[5] else 0.5)) / (world[k] + 4.0 + 0.5 * len(said)) for k in range(len(langs))] if r[5] in said else [1.0] * len(langs)
+        text = [1.0] * len(langs) if r[-1][-1] >= 1 else [max(1e-12, p) for p in r[-1]]
+        evidence = [a * b * c for a, b, c in zip(prior, markup, text, strict=True)]
+        best = max(range(len(langs)), key=lambda k: (evidence[k], -k))
+        out[r[0]] = langs[best], evidence[best] / sum(evidence)
+    return out
+
+
+def test_language_of_pages_by_hand(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html")
+    rows = [tuple(r) for r in pages.collect()] + [(9001, "http://x.example.de/a", "<p>1 2 3"), (9002, None, "<html lang='fr'><p>42"), (9003, "http://x.example.de/b", None), (9004, "", "<p>und der die das")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in language.identify_pages(frame, language.fit(documents)).collect()}
+    want = identified_by_hand([(r.lang, r.text) for r in documents.where("lang is not null").collect()], rows)
+    assert {p: r.lang for p, r in got.items()} == {p: lang for p, (lang, _) in want.items()}
+    assert all(r.confidence == pytest.approx(want[p][1], rel=1e-6) for p, r in got.items())
+
+
+def test_language_of_pages_by_their_common_words(spark):
+    """Truth that is no input: which language's commonest short words a page holds most of."""
+    common = {"en": "the of and to is that was for with are this from", "de": "der die und das nicht ist von mit auf ein den sich", "fr": "le les des et est dans une que pour qui sur pas", "es": "el los las del que una por con para como pero sus"}
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = language.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert set(model["langs"]) - {"und"} <= set(common)
+    got = {r.page_id: r.lang for r in language.identify_pages(pages, model).collect()}
+    right = total = 0
+    for r in pages.collect():
+        n = Counter(language.visible(r.html or "").lower().split())
+        score = sorted(((sum(n[w] for w in own.split()), lang) for lang, own in common.items()), reverse=True)
+        if score[0][0] >= 5 and score[0][0] >= 3 * score[1][0]:
+            total += 1
+            right += got[r.page_id] == score[0][1]
+    assert total > 100 and right >= 0.98 * total
+
+
 def test_host_prior_decides_pages_without_letters(spark):
     model = language.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     german = "<p>der die und das nicht ist von mit auf " * 30

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,43 @@ def test_apportionment_by_quotients(spark):
     assert got == seats
 
 
+def test_apportionment_of_many_units_is_by_highest_quotients(spark):
+    """Against awarding one seat at a time, with units far apart in size."""
+    import heapq
+
+    rng = random.Random(5)
+    for n, house in ((7, 40), (200, 90), (60, 5000)):
+        weight = [rng.paretovariate(0.6) for _ in range(n)]
+        share = [w / sum(weight) * house for w in weight]
+        seats, heap = [0] * n, [(-x / 0.5, k) for k, x in enumerate(share)]
+        heapq.heapify(heap)
+        for _ in range(house):
+            _, k = heapq.heappop(heap)
+            seats[k] += 1
+            heapq.heappush(heap, (-share[k] / (seats[k] + 0.5), k))
+        units = spark.createDataFrame([(k, x, house) for k, x in enumerate(share)], "unit long, share double, house long")
+        for group in ([], ["g"]):
+            got = mixing._apportion(units.withColumn("g", F.lit(1)) if group else units, group).collect()
+            assert {r.unit: r.seats for r in got} == dict(enumerate(seats))
+
+
+def test_mix_with_more_shards_and_many_sources(spark):
+    rng = random.Random(6)
+    rows = [(n, " ".join("w" * rng.randint(1, 5) for _ in range(rng.randint(0, 60))), rng.choice(["hot", f"host{rng.randrange(300)}", None])) for n in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, shards=3000, keep=["doc_id", "source"]).collect()
+    assert len(got) == 3000 and all(0 <= r.taken <= 2 * r["size"] for r in got)
+    size = {d: len((t or "").split()) for d, t, _ in rows}
+    assert all(r["size"] == size[r.row.doc_id] for r in got)
+    taken, target = {}, {}
+    for r in got:
+        taken[r.row.source] = taken.get(r.row.source, 0) + r.taken
+        target[r.row.source] = r.target
+    assert sum(target.values()) == pytest.approx(1.5 * sum(size.values()), rel=1e-6)
+    assert abs(sum(taken.values()) - sum(target.values())) < 0.02 * sum(target.values())
+    assert abs(taken["hot"] - target["hot"]) <= 0.02 * target["hot"] + 64
+
+
 def test_mixed_rows_keep_what_is_taken(spark):
     docs = odd_documents(spark)
     mixture = mixing.mix(docs)
@@ -137,13 +175,31 @@ def test_top_k_beyond_double_precision(spark):
     assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, (1 << 63) - 1), (2, (1 << 63) - 1), (3, -(1 << 63))]
 
 
+def test_top_k_in_many_balls(spark):
+    """Vectors in clusters and one of large components, in small blocks: against all products in Python's integers."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([c + rng.normal(0, 0.05, (90, 6)) for c in 3 * rng.standard_normal((9, 6))])
+    x[100] *= 1e13
+    rows = [(n, [float(v) for v in own]) for n, own in enumerate(x)] + [(5000 + n, [float(n)]) for n in range(70)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in sorted(topk.top_k(table, F.col("vec_id") % 10 == 0, k=5, block=40, most_centres=12).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    whole = {n: [int(np.floor(1024.0 * v)) for v in own] for n, own in rows}
+    for q in (n for n in whole if n % 10 == 0):
+        score = {n: max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(whole[q], own)))) for n, own in whole.items() if n != q and len(own) == len(whole[q])}
+        assert got[q] == sorted(score.items(), key=lambda e: (-e[1], e[0]))[:5], q
+
+
 def test_top_k_prunes_and_is_exact(spark):
     import numpy as np
 
     rng = np.random.default_rng(5)
     x = np.floor(1024 * np.concatenate([c + rng.normal(0, 0.02, (400, 8)) for c in rng.standard_normal((12, 8))]))
     q = x[::37]
-    places, scores = topk.search(q, np.arange(0, len(x), 37), x, np.arange(len(x)), 10)
+    places, scores = topk.search(q, np.arange(0, len(x), 37), np.full(len(q), topk.LEAST), x, np.arange(len(x)), 10)
     for n, row in enumerate(q):
         s = x @ row
         s[n * 37] = -np.inf

@@ -105,5 +105,6 @@ def test_odd_rows_pass_through(spark):
         assert none.columns == docs.columns and none.collect() == [], name
     kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, "").collect()
     assert sorted((str(r.doc_id), (r.text or "")[:5]) for r in kept) == [("1", "a b c"), ("5", ""), ("6", "the a"), ("7", "the a"), ("8", "1 2 3"), ("None", "")]
+    assert {(r.key, r.size) for r in kept} == {("clash", 2)}
     assert corpus_pipeline.pack_sequences(spark, empty, "").collect() == []
     assert len(corpus_pipeline.pack_sequences(spark, docs, "").collect()) >= docs.count()

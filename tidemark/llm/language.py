@@ -14,7 +14,7 @@ Labelled documents are a bounded sample (SAMPLE, those of the smallest id hash);
 Cases: null and empty texts, and texts without letters, have no text evidence: `und`, unless markup declares a language
 or, for pages, the address tells; null url or html is empty; repeated rows are rows of their own; without labelled
 documents everything is `und`; empty tables give empty results. Rows pass through in the struct `row`, so that no name
-can clash.
+can clash. Of languages with equal evidence the first by name wins, no language last.
 """
 
 from __future__ import annotations
@@ -53,8 +53,12 @@ _DECLARED = re.compile(r"(?is)<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?\s*([a-z]
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
     for batch in batches:
+        # A word's trigrams are counted once for a batch, however many documents hold it.
+        words: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            for word, n in Counter(_WORD.findall((text or "").lower())).items():
+            words.setdefault(lang, Counter()).update(_WORD.findall((text or "").lower()))
+        for lang, own in words.items():
+            for word, n in own.items():
                 padded = f" {word} "
                 for i in range(len(padded) - 1):
                     seen[lang, padded[max(0, i - 1) : i + 2]] += n
@@ -198,31 +202,29 @@ def identify_pages(pages: DataFrame, model: dict, *, page_id: str = "page_id", u
     own = own.withColumn("said", F.coalesce(said, F.lit("")))
     world = own.agg(*[F.coalesce(F.sum(F.element_at("text", k + 1)), F.lit(0.0)) for k in range(len(langs))]).first()
     total = sum(world)
-    base = [(w + 1) / (total + len(langs)) for w in world]
-    # A row for each declared language: at most as many as the model has, and one.
-    table = {r[0]: r[1] for r in shares(["said"], "by_said").collect()}
-    agree = {d: [(table[d][k] + (4.0 if d == langs[k] else 0.5)) / (world[k] + 4.0 + 0.5 * len(table)) for k in range(len(langs))] for d in table if d}
+    numbers = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    # A row for each declared language: at most as many as the model has, and one. Nothing declared tells nothing.
+    declaring = shares(["said"], "by_said")
+    kinds = declaring.where("said <> ''").count()
+    names = F.array(*map(F.lit, langs))
+    agree = F.transform("by_said", lambda x, k: (x + F.when(F.get(names, k) == F.col("said"), 4.0).otherwise(0.5)) / (F.get(numbers(world), k) + 4.0 + 0.5 * kinds))
+    declaring = declaring.select("said", F.when(F.col("said") == "", numbers([1.0] * len(langs))).otherwise(agree).alias("markup"))
+    own = own.join(F.broadcast(declaring), "said")
     for by, name in ((["suffix"], "of_suffix"), (["suffix", "domain"], "of_domain"), (["host"], "of_host")):
         own = own.join(shares(by, name), by, "left")
-    prior = [F.lit(x) for x in base]
+    prior = numbers((w + 1) / (total + len(langs)) for w in world)
+    times = lambda a, b: F.zip_with(a, b, lambda x, y: x * y)
+    sums = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     for name in ("of_suffix", "of_domain", "of_host"):
-        rest = [F.greatest(F.lit(0.0), F.element_at(name, k + 1) - F.element_at("text", k + 1)) for k in range(len(langs))]
-        n = sum(rest[1:], rest[0])
-        own = own.withColumn(name + "_prior", F.array(*[(r + F.lit(PRIOR) * p) / (n + PRIOR) for r, p in zip(rest, prior, strict=True)]))
-        prior = [F.element_at(name + "_prior", k + 1) for k in range(len(langs))]
+        own = own.withColumn("rest", F.zip_with(name, "text", lambda s, t: F.greatest(F.lit(0.0), s - t))).withColumn("n", sums("rest"))
+        own = own.withColumn("prior", F.zip_with("rest", prior, lambda r, p: (r + F.lit(PRIOR) * p) / (F.col("n") + PRIOR)))
+        prior = F.col("prior")
+    # A page without letters says nothing by its text: what else is known decides.
     no_text = F.element_at("text", len(langs)) >= 1.0
-    evidence = []
-    for k in range(len(langs)):
-        markup = F.lit(1.0)
-        for d, rates in agree.items():
-            markup = F.when(F.col("said") == d, F.lit(rates[k])).otherwise(markup)
-        # A page without letters says nothing by its text: what else is known decides.
-        by_text = F.when(no_text, F.lit(1.0)).otherwise(F.greatest(F.lit(1e-12), F.element_at("text", k + 1)))
-        evidence.append(prior[k] * markup * by_text)
-    own = own.withColumn("evidence", F.array(*evidence)).withColumn("most", F.array_max("evidence"))
-    name = lambda column, most: F.element_at(F.array(*map(F.lit, langs)), F.array_position(column, most).cast("int"))
-    sums = F.aggregate("evidence", F.lit(0.0), lambda a, x: a + x)
-    return own.select("page_id", "host", "declared", name(F.col("text"), F.array_max("text")).alias("text_lang"), name(F.col("evidence"), F.col("most")).alias("lang"), (F.col("most") / sums).alias("confidence"))
+    by_text = F.when(no_text, numbers([1.0] * len(langs))).otherwise(F.transform("text", lambda t: F.greatest(F.lit(1e-12), t)))
+    own = own.withColumn("evidence", times(times(prior, F.col("markup")), by_text)).withColumn("most", F.array_max("evidence"))
+    name = lambda column, most: F.element_at(names, F.array_position(column, most).cast("int"))
+    return own.select("page_id", "host", "declared", name(F.col("text"), F.array_max("text")).alias("text_lang"), name(F.col("evidence"), F.col("most")).alias("lang"), (F.col("most") / sums("evidence")).alias("confidence"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
