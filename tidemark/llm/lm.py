@@ -23,7 +23,7 @@ with customers c and tables t. Only c_uvw is counted in the texts; all tables ar
    numbers, x a gamma variate of shape s / d + (the restaurant's tables) and G the parent's masses, drawn from their
    posterior. BURN sweeps come before the first sample, BETWEEN before the next. Discounts are estimated from counts of
    counts over all buckets. Random numbers belong to words, pairs and triples, so nothing depends on how data are dealt.
-5. Buckets answer each slice the probabilities of its entries (the mean of the samples; log10 in steps of 2**-18) and the
+5. Buckets answer each slice the probabilities of its entries (the mean of the samples; log10 in steps of 2**-14) and the
    words' counts, and the slice sums them up by document. What is sent grows with the tokens, not with documents by buckets.
 
 Above EXACT customers the Stirling numbers follow their scaling law, S(c, t) ~ d^(1-t) / Gamma(t) h(t / c^d), with h from the
@@ -44,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,17 +60,17 @@ STRENGTH = 1.0
 END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
 #: Tokens of a bucket, about; buckets whose words make a part; bytes of text of a slice. A task has one in memory at a time.
-BUCKET_TOKENS, PART_BUCKETS, SLICE_BYTES = 2_000_000, 4, 16 << 20
+BUCKET_TOKENS, PART_BUCKETS, SLICE_BYTES = 2_000_000, 4, 12 << 20
 #: A slice counts words that it holds this often, so a word's count is short by less for each slice.
 FREQUENT = 8
 #: Frequent words that have a number of their own everywhere, so that their hashes need not be sent. Others have one in each table.
-NUMBERED = 1 << 19
+NUMBERED = 1 << 18
 #: Customers of an entry up to which its tables are drawn from Stirling numbers by recursion.
 EXACT = 1000
 #: Discounts before the first round has counted.
 FIRST_DISCOUNT = 0.5
-#: Steps of a log10.
-FINE = 1 << 18
+#: Steps of a log10: a token's is off by 3e-5 at most, and by nothing on average.
+FINE = 1 << 14
 
 _SENT = "key int, slice string, {ids}, held binary, data binary"
 #: key: a bucket, or a part of the words for kind ask. source: where an ask or answer comes from.
@@ -201,6 +201,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([None, *word.view(np.int64).tolist()], pa.int64()), pa.array([len(own), *n.tolist()], pa.int64())], ["word", "n"])
 
 
+def _rough(masses: np.ndarray) -> np.ndarray:
+    """Masses as the bytes of floats of 12 binary digits, which is finer than a random draw need be."""
+    return (masses.astype("<f4").view("<u4") + np.uint32(0x400)) & np.uint32(0xFFFFF800)
+
+
 def _share(hashes: np.ndarray, n: int) -> np.ndarray:
     """Numbers from 0 to n - 1 that rise with the hash."""
     return (((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
@@ -210,7 +215,7 @@ class Dealing:
     """Buckets, parts, words that are numbered (`top`, at most NUMBERED), and words that are divided (`hot`, sorted, with the number of pieces of each)."""
 
     def __init__(self, tokens: int, top: np.ndarray, often: dict[int, int], bucket_tokens: int):
-        self.top, self.top_order = top, np.argsort(top)
+        self.top = top
         self.buckets = max(1, -(-tokens // bucket_tokens))
         self.parts = -(-self.buckets // PART_BUCKETS)
         self.hot = np.array(sorted(often), dtype=np.uint64)
@@ -218,11 +223,12 @@ class Dealing:
 
     def numbers(self, word: np.ndarray) -> np.ndarray:
         """Of sorted hashes: the number of numbered words, and the numbers after those, in order, of others."""
-        ordered = self.top[self.top_order]
+        order = np.argsort(self.top)
+        ordered = self.top[order]
         at = np.minimum(np.searchsorted(ordered, word), len(ordered) - 1) if len(ordered) else np.zeros(len(word), dtype=np.int64)
         known = ordered[at] == word if len(ordered) else np.zeros(len(word), dtype=bool)
         out = len(self.top) + np.cumsum(~known) - 1
-        out[known] = self.top_order[at[known]]
+        out[known] = order[at[known]]
         return out
 
     def place(self, word: np.ndarray) -> np.ndarray:
@@ -245,7 +251,7 @@ class Dealing:
         return out
 
 
-def _send(deal: Dealing, schema: pa.Schema):
+def _send(shared: Broadcast, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -253,6 +259,7 @@ def _send(deal: Dealing, schema: pa.Schema):
             yield from tables(_of_slice(f"{task}-{number}", batch), schema, 64)
 
     def _of_slice(name: str, batch: pa.RecordBatch) -> Iterator[dict]:
+        deal = shared.value
         none = dict.fromkeys(x.name for x in schema)
         ids, held = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=bool)
         own, lengths = _tokens(batch.column(2))
@@ -464,14 +471,14 @@ class Bucket:
                 sums = None
 
 
-def _train(deal: Dealing, schema: pa.Schema):
+def _train(shared: Broadcast, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), own in groups(batches, 1):
             yield from tables(_of_bucket(bucket, own), schema, 16)
 
     def _of_bucket(bucket: int, own: list[tuple]) -> Iterator[dict]:
-        none = dict.fromkeys(x.name for x in schema)
+        deal, none = shared.value, dict.fromkeys(x.name for x in schema)
         names, parts = [], []
         while own:
             name, ids, held, data = own.pop()
@@ -515,19 +522,19 @@ def _train(deal: Dealing, schema: pa.Schema):
     return run
 
 
-def _ask(deal: Dealing, schema: pa.Schema):
+def _ask(shared: Broadcast, schema: pa.Schema):
     """What buckets (key, data) ask before anything is seated."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = dict.fromkeys(x.name for x in schema)
         for (bucket,), own in groups(batches, 1):
-            yield from tables(Bucket.load(own[0][0], deal).asks(none, bucket, True), schema, 16)
+            yield from tables(Bucket.load(own[0][0], shared.value).asks(none, bucket, True), schema, 16)
 
     return run
 
 
-def _answer(deal: Dealing, m: dict | None, turn: int, schema: pa.Schema):
+def _answer(shared: Broadcast, m: dict | None, turn: int, schema: pa.Schema):
     """The restaurant of single words, and those of divided words. m: what the last round counted; none in the first."""
 
     @tidy
@@ -540,7 +547,7 @@ def _answer(deal: Dealing, m: dict | None, turn: int, schema: pa.Schema):
                 yield from tables(_of_part(key, asks), schema, 64)
 
     def _of_part(part: int, own: list[tuple]) -> Iterator[dict]:
-        none = dict.fromkeys(x.name for x in schema)
+        deal, none = shared.value, dict.fromkeys(x.name for x in schema)
         own.sort(key=lambda r: r[0])
         asked = [unpack(data) for _, data, _ in own]
         for a in asked:
@@ -561,23 +568,24 @@ def _answer(deal: Dealing, m: dict | None, turn: int, schema: pa.Schema):
             hot_t = resample(hot_c, d1 * m["hot_x"][place] * mass, d1, hot_keys, turn, 11)
         c = up + np.bincount(hot_word, weights=hot_t, minlength=len(words_)).astype(np.int64)
         t = resample(c, np.full(len(c), d0 * m["x"] / (m["known"] + 1)), d0, words_, turn, 12) if m else np.minimum(c, 1)
-        g, hot_g = gamma(c - d0 * t, words_, turn, 13).astype("<f4"), gamma(hot_c - d1 * hot_t, hot_keys, turn, 14).astype("<f4")
+        g, hot_g = _rough(gamma(c - d0 * t, words_, turn, 13)), _rough(gamma(hot_c - d1 * hot_t, hot_keys, turn, 14))
         cuts, hot_cuts = (np.cumsum([0, *(len(a[i]) for a in asked)]) for i in (0, 3))
         for (source, *_), i, j, y, z in zip(own, cuts, cuts[1:], hot_cuts, hot_cuts[1:], strict=False):
             mine, hers = at[i:j], hot_at[y:z]
             yield none | {
                 "key": source, "kind": "answer", "source": part,
-                "data": pack(*(x.astype("<u4") for x in (c[mine], t[mine])), g[mine].view("<u4"), seen[mine].astype("<u8"), *(x[hers].astype("<u8") for x in (hot_c, hot_t)), hot_g[hers].view("<u4")),
+                "data": pack(*(x.astype("<u4") for x in (c[mine], t[mine])), g[mine], seen[mine].astype("<u8"), *(x[hers].astype("<u8") for x in (hot_c, hot_t)), hot_g[hers]),
             }
         sums = np.zeros(5)
         for _, _, more in own:
             if more is not None:
                 sums += more
+        g, hot_g = (x.view("<f4").astype(np.float64) for x in (g, hot_g))
         by_word = [np.bincount(place, weights=x, minlength=count) for x in (hot_c, hot_t, hot_g, hot_c == 1, hot_c == 2)]
         some = np.flatnonzero(by_word[0])
         yield none | {
             "key": part, "kind": "totals",
-            "totals": [*sums.tolist(), *(float(x) for x in ((seen > 0).sum(), c.sum(), t.sum(), (c == 1).sum(), (c == 2).sum(), g.sum(dtype=np.float64)))],
+            "totals": [*sums.tolist(), *(float(x) for x in ((seen > 0).sum(), c.sum(), t.sum(), (c == 1).sum(), (c == 2).sum(), g.sum()))],
             "hot": [[float(k), *(float(x[k]) for x in by_word)] for k in some],
         }
 
@@ -612,7 +620,7 @@ def _of_kind(rows_: pa.Table) -> dict[str, list[tuple]]:
     return out
 
 
-def _sweep(deal: Dealing, m: dict, sweeps: int, turn: int, schema: pa.Schema):
+def _sweep(shared: Broadcast, m: dict, sweeps: int, turn: int, schema: pa.Schema):
     """Of a bucket: its state, and the tables and answers of the last round. Gives its tables and what it asks next."""
 
     def run(key: tuple, own: pa.Table, more: pa.Table) -> pa.Table:
@@ -622,7 +630,7 @@ def _sweep(deal: Dealing, m: dict, sweeps: int, turn: int, schema: pa.Schema):
 
     def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> list[dict]:
         none = dict.fromkeys(x.name for x in schema)
-        state = Bucket.load(own["state"][0][2], deal)
+        state = Bucket.load(own["state"][0][2], shared.value)
         for _, _, data in own.get("tables", []):
             state.set_tables(data)
         state.hear([(source, data) for source, _, data in own["answer"]], m)
@@ -632,7 +640,7 @@ def _sweep(deal: Dealing, m: dict, sweeps: int, turn: int, schema: pa.Schema):
     return run
 
 
-def _score(deal: Dealing, models: list[dict], schema: pa.Schema):
+def _score(shared: Broadcast, models: list[dict], schema: pa.Schema):
     """Of a bucket: its state, what it holds of each slice, and tables and answers of the samples, the second's in kinds of their own.
 
     To each slice: its entries' log10 and counts.
@@ -645,7 +653,7 @@ def _score(deal: Dealing, models: list[dict], schema: pa.Schema):
 
     def _of_bucket(bucket: int, own: dict[str, list[tuple]]) -> list[dict]:
         none = dict.fromkeys(x.name for x in schema)
-        state = Bucket.load(own["state"][0][2], deal)
+        state = Bucket.load(own["state"][0][2], shared.value)
         p = 0
         for k, m in enumerate(models):
             state.set_tables(own[f"tables{k}"][0][2])
@@ -708,6 +716,7 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     free = spark.sparkContext._jvm.System.gc  # so that the shuffles of what is over go
 
     def save(df: DataFrame) -> DataFrame:
+        free()
         saved = scratch.save(df, "none")
         free()
         return saved
@@ -723,14 +732,15 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
     top = top.to_numpy(dtype=np.int64).view(np.uint64)
     scratch.drop(counted)
     deal = Dealing(tokens, top, often, bucket_tokens)
+    shared = spark.sparkContext.broadcast(deal)
     # Each bucket's entries stay where they are from here on; rounds move only sums and answers.
-    dealt = by(read.mapInArrow(_send(deal, _arrow(sent, spark)), sent), "key").mapInArrow(_train(deal, arrow), kept)
+    dealt = by(read.mapInArrow(_send(shared, _arrow(sent, spark)), sent), "key").mapInArrow(_train(shared, arrow), kept)
     first = scratch.save_dealt(dealt, "key", max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "none", "kind")
     free()
     columns = ["key", "kind", "source", "slice", "data"]
 
     def answered(of: DataFrame, m: dict | None, turn: int) -> tuple[DataFrame, dict]:
-        saved = save(by(of.select("key", "kind", "source", "data", "totals"), "key").mapInArrow(_answer(deal, m, turn, arrow), kept))
+        saved = save(by(of.select("key", "kind", "source", "data", "totals"), "key").mapInArrow(_answer(shared, m, turn, arrow), kept))
         return saved, _model(saved, deal, turn, m)
 
     def of(df: DataFrame, kind: str, name: str | None = None) -> DataFrame:
@@ -740,12 +750,12 @@ def score(docs: DataFrame, held_out, *, doc_id: str = "doc_id", text: str = "tex
         held = first.where(F.col("kind").isin(kinds)).select(columns)
         return held.groupBy("key").cogroup(functools.reduce(DataFrame.unionByName, more).groupBy("key"))
 
-    start, m0 = answered(first.where("kind = 'state'").select("key", "data").mapInArrow(_ask(deal, arrow), kept), None, 0)
-    one, m1 = answered(with_entries(["state"], of(start, "answer")).applyInArrow(_sweep(deal, m0, BURN, 1, arrow), kept), m0, 1)
+    start, m0 = answered(first.where("kind = 'state'").select("key", "data").mapInArrow(_ask(shared, arrow), kept), None, 0)
+    one, m1 = answered(with_entries(["state"], of(start, "answer")).applyInArrow(_sweep(shared, m0, BURN, 1, arrow), kept), m0, 1)
     scratch.drop(start)
-    two, m2 = answered(with_entries(["state"], of(one, "tables"), of(one, "answer")).applyInArrow(_sweep(deal, m1, BETWEEN, 2, arrow), kept), m1, 2)
+    two, m2 = answered(with_entries(["state"], of(one, "tables"), of(one, "answer")).applyInArrow(_sweep(shared, m1, BETWEEN, 2, arrow), kept), m1, 2)
     samples = [of(one, "tables", "tables0"), of(one, "answer", "answer0"), of(two, "tables", "tables1"), of(two, "answer", "answer1")]
-    told = save(with_entries(["state", "index"], *samples).applyInArrow(_score(deal, [m1, m2], _arrow(part, spark)), part))
+    told = save(with_entries(["state", "index"], *samples).applyInArrow(_score(shared, [m1, m2], _arrow(part, spark)), part))
     scratch.drop_kind(first, "state", "index")
     scratch.drop(one, two)
     own = first.where("kind = 'slice'").select("slice", F.lit(-1).alias("source"), "ids", "held", "data")
