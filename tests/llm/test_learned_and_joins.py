@@ -105,13 +105,33 @@ def test_crossover_keeps_every_document():
     a = packing._fresh(range(300), lengths, 100)
     b = packing._fresh(sorted(range(300), key=lambda _: rng.random()), lengths, 100)
     for _ in range(20):
-        child = packing.crossover(a, b, lengths, rng, 1)
+        child = packing.crossover(a, b, lengths, rng)
         assert sorted(i for own in child.bins for i in own) == list(range(300))
         assert all(sum(lengths[i] for i in own) + room == 100 for own, room in zip(child.bins, child.room, strict=True))
     best = packing.evolve([], lengths, 100, seed=1)[0]
     assert len(best.bins) <= len(a.bins) and len(best.bins) >= -(-sum(lengths) // 100)
 
 
+def triples(rng: random.Random, n: int) -> list[tuple[int, int]]:
+    """Three pieces to a sequence, without a gap: best fit in falling order needs more sequences than there are."""
+    out = []
+    for _ in range(n):
+        a = rng.randint(380, 490)
+        b = rng.randint(250, (1000 - a) // 2)
+        out += [a, b, 1000 - a - b]
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+def test_evolution_betters_best_fit(spark):
+    items = triples(random.Random(3), 60)
+    lengths = sorted((n for _, n in items), reverse=True)
+    fitted = len(packing._fresh(range(len(lengths)), lengths, 1000).bins)
+    frame = spark.createDataFrame(items, "uid long, length int")
+    evolved = packing.pack(frame, capacity=1000, offspring=60, patience=4).select("sequence_id").distinct().count()
+    assert 60 <= evolved <= fitted - 5
+
+
 def test_token_counts(spark):
     own = [len(reference_ids(t)) // 4 for _, t in ODD]
     sums = token_counts.suffix_sums(token_counts.lengths(odd(spark)))

@@ -14,7 +14,7 @@ The output has a row for each turn with its ids, its mask and its place in the s
 no row holds a whole conversation, however long; rows are in order within a conversation. `read_back` streams such
 rows, decodes ids, splits at marks and unescapes.
 
-Cases: null text or role is empty; rows of null conv_id are one conversation; turns are ordered by turn (null first),
+Cases: null text or role is empty; rows of null conv_id are one conversation, which one task formats turn by turn without holding it; turns are ordered by turn (null first),
 ties by role and then text, so repeated rows are turns of their own; texts without an assistant give an empty mask; an
 empty table gives no rows. Other columns are not read.
 """

@@ -31,21 +31,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, steps: int = 60) -> DataFrame:
-    """edges: u, v of one orderable type. Returns node, root: the smallest node reachable, for all but the roots."""
+def components(edges: DataFrame) -> DataFrame:
+    """edges: u, v of one orderable type. Returns node, root: the smallest node reachable, for all but the roots.
+
+    Steps go on until one changes nothing: a number that grows with the logarithm of the longest path, squared at worst.
+    """
     scratch = Scratch(edges.sparkSession, "components")
     mark = [F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))]
     now = scratch.save(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     seen = now.agg(*mark).first()
-    for _ in range(steps):
-        if not seen[0]:
-            break
+    while seen[0]:
         large = scratch.save(_large_star(now))
         small = scratch.save(_small_star(large))
         scratch.drop(now, large)
         now, before, seen = small, seen, small.agg(*mark).first()
         if seen == before:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {steps} steps")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

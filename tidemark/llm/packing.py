@@ -5,7 +5,8 @@ last piece may be shorter. Pieces of exactly the capacity are sequences of their
 blocks of a bounded size. Each block is evolved on several islands, each a task of its own: a chromosome is a list of
 bins; crossover injects well-filled bins of one parent whole into the other, removes the bins that now hold a document
 twice, and puts the displaced documents back by best fit. After an epoch each island's elite moves to the next island
-of its block. Bins that a block could not fill well are opened and their documents pooled over all blocks for another
+of its block. A block is done when it has as few bins as its tokens need, or when no island has bettered its best for
+PATIENCE epochs. Bins that a block could not fill well are opened and their documents pooled over all blocks for another
 round, so the loss is that of the last round's blocks, not of every block.
 
 Cases: null text counts as empty; an empty text has length 1 (its end id); the tokenizer's control strings in a text are
@@ -36,11 +37,14 @@ END_ID = 0
 BLOCK_BINS = 1024
 BLOCK_PIECES = 16384
 ISLANDS = 2
-EPOCHS = 2
-POPULATION = 4
-OFFSPRING = 6
-#: A bin with at most this part of it free is well filled.
+#: Epochs without a better chromosome after which a block is done.
+PATIENCE = 2
+POPULATION = 5
+OFFSPRING = 12
+#: A bin with at most this part of it free stays as it is when others are pooled for another round.
 WELL_FILLED = 0.004
+#: Parts of the bins that a crossover injects from, and opens from; how far its order of refilling may be from the falling one.
+INJECTED, OPENED, NOISE = 0.5, 0.3, (0.0, 0.1, 1.0)
 ROUNDS = 3
 
 PIECES = "doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
@@ -122,33 +126,39 @@ def _score(one: Bins) -> tuple[int, float]:
     return len(one.bins), -float(((1 - free) ** 2).sum())
 
 
-def crossover(a: Bins, b: Bins, lengths: list[int], rng: random.Random, keep_free: int) -> Bins:
-    """Well-filled bins of b enter a whole; bins of a that share a document with them are opened and refilled."""
-    injected = [k for k, r in enumerate(b.room) if r <= keep_free and rng.random() < 0.5]
+def crossover(a: Bins, b: Bins, lengths: list[int], rng: random.Random) -> Bins:
+    """Well-filled bins of b enter a whole; bins of a that share a document with them are opened and refilled.
+
+    Well filled are the fuller INJECTED of b's bins, most of which enter. Some of the emptier OPENED of a's are opened as
+    well. What is displaced goes back by best fit, in falling order or one that is more or less by chance.
+    """
+    full = sorted(b.room)[int(INJECTED * (len(b.room) - 1))]
+    loose = max(1, sorted(a.room)[int((1 - OPENED) * (len(a.room) - 1))])
     taken = bytearray(len(lengths))
     out = Bins(a.capacity)
-    for k in injected:
-        for i in b.bins[k]:
-            taken[i] = 1
-        out.add(list(b.bins[k]), b.room[k])
+    for items, room in zip(b.bins, b.room, strict=True):
+        if room <= full and rng.random() < 0.7:
+            for i in items:
+                taken[i] = 1
+            out.add(list(items), room)
     displaced = []
     for items, room in zip(a.bins, a.room, strict=True):
         if any(taken[i] for i in items):
             displaced += [i for i in items if not taken[i]]
-        elif room > keep_free and rng.random() < 0.5:  # mutation: badly filled bins are opened too
+        elif room >= loose and rng.random() < 0.5:
             displaced += items
         else:
             out.add(list(items), room)
-    displaced.sort(key=lambda i: -lengths[i])
+    noise = rng.choice(NOISE)
+    displaced.sort(key=lambda i: -lengths[i] * (1 + noise * rng.random()))
     out.best_fit(displaced, lengths)
     return out
 
 
 def evolve(population: list[Bins], lengths: list[int], capacity: int, seed: int, offspring: int = OFFSPRING, keep: int = POPULATION) -> list[Bins]:
-    """lengths in falling order. The best `keep` after some crossovers, best first."""
+    """lengths in falling order. The best `keep` after some crossovers, best first; no two are equally good, so that they differ."""
     rng = random.Random(seed)
     least = -(-sum(lengths) // capacity)
-    keep_free = int(WELL_FILLED * capacity)
     population = list(population)
     while len(population) < keep:
         # Falling order with some noise, so that chromosomes differ.
@@ -160,13 +170,14 @@ def evolve(population: list[Bins], lengths: list[int], capacity: int, seed: int,
     for _ in range(offspring):
         if len(population[0].bins) <= least or len(population) < 2:
             break
-        a, b = rng.sample(range(len(population)), 2)
-        child = crossover(population[min(a, b)], population[max(a, b)], lengths, rng, keep_free)
-        population = sorted([*population, child], key=_score)[:keep]
+        a, b = rng.sample(population, 2)
+        child = crossover(a, b, lengths, rng)
+        if all(_score(child) != _score(one) for one in population):
+            population = sorted([*population, child], key=_score)[:keep]
     return population
 
 
-_ELITE = "block long, island int, uid array<long>, length array<int>, bin array<int>, bins long, score double"
+_ELITE = "block long, island int, uid array<long>, length array<int>, bin array<int>, bins long, score double, least long"
 
 
 def _elite(block: int, island: int, uid: np.ndarray, lengths: list[int], best: Bins) -> pd.DataFrame:
@@ -174,7 +185,7 @@ def _elite(block: int, island: int, uid: np.ndarray, lengths: list[int], best: B
     for k, items in enumerate(best.bins):
         of[items] = k
     bins, score = _score(best)
-    return pd.DataFrame({"block": [block], "island": [island], "uid": [uid], "length": [np.asarray(lengths, dtype=np.int32)], "bin": [of], "bins": [bins], "score": [score]})
+    return pd.DataFrame({"block": [block], "island": [island], "uid": [uid], "length": [np.asarray(lengths, dtype=np.int32)], "bin": [of], "bins": [bins], "score": [score], "least": [-(-sum(lengths) // best.capacity)]})
 
 
 def _restore(lengths: list[int], of: np.ndarray, bins: int, capacity: int) -> Bins:
@@ -187,14 +198,15 @@ def _restore(lengths: list[int], of: np.ndarray, bins: int, capacity: int) -> Bi
     return out
 
 
-def _evolved(items: DataFrame, capacity: int, islands: int, epochs: int) -> DataFrame:
+def _evolved(items: DataFrame, capacity: int, islands: int, patience: int, offspring: int) -> DataFrame:
     """items: block, uid, length. The best chromosome of each block: block, uid, length and bin as arrays."""
+    scratch = Scratch(items.sparkSession, "islands")
 
     def first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         block, island = int(key[0]), int(key[1])
         rows = rows.sort_values(["length", "uid"], ascending=[False, True])
         lengths = rows["length"].tolist()
-        best = evolve([], lengths, capacity, seed=block * 1009 + island)[0]
+        best = evolve([], lengths, capacity, seed=block * 1009 + island, offspring=offspring)[0]
         return _elite(block, island, rows["uid"].to_numpy(), lengths, best)
 
     def later(epoch: int):
@@ -203,23 +215,35 @@ def _evolved(items: DataFrame, capacity: int, islands: int, epochs: int) -> Data
             rows = rows.sort_values(["bins", "score", "came_from"])
             lengths = [int(x) for x in rows["length"].iloc[0]]
             own = [_restore(lengths, of, int(n), capacity) for of, n in zip(rows["bin"], rows["bins"], strict=True)]
-            best = evolve(own, lengths, capacity, seed=(block * 1009 + island) * 31 + epoch)[0]
+            best = evolve(own, lengths, capacity, seed=(block * 1009 + island) * 31 + epoch, offspring=offspring)[0]
             return _elite(block, island, np.asarray(rows["uid"].iloc[0]), lengths, best)
 
         return run
 
     dealt = items.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
-    elites = dealt.groupBy("block", "island").applyInPandas(first, _ELITE)
-    for epoch in range(1, epochs):
-        moved = elites.withColumn("came_from", F.col("island")).withColumn(
-            "island", F.explode(F.array_distinct(F.array("island", ((F.col("island") + 1) % islands).cast("int"))))
-        )
-        elites = moved.groupBy("block", "island").applyInPandas(later(epoch), _ELITE)
     rank = F.struct("bins", "score", "island")
-    return elites.groupBy("block").agg(F.min_by(F.struct("uid", "length", "bin"), rank).alias("best")).select("block", "best.*")
-
-
-def pack(items: DataFrame, *, capacity: int = CAPACITY, islands: int = ISLANDS, epochs: int = EPOCHS, rounds: int = ROUNDS) -> DataFrame:
+    best_of = lambda elites: elites.groupBy("block").agg(F.min_by(F.struct("uid", "length", "bin", "bins", "least"), rank).alias("best"), F.min(F.struct("bins", "score")).alias("now")).select("block", "best.*", "now")
+    elites = scratch.save(dealt.groupBy("block", "island").applyInPandas(first, _ELITE))
+    best = scratch.save(best_of(elites).withColumn("waited", F.lit(0)))
+    done, epoch = best.where("bins <= least"), 0
+    while True:
+        # Blocks that may still lose a bin go on; the others keep what they have.
+        open_ = best.where((F.col("bins") > F.col("least")) & (F.col("waited") < patience))
+        if open_.isEmpty():
+            break
+        epoch += 1
+        moved = elites.join(open_.select("block"), "block", "left_semi").withColumn("came_from", F.col("island"))
+        moved = moved.withColumn("island", F.explode(F.array_distinct(F.array("island", ((F.col("island") + 1) % islands).cast("int")))))
+        elites = scratch.save(moved.groupBy("block", "island").applyInPandas(later(epoch), _ELITE))
+        before = open_.select("block", F.col("now").alias("was"), F.col("waited").alias("waited_before"))
+        after = best_of(elites).join(before, "block")
+        after = after.withColumn("waited", F.when(F.col("now") < F.col("was"), 0).otherwise(F.col("waited_before") + 1)).drop("was", "waited_before")
+        best = scratch.save(after)
+        done = done.unionByName(best.where((F.col("bins") <= F.col("least")) | (F.col("waited") >= patience)))
+    return done.select("block", "uid", "length", "bin")
+
+
+def pack(items: DataFrame, *, capacity: int = CAPACITY, islands: int = ISLANDS, patience: int = PATIENCE, offspring: int = OFFSPRING, rounds: int = ROUNDS) -> DataFrame:
     """items: uid long (unique), length (1 to capacity). Returns uid, sequence_id, offset."""
     spark = importable(items.sparkSession)
     scratch = Scratch(spark, "pack")
@@ -233,7 +257,7 @@ def pack(items: DataFrame, *, capacity: int = CAPACITY, islands: int = ISLANDS,
         blocks = max(1, -(-tokens // (BLOCK_BINS * capacity)), -(-n // BLOCK_PIECES))
         last = turn == rounds - 1 or blocks == 1 or (blocks_before is not None and blocks > 0.8 * blocks_before)
         dealt = open_.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(blocks)))
-        best = _evolved(dealt, capacity, islands, epochs)
+        best = _evolved(dealt, capacity, islands, patience, offspring)
 
         def laid(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             """A block at a time, so each row's place in its bin follows from the rows before it."""
