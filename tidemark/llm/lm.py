@@ -60,7 +60,7 @@ STRENGTH = 1.0
 END = xxhash.xxh3_64_intdigest(b"\n end")
 START = xxhash.xxh3_64_intdigest(b"\n start")
 #: Tokens of a bucket, about; buckets whose words make a part; bytes of text of a slice. A task has one in memory at a time.
-BUCKET_TOKENS, PART_BUCKETS, SLICE_BYTES = 2_000_000, 4, 12 << 20
+BUCKET_TOKENS, PART_BUCKETS, SLICE_BYTES = 1_400_000, 6, 12 << 20
 #: A slice counts words that it holds this often, so a word's count is short by less for each slice.
 FREQUENT = 8
 #: Frequent words that have a number of their own everywhere, so that their hashes need not be sent. Others have one in each table.
@@ -497,20 +497,25 @@ def _train(shared: Broadcast, schema: pa.Schema):
         for own_words, v, u, w_, n_ in parts:
             at = np.concatenate([np.arange(top), top + np.searchsorted(others, own_words)])
             context.append(at[total(v)] * k + at[u])
-            w.append(at[w_])
-            n.append(n_.astype(np.int64))
+            w.append(lean(at[w_]))
+            n.append(lean(n_))
         del parts
         context, w, n = np.concatenate(context), np.concatenate(w), np.concatenate(n)
         contexts = None
         if 3 * k.bit_length() > 62:
             contexts, context = np.unique(context, return_inverse=True)
-        entries, entry = np.unique(context * k + w, return_inverse=True)
-        n = np.bincount(entry, weights=n, minlength=len(entries)).astype(np.int64)
+        context *= k
+        context += w
+        del w
+        entries, entry = np.unique(context, return_inverse=True)
+        del context
+        entry = lean(entry)
+        n = lean(np.bincount(entry, weights=n, minlength=len(entries)))
         at = 0
         for name, size in zip(names, sent, strict=True):
             yield none | {"key": bucket, "kind": "index", "slice": name, "data": pack(steps(entry[at : at + size]))}
             at += size
-        del context, w, entry
+        del entry
         context, w = entries // k, entries % k
         first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
         sizes, context = np.diff(np.r_[first, len(context)]), context[first]

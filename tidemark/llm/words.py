@@ -141,9 +141,10 @@ def slices(batches: Iterable[pa.RecordBatch], column: int, size: int = 4 << 20,
 
 
 def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    """Rows of Arrow batches as tuples; binary values as bytes."""
+    """Rows of Arrow batches as tuples; binary values as bytes, of some rows at a time."""
     for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        for at in range(0, batch.num_rows, 64):
+            yield from zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True)
 
 
 def groups(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
