@@ -38,7 +38,7 @@ BLOCK_BINS = 1024
 BLOCK_PIECES = 16384
 ISLANDS = 2
 #: Epochs without a better chromosome after which a block is done.
-PATIENCE = 2
+PATIENCE = 1
 POPULATION = 5
 OFFSPRING = 12
 #: A bin with at most this part of it free stays as it is when others are pooled for another round.
