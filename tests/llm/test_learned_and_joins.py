@@ -211,6 +211,33 @@ def test_join_large_groups_in_blocks(spark, block):
     assert joined(spark.createDataFrame(rows, "doc_id long, text string"), block=block) == brute(rows)
 
 
+def chained(rng: random.Random, size: int, words_: int = 300, length: int = 60) -> list[str]:
+    """Texts of few words, each of which two others may follow: all are tied to all, and hardly any two are alike."""
+    follows = [(rng.randrange(words_), rng.randrange(words_)) for _ in range(words_)]
+    out = []
+    for _ in range(size):
+        own = [rng.randrange(words_)]
+        while len(own) < length:
+            own.append(rng.choice(follows[own[-1]]))
+        out.append(" ".join(f"c{w}" for w in own))
+    return out
+
+
+def test_join_of_texts_tied_through_others(spark):
+    """Texts of few words in few orders, some of them copied with a change; and a run of words that every text holds."""
+    rng = random.Random(12)
+    texts = chained(rng, 500, words_=40)
+    for t in texts[:40]:
+        own = t.split()
+        own[rng.randrange(len(own))] = "other"
+        texts.append(" ".join(own))
+    texts = [f"these five words come first {t}" for t in texts]
+    rows = list(enumerate(texts))
+    want = brute(rows)
+    assert sum(c != d for d, _, c in want) >= 30
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string"), block=32, bucket_bytes=20_000) == want
+
+
 def test_trie_finds_all_links():
     rng = np.random.default_rng(1)
     sets = [np.sort(rng.choice(40, size=rng.integers(3, 20), replace=False)) for _ in range(120)]
@@ -700,6 +727,25 @@ def test_language_of_pages_by_their_common_words(spark):
     assert total > 100 and right >= 0.98 * total
 
 
+def test_language_by_source(spark):
+    """Against the fusion by hand, from the text's own posteriors; short texts go with their source, none without letters."""
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source")
+    model = language.fit(documents)
+    odd_ = spark.createDataFrame([(9001, "la", None, "web"), (9002, "1 2 3", "x", "web"), (9003, None, None, None), (9004, "der", None, None)], documents.schema)
+    docs = documents.unionByName(odd_).withColumn("group", F.lit("clash")).withColumn("prior", F.lit(1))
+    got = {r.row.doc_id: r for r in language.identify_by_source(docs, model).collect()}
+    scorer, langs = language.Likelihoods(model), model["langs"]
+    rows = [(r.doc_id, r.source, language._posterior(scorer.text(r.text or ""), len(langs))) for r in docs.collect()]
+    world = [sum(p[k] for *_, p in rows) for k in range(len(langs))]
+    for d, source, p in rows:
+        rest = [sum(q[k] for _, s, q in rows if s == source) - p[k] for k in range(len(langs))]
+        prior = [(max(0.0, x) + 5.0 * (w + 1) / (sum(world) + len(langs))) / (sum(rest) + 5.0) for x, w in zip(rest, world, strict=True)]
+        evidence = p if p[-1] >= 1 else [a * max(1e-12, b) for a, b in zip(prior, p, strict=True)]
+        assert got[d].lang == langs[int(np.argmax(evidence))] and got[d].confidence == pytest.approx(max(evidence) / sum(evidence), rel=1e-6), d
+    assert got[9002].lang == got[9003].lang == "und" and got[9001].row.group == "clash"
+    assert language.identify_by_source(docs.limit(0), model).collect() == []
+
+
 def test_host_prior_decides_pages_without_letters(spark):
     model = language.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     german = "<p>der die und das nicht ist von mit auf " * 30

@@ -49,7 +49,7 @@ def test_toxic_documents_go(spark, stages):
 
 def test_languages(spark, stages):
     before, after = stages["language"]
-    identified = language.identify(before, language.fit(before))
+    identified = language.identify_by_source(before, language.fit(before))
     assert rows(after) == rows(identified.where(language.accepted(identified)).select("row.*"))
     assert after.count() >= 0.99 * before.count()
 

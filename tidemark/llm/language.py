@@ -7,7 +7,8 @@ The sum is raised to TEMPER, as neighbouring letters are not independent.
 Pages bring more evidence: the language that the markup declares, by how often pages of each text language declare it;
 and a prior by address, smoothed down a hierarchy: a host's share of each language is drawn towards its domain's, that
 towards its address suffix's, that towards all pages'. Shares are sums of text posteriors by grouped aggregation; a
-page's own share is taken out of them first, so that its text does not count twice.
+page's own share is taken out of them first, so that its text does not count twice. Documents have a source instead of an
+address, whose shares are drawn towards all documents' (`identify_by_source`).
 
 Labelled documents are a bounded sample (SAMPLE, those of the smallest id hash); all else covers every row, whole texts.
 
@@ -151,6 +152,50 @@ def identify(docs: DataFrame, model: dict, *, keep: list[str] | None = None, tex
     return out.select("row", "found.lang", "found.confidence")
 
 
+def _sums(column: str, langs: list[str]) -> Column:
+    return F.array(*[F.coalesce(F.sum(F.element_at(column, k + 1)), F.lit(0.0)) for k in range(len(langs))])
+
+
+def _numbers(xs) -> Column:
+    return F.array(*[F.lit(float(x)) for x in xs])
+
+
+def _smoothed(total: str, own: str, above: Column) -> Column:
+    """A group's shares without a row's own, drawn towards those of the level above by PRIOR rows."""
+    rest = F.zip_with(total, own, lambda s, t: F.greatest(F.lit(0.0), s - t))
+    n = F.aggregate(rest, F.lit(0.0), lambda a, x: a + x)
+    return F.zip_with(rest, above, lambda r, p: (r + F.lit(PRIOR) * p) / (n + PRIOR))
+
+
+def identify_by_source(docs: DataFrame, model: dict, *, source: str = "source", text: str = "text") -> DataFrame:
+    """By text and by what other documents of the same source are written in. Returns row (all columns), lang, confidence.
+
+    A text without letters is of no language, whatever its source. A null source is one of its own.
+    """
+    spark = importable(docs.sparkSession)
+    langs = model["langs"]
+    shared = spark.sparkContext.broadcast(model)
+
+    @tidy
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Likelihoods(shared.value)
+        for batch in batches:
+            yield pd.Series([_posterior(scorer.text(t or ""), len(langs)) for t in batch])
+
+    udf = F.pandas_udf(read, "array<double>")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("")).alias("group"), F.col(f"`{text}`").alias("text"))
+    own = Scratch(spark, "language").save(own.select("row", "group", udf("text").alias("text")))
+    world = own.agg(_sums("text", langs).alias("w")).first().w
+    base = _numbers((w + 1) / (sum(world) + len(langs)) for w in world)
+    of_source = Scratch(spark, "language").save(own.groupBy("group").agg(_sums("text", langs).alias("of_source")))
+    own = own.join(of_source, "group").withColumn("prior", _smoothed("of_source", "text", base))
+    none = F.element_at("text", len(langs)) >= 1.0
+    evidence = F.zip_with("prior", F.transform("text", lambda t: F.greatest(F.lit(1e-12), t)), lambda p, t: p * t)
+    own = own.withColumn("evidence", F.when(none, F.col("text")).otherwise(evidence)).withColumn("most", F.array_max("evidence"))
+    lang = F.element_at(F.array(*map(F.lit, langs)), F.array_position("evidence", F.col("most")).cast("int"))
+    return own.select("row", lang.alias("lang"), (F.col("most") / F.aggregate("evidence", F.lit(0.0), lambda a, x: a + x)).alias("confidence"))
+
+
 def accepted(identified: DataFrame, least_confidence: float = LEAST_CONFIDENCE) -> Column:
     """Whether a row's language is known well enough."""
     return (identified["lang"] != NONE) & (identified["confidence"] >= least_confidence)
@@ -197,31 +242,29 @@ def identify_pages(pages: DataFrame, model: dict, *, page_id: str = "page_id", u
     own = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     own = own.mapInArrow(read, f"page_id {id_type}, host string, domain string, suffix string, declared string, text array<double>")
     own = Scratch(spark, "language").save(own)
-    shares = lambda by, name: own.groupBy(*by).agg(F.array(*[F.sum(F.element_at("text", k + 1)) for k in range(len(langs))]).alias(name))
+    shares = lambda by, name: own.groupBy(*by).agg(_sums("text", langs).alias(name))
     said = F.when(F.col("declared").isin(langs), F.col("declared"))
     own = own.withColumn("said", F.coalesce(said, F.lit("")))
-    world = own.agg(*[F.coalesce(F.sum(F.element_at("text", k + 1)), F.lit(0.0)) for k in range(len(langs))]).first()
+    world = own.agg(_sums("text", langs).alias("w")).first().w
     total = sum(world)
-    numbers = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
     # A row for each declared language: at most as many as the model has, and one. Nothing declared tells nothing.
     declaring = shares(["said"], "by_said")
     kinds = declaring.where("said <> ''").count()
     names = F.array(*map(F.lit, langs))
-    agree = F.transform("by_said", lambda x, k: (x + F.when(F.get(names, k) == F.col("said"), 4.0).otherwise(0.5)) / (F.get(numbers(world), k) + 4.0 + 0.5 * kinds))
-    declaring = declaring.select("said", F.when(F.col("said") == "", numbers([1.0] * len(langs))).otherwise(agree).alias("markup"))
+    agree = F.transform("by_said", lambda x, k: (x + F.when(F.get(names, k) == F.col("said"), 4.0).otherwise(0.5)) / (F.get(_numbers(world), k) + 4.0 + 0.5 * kinds))
+    declaring = declaring.select("said", F.when(F.col("said") == "", _numbers([1.0] * len(langs))).otherwise(agree).alias("markup"))
     own = own.join(F.broadcast(declaring), "said")
     for by, name in ((["suffix"], "of_suffix"), (["suffix", "domain"], "of_domain"), (["host"], "of_host")):
         own = own.join(shares(by, name), by, "left")
-    prior = numbers((w + 1) / (total + len(langs)) for w in world)
+    prior = _numbers((w + 1) / (total + len(langs)) for w in world)
     times = lambda a, b: F.zip_with(a, b, lambda x, y: x * y)
     sums = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     for name in ("of_suffix", "of_domain", "of_host"):
-        own = own.withColumn("rest", F.zip_with(name, "text", lambda s, t: F.greatest(F.lit(0.0), s - t))).withColumn("n", sums("rest"))
-        own = own.withColumn("prior", F.zip_with("rest", prior, lambda r, p: (r + F.lit(PRIOR) * p) / (F.col("n") + PRIOR)))
+        own = own.withColumn("prior", _smoothed(name, "text", prior))
         prior = F.col("prior")
     # A page without letters says nothing by its text: what else is known decides.
     no_text = F.element_at("text", len(langs)) >= 1.0
-    by_text = F.when(no_text, numbers([1.0] * len(langs))).otherwise(F.transform("text", lambda t: F.greatest(F.lit(1e-12), t)))
+    by_text = F.when(no_text, _numbers([1.0] * len(langs))).otherwise(F.transform("text", lambda t: F.greatest(F.lit(1e-12), t)))
     own = own.withColumn("evidence", times(times(prior, F.col("markup")), by_text)).withColumn("most", F.array_max("evidence"))
     name = lambda column, most: F.element_at(names, F.array_position(column, most).cast("int"))
     return own.select("page_id", "host", "declared", name(F.col("text"), F.array_max("text")).alias("text_lang"), name(F.col("evidence"), F.col("most")).alias("lang"), (F.col("most") / sums("evidence")).alias("confidence"))
