@@ -24,8 +24,8 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is of no known language go."""
-    identified = language.identify(docs, language.fit(docs))
+    """Documents whose text is of no known language go, by the text and the languages of other documents of the source."""
+    identified = language.identify_by_source(docs, language.fit(docs))
     return identified.where(language.accepted(identified)).select("row.*")
 
 
