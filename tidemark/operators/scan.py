@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,10 @@ from tidemark.sources.parts import PERIOD, select_parts
 from tidemark.sources.tables import Connection, Table
 
 
+#: Files that a scan may name without asking first which folders it reads whole.
+NAMED = 20_000
+
+
 @dataclass(frozen=True)
 class Plan:
     """Files to read, and what became of the predicate's conjuncts."""
@@ -82,18 +87,26 @@ def read_paths(spark: SparkSession, table: Table, paths: tuple[str, ...] | list[
 
 
 def scan_paths(spark: SparkSession, table: Table, predicate: E.Expr | None = None, connection: Connection | None = None) -> list[str]:
-    """What a scan reads. Folders that one append has written and that are read whole are named once, however many files they hold."""
+    """What a scan reads. Folders that one append has written and that are read whole are named once, however many files they hold.
+
+    Up to NAMED files are looked at here; of more, the cluster first finds the folders that are read whole, so that only files
+    of other folders come here.
+    """
     chosen = chosen_parts(spark, table, predicate, connection).withColumn("folder", F.regexp_extract("path", f"^(.*?)/{PERIOD}=", 1))
-    by_folder = chosen.where("folder <> ''").groupBy("folder", "storage_id").agg(F.count("*").alias("n"))
-    every = table.catalog(spark, connection).groupBy(F.regexp_extract("path", f"^(.*?)/{PERIOD}=", 1).alias("folder"), "storage_id").agg(F.count("*").alias("all"))
-    same = [F.col("x.folder") == F.col("y.folder"), F.col("x.storage_id").eqNullSafe(F.col("y.storage_id"))]
-    whole = by_folder.alias("x").join(every.alias("y"), same).where("n = all").select("x.folder", "x.storage_id")
-    folders = [(r.folder, r.storage_id) for r in whole.collect()]  # one for each append
-    paths = [table.resolve(f, s) for f, s in folders]
-    rest = chosen
-    if folders:
-        rest = chosen.where(~F.col("folder").isin([f for f, _ in folders]))
-    return paths + [table.resolve(r.path, r.storage_id) for r in rest.select("path", "storage_id").collect()]
+    if "folder_files" not in chosen.columns:
+        chosen = chosen.withColumn("folder_files", F.lit(None).cast("long"))
+    columns = ["path", "storage_id", "folder", "folder_files"]
+    rows = chosen.select(*columns).limit(NAMED + 1).collect()
+    whole: list[tuple[str, str | None]] = []
+    if len(rows) > NAMED:
+        by_folder = chosen.groupBy("folder", "storage_id").agg(F.count("*").alias("n"), F.max("folder_files").alias("of"))
+        whole = [(r.folder, r.storage_id) for r in by_folder.where("folder <> '' and n = of").collect()]  # one for each append
+        rows = chosen.where(~F.col("folder").isin([f for f, _ in whole])).select(*columns).collect() if whole else chosen.select(*columns).collect()
+    else:
+        held = Counter((r.folder, r.storage_id) for r in rows)
+        whole = sorted({(r.folder, r.storage_id) for r in rows if r.folder and held[r.folder, r.storage_id] == r.folder_files}, key=str)
+    known = set(whole)
+    return [table.resolve(f, s) for f, s in whole] + [table.resolve(r.path, r.storage_id) for r in rows if (r.folder, r.storage_id) not in known]
 
 
 def scan(spark: SparkSession, table: Table, predicate: E.Expr | None = None, columns: list[str] | None = None, connection: Connection | None = None) -> DataFrame:

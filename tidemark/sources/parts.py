@@ -1,7 +1,8 @@
 """Data files laid out by time and shard, and the catalog that describes them.
 
 A layout is Parquet files of one period and one shard value each, sorted by time. The catalog is itself a table, a row
-for each file: path, min_ts, max_ts, rows, data_size, shard_key (hash of the shard value), storage_id. It is built and
+for each file: path, min_ts, max_ts, rows, data_size, shard_key (hash of the shard value), storage_id, and if it is known
+folder_files, the number of files of the append that the file is of. It is built and
 searched by the cluster; only the rows that a query needs reach the driver.
 """
 
@@ -53,7 +54,11 @@ def build_catalog(spark: SparkSession, data: DataFrame, primary: str, shard: str
     hashes = files.select("shard").distinct().withColumn("shard_key", wyhash_column(F.col("shard")))
     one = F.when(F.col("shard").eqNullSafe(F.col("last_shard")), F.col("shard_key"))
     files = files.join(hashes.withColumnRenamed("shard", "hashed"), F.col("shard").eqNullSafe(F.col("hashed")), "left")
-    return files.select("path", "min_ts", "max_ts", "rows", "data_size", (one if shard else F.lit(UNSHARDED)).alias("shard_key"), F.lit(storage_id).cast("string").alias("storage_id"))
+    # How many files each folder holds, so that a scan knows when it reads all of one: a row for each append.
+    folder = F.regexp_extract("path", f"^(.*?)/{PERIOD}=", 1)
+    folders = files.groupBy(folder.alias("in_folder")).agg(F.count("*").alias("folder_files"))
+    files = files.withColumn("in_folder", folder).join(folders, "in_folder")
+    return files.select("path", "min_ts", "max_ts", "rows", "data_size", (one if shard else F.lit(UNSHARDED)).alias("shard_key"), F.lit(storage_id).cast("string").alias("storage_id"), "folder_files")
 
 
 def from_seconds(catalog: DataFrame) -> DataFrame:
