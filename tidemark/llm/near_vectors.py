@@ -193,7 +193,7 @@ def near_vectors(table: DataFrame, *, vec_id: str = "vec_id", embedding: str = "
     every = scratch.save(table.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("embedding")).mapInArrow(_classes(arrow(first)), first))
     some = every.where("class is not null")
     # Copies count by the row; the vector itself comes from any of them.
-    classes = some.groupBy("class").agg(F.count("*").alias("copies"), F.first("unit").alias("unit"))
+    classes = some.groupBy("class").agg(F.count("*").alias("copies"), F.first("unit").alias("unit"), F.min("vec_id").alias("least"))
     n = some.select("class").distinct().count()
     blocks = max(1, -(-n // block))
     placed = classes.withColumn("cell", F.explode(grid(F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int"), blocks)))
@@ -201,14 +201,15 @@ def near_vectors(table: DataFrame, *, vec_id: str = "vec_id", embedding: str = "
     found = scratch.save(cells.mapInArrow(_cell(least_cosine, projections, arrow(out)), out))
     roots = components(found.where("class <> root").select(F.col("class").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
-    copies = classes.select("class", "copies")
-    own = copies.join(links, "class", "left").join(roots, F.col("class") == F.col("node"), "left").select("class", "copies", "links", F.coalesce("root", "class").alias("component"))
-    own = every.select("vec_id", "class").join(own, "class", "left")
-    least = own.where("component is not null").groupBy("component").agg(F.min("vec_id").alias("least"))
-    own = own.join(least, "component", "left")
-    component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("least"))
-    n_links = F.coalesce(F.col("links"), F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
-    return own.select("vec_id", n_links.cast("long").alias("n_links"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    # Smallest ids are taken of classes, then of components; rows are joined once, with their class.
+    own = classes.select("class", "copies", "least").join(links, "class", "left").join(roots, F.col("class") == F.col("node"), "left")
+    own = scratch.save(own.select("class", "copies", "links", "least", F.coalesce("root", "class").alias("component")))
+    of_component = scratch.save(own.groupBy("component").agg(F.min("least").alias("component_id")))
+    n_links = (F.coalesce(F.col("links"), F.lit(0)) + F.col("copies") - 1).cast("long")
+    named = scratch.save(own.join(of_component, "component").select("class", n_links.alias("n_links"), "component_id"))
+    linked = some.select("vec_id", "class").join(named, "class").select("vec_id", "n_links", "component_id")
+    alone = every.where("class is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
