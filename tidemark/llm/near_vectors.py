@@ -42,6 +42,8 @@ WINDOW = 1.0
 #: Classes in a block of the grid, and in a part of it that has its own bit sets.
 BLOCK = 8192
 PART = 2048
+#: Queries that are counted at once.
+ASKED = 512
 
 
 def least_count(projections: int, window: float, recall: float) -> int:
@@ -66,25 +68,38 @@ class Windows:
         n, m = projected.shape
         self.n, self.width = n, -(-n // 64)
         order = np.argsort(projected, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(projected, order, axis=0)
+        self.sorted = np.asfortranarray(np.take_along_axis(projected, order, axis=0))
         one = np.zeros((m, n + 1, self.width), dtype=np.uint64)
         rows = np.arange(1, n + 1)
         for j in range(m):
             one[j, rows, order[:, j] >> 6] = np.uint64(1) << (order[:, j] & 63).astype(np.uint64)
         self.prefix = np.bitwise_or.accumulate(one, axis=1)
 
-    def passing(self, queries: np.ndarray, half: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    def bounds(self, order: np.ndarray, queries: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """Where each query's window begins and ends in each projection; queries are in the projection's order, which makes looking up quick."""
+        low, high = (np.empty(queries.shape, dtype=np.int32) for _ in range(2))
+        for j in range(len(queries)):
+            low[j, order[j]] = np.searchsorted(self.sorted[:, j], queries[j] - half, "left")
+            high[j, order[j]] = np.searchsorted(self.sorted[:, j], queries[j] + half, "right")
+        return low, high
+
+    def passing(self, low: np.ndarray, high: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, member) pairs with `least` collisions or more."""
-        planes = [np.zeros((len(queries), self.width), dtype=np.uint64) for _ in range(int(queries.shape[1]).bit_length())]
-        for j in range(queries.shape[1]):
-            low = np.searchsorted(self.sorted[:, j], queries[:, j] - half, "left")
-            high = np.searchsorted(self.sorted[:, j], queries[:, j] + half, "right")
-            carry = self.prefix[j, high] ^ self.prefix[j, low]
+        # All arrays are made once and kept small, so that they stay in a core's cache.
+        m, n = low.shape
+        shape = n, self.width
+        planes = np.zeros((m.bit_length(), *shape), dtype=np.uint64)
+        carry, spare = np.empty(shape, dtype=np.uint64), np.empty(shape, dtype=np.uint64)
+        for j in range(m):
+            np.take(self.prefix[j], high[j], axis=0, out=carry, mode="clip")
+            np.take(self.prefix[j], low[j], axis=0, out=spare, mode="clip")
+            np.bitwise_xor(carry, spare, out=carry)
             for k in range(min(len(planes), (j + 1).bit_length())):
-                planes[k], carry = planes[k] ^ carry, planes[k] & carry
+                np.bitwise_and(planes[k], carry, out=spare)
+                np.bitwise_xor(planes[k], carry, out=planes[k])
+                carry, spare = spare, carry
         # count >= least: compared from the highest bit down.
-        more = np.zeros_like(planes[0])
-        equal = np.full_like(planes[0], np.uint64(0xFFFFFFFFFFFFFFFF))
+        more, equal = np.zeros(shape, dtype=np.uint64), np.full(shape, np.uint64(0xFFFFFFFFFFFFFFFF))
         for k in reversed(range(len(planes))):
             if least >> k & 1:
                 equal &= planes[k]
@@ -104,12 +119,13 @@ def near_pairs(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, le
     """Pairs of rows of a and b (of length one) at the least cosine or closer; of one block, each pair once."""
     half = WINDOW * math.sqrt(2 - 2 * least_cosine)
     least = least_count(pa_.shape[1], WINDOW, RECALL)
+    order = np.ascontiguousarray(np.argsort(pa_, axis=0, kind="stable").T)
+    asked = np.take_along_axis(pa_.T, order, axis=1)
     for at in range(0, len(b), PART):
         windows = Windows(pb[at : at + PART])
-        for q in range(0, len(a), PART):
-            if same and q > at:
-                continue
-            i, j = windows.passing(pa_[q : q + PART], half, least)
+        low, high = windows.bounds(order, asked, half)
+        for q in range(0, min(len(a), at + PART) if same else len(a), ASKED):
+            i, j = windows.passing(low[:, q : q + ASKED], high[:, q : q + ASKED], least)
             i, j = i + q, j + at
             if same:
                 i, j = i[i < j], j[i < j]
