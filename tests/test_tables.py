@@ -152,7 +152,9 @@ def test_paths_and_primary(table):
     assert own.resolve("2024/f", "two", "pre/fix") == "s3a://b2/pre/fix/2024/f" and own.resolve("f") == "gs://b1/x/f"
     assert own.resolve("file:/a/b") == "file:/a/b"
     # The id of its storage is no part of a file's path there; elsewhere the table's prefix comes first.
-    assert own.resolve("two/2024/f", "two", "pre") == "s3a://b2/db/hdx/2024/f"
+    assert own.resolve("two/2024/f", "two", "pre") == "s3a://b2/2024/f"
+    within = replace(own, storages={"two": replace(stores["two"], data_path="db/files")})
+    assert within.resolve("two/2024/f", "two", "pre") == "s3a://b2/db/files/2024/f"
     prefixed = replace(own, prefix="pre", default_storage=None)
     assert prefixed.resolve("f") == "gs://b1/x/pre/f" and replace(prefixed, storages=stores | {"three": Storage("three", "aws", "b3", default=True)}).resolve("f") == "s3a://b3/pre/f"
     with pytest.raises(TableError):

@@ -29,7 +29,10 @@ class TableError(ValueError):
 
 @dataclass(frozen=True)
 class Storage:
-    """Where files are: a bucket of a cloud, or a plain file system root (cloud `file`)."""
+    """Where files are: a bucket of a cloud, or a plain file system root (cloud `file`).
+
+    data_path: the folder in it of files whose path in a catalog begins with the storage's id.
+    """
 
     name: str
     cloud: str
@@ -38,6 +41,7 @@ class Storage:
     region: str = ""
     endpoint: str | None = None
     default: bool = False
+    data_path: str = ""
 
     @property
     def root(self) -> str:
@@ -237,7 +241,7 @@ class Table:
     def resolve(self, path: str, storage_id: str | None = None, prefix: str | None = None) -> str:
         """A file's whole path: paths without a scheme are below their storage.
 
-        A path that begins with its storage's id is below db/hdx there, without the id; others come after the prefix.
+        A path that begins with its storage's id is below the storage's data_path, without the id; others come after the prefix.
         """
         if "://" in path or path.startswith(("/", "file:")):
             return path
@@ -245,7 +249,7 @@ class Table:
         if storage is None:
             raise TableError(f"no storage for {path!r}")
         if storage_id and path.startswith(f"{storage_id}/"):
-            below = ("db/hdx", path.removeprefix(f"{storage_id}/"))
+            below = (storage.data_path, path.removeprefix(f"{storage_id}/"))
         else:
             below = (self.prefix if prefix is None else prefix, path)
         return "/".join(p.strip("/") if n else p.rstrip("/") for n, p in enumerate(x for x in (storage.root, *below) if x))
